@@ -25,6 +25,7 @@ from tidewell.functions.scalars import (
 )
 from tidewell.operators.lookup import lookup
 from tidewell.plans.silver import freshness
+from tidewell.session import stage
 from tidewell.settings import FRESHNESS_FLOORS, RECENCY_BEYOND, RECENCY_BUCKETS
 
 WINDOW_DAYS = 30
@@ -164,10 +165,10 @@ def freshness_distribution(
 
 
 def _recent(fact: DataFrame, as_of: datetime) -> DataFrame:
-    """The last 30 days; later orders pass. Prunes date partitions where the fact has them."""
+    """The last 30 days; later orders pass. Skips month folders where the fact has them."""
     first_day = F.date_sub(day(as_of), WINDOW_DAYS)
-    if "ORDER_DATE" in fact.columns:
-        fact = fact.where(F.col("ORDER_DATE") >= first_day)
+    if "ORDER_MONTH" in fact.columns:
+        fact = fact.where(F.col("ORDER_MONTH") >= F.trunc(first_day, "MM"))
     return fact.where(F.col("ORDER_TS") >= first_day.cast("timestamp_ntz"))
 
 
@@ -251,7 +252,7 @@ def recent_orders(
     keyed = fact.where("PERSON_KEY IS NOT NULL AND PRODUCT_ID IS NOT NULL").select(
         "ORDER_TS", "ORDER_ID_SRC", "PERSON_KEY", "PRODUCT_ID", "GROSS_AMOUNT"
     )
-    first = named(keyed.orderBy(*newest).limit(10 * k))
+    first = stage(named(stage(keyed.orderBy(*newest).limit(10 * k), "newest-orders")), "named-orders")
     found = first if first.count() >= k else named(keyed)
     return (
         found.orderBy(*newest)

@@ -65,8 +65,11 @@ RAW_FILES = (
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    """All columns as text: guessing types would turn phone numbers into floats."""
-    reader = spark.read.option("header", True)
+    """All columns as text: guessing types would turn phone numbers into floats.
+
+    A quote inside a quoted field is written twice.
+    """
+    reader = spark.read.option("header", True).option("escape", '"')
     if columns:
         schema = ", ".join(f"`{c}` STRING" for c in columns)
         reader = reader.schema(schema).option("enforceSchema", False)
