@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType
 from tidewell.functions.scalars import blank_to_null, equals_choice, starts_with_choice
 from tidewell.settings import LOCALE_PREFIXES, STATUS_WORDS
 
-_OFFSET = r"([+-])(\d{2}):?(\d{2})"
+_OFFSET = r"[+-]\d{2}:?\d{2}"
 
 
 # --- money -------------------------------------------------------------------------------
@@ -51,22 +51,20 @@ def utc_time(text: Column, local_zone: str = "UTC") -> Column:
     body = F.regexp_extract(iso, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)", 1)
     wall = body.try_cast("timestamp_ntz")
 
-    zoned = rf"^.{{16,29}}?{_OFFSET}"
-    sign = F.when(F.regexp_extract(iso, zoned, 1) == "-", -1).otherwise(1)
-    hours = F.coalesce(F.regexp_extract(iso, zoned, 2).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.regexp_extract(iso, zoned, 3).try_cast("int"), F.lit(0))
-    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * minutes)
-
-    has_zone = iso.rlike(rf"(Z|{_OFFSET})$")
-    if local_zone == "UTC":
-        parsed = F.when(has_zone, wall - shift).otherwise(wall)
-    else:
+    # the sign goes with both parts: -05:30 is -5 hours and -30 minutes
+    offset = F.regexp_extract(iso, rf"^.{{16,29}}?({_OFFSET})", 1)
+    hours = F.substring(offset, 1, 3).try_cast("int")
+    minutes = F.concat(F.left(offset, F.lit(1)), F.right(offset, F.lit(2))).try_cast("int")
+    shift = F.make_dt_interval(F.lit(0), F.coalesce(hours, F.lit(0)), F.coalesce(minutes, F.lit(0)))
+    parsed = wall - shift
+    if local_zone != "UTC":
+        no_zone = (offset == "") & ~iso.endswith("Z")
         local = F.convert_timezone(F.lit(local_zone), F.lit("UTC"), wall)
-        parsed = F.when(has_zone, wall - shift).otherwise(local)
+        parsed = F.when(no_zone, local).otherwise(parsed)
 
     epoch = F.when(raw.rlike(r"^\d{9,11}$"), raw).try_cast("long")
     since_epoch = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=epoch)
-    return F.coalesce(since_epoch, parsed)
+    return F.coalesce(parsed, since_epoch)
 
 
 def time_is_ambiguous(text: Column) -> Column:

@@ -59,8 +59,9 @@ def connected_components(
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         mins = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), "large-mins")
         upward = edges.select(F.col("b").alias("a"), F.col("a").alias("far"))
-        large = attach(upward, mins).select(F.col("far").alias("a"), F.col("low").alias("b"))
-        large = stage(large.distinct(), "large-star")
+        large = stage(
+            attach(upward, mins).select(F.col("far").alias("a"), F.col("low").alias("b")), "large-star"
+        )
 
         mins = stage(large.groupBy("a").agg(F.min("b").alias("low")), "small-mins")
         moved = attach(large, mins).where("b <> low").select(

@@ -30,8 +30,7 @@ def _fits_broadcast(table: DataFrame, rows: int, size: int) -> bool:
     for f in table.schema.fields:
         if isinstance(f.dataType, (StringType, BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-    # limit() stops the check early on a big table
-    n, total = table.limit(rows + 1).agg(F.count("*"), F.sum(width)).first()
+    n, total = table.agg(F.count("*"), F.sum(width)).first()
     return n <= rows and (total or 0) <= size
 
 
@@ -83,9 +82,9 @@ def lookup(
         "__slot",
         F.when(F.col("__hot").isNull() & has_key, 0).otherwise(1 + F.pmod(spread, F.lit(SLOTS))),
     )
-    joined = marked.join(
-        table.withColumn("__slot", F.lit(0).cast("long")), [*keys, "__slot"], "left"
-    )
+    # always 0, but not a literal: the optimizer would take that out of the join keys
+    zero = F.xxhash64(*[F.col(k) for k in keys]) % 1
+    joined = marked.join(table.withColumn("__slot", zero), [*keys, "__slot"], "left")
     if how == "inner":
         joined = joined.where(F.coalesce("__match", "__hot_match"))
     return joined.select(

@@ -17,10 +17,12 @@ def number_rows(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     position. Only one count per partition is then needed to turn positions into global
     numbers. Storing first matters: range bounds are sampled, so a recomputed partition
     could otherwise hold other rows than the ones counted. ``order_by`` should identify a
-    row, which also keeps equal leading values from piling up in one partition.
+    row; copies of one row are told apart by the input partition they come from, so that
+    even a great many of them do not pile up in one partition.
     """
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [*[F.col(c).asc_nulls_last() for c in order_by], F.col("__origin").asc()]
+    origin = df.withColumn("__origin", F.spark_partition_id())
+    ranged = origin.repartitionByRange(*order).sortWithinPartitions(*order)
     place = ranged.select("*", F.monotonically_increasing_id().alias("__place"))
     stored = stage(
         place.select(

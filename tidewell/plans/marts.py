@@ -32,6 +32,10 @@ WINDOW_DAYS = 30
 TOP_K = 10
 
 
+def _distinct(name: str, approximate: bool) -> Column:
+    return F.approx_count_distinct(name) if approximate else F.count_distinct(name)
+
+
 def _share_lost(raw: Column, unified: Column) -> Column:
     return ratio(100 * (raw - unified), raw)
 
@@ -39,10 +43,10 @@ def _share_lost(raw: Column, unified: Column) -> Column:
 # --- customers ---------------------------------------------------------------------------
 
 
-def dedup_rate(bridge: DataFrame, persons: DataFrame) -> DataFrame:
+def dedup_rate(bridge: DataFrame, persons: DataFrame, approximate: bool = False) -> DataFrame:
     """Source customers against unified people; equal ids of two sources count once."""
-    raw = bridge.agg(F.count_distinct("SRC_CUSTOMER_ID").alias("raw_customers"))
-    unified = persons.agg(F.count_distinct("PERSON_KEY").alias("unified_customers"))
+    raw = bridge.agg(_distinct("SRC_CUSTOMER_ID", approximate).alias("raw_customers"))
+    unified = persons.agg(_distinct("PERSON_KEY", approximate).alias("unified_customers"))
     n, u = F.col("raw_customers"), F.col("unified_customers")
     # one row on each side
     return raw.crossJoin(unified).withColumn(
@@ -50,10 +54,10 @@ def dedup_rate(bridge: DataFrame, persons: DataFrame) -> DataFrame:
     )
 
 
-def customers_per_channel(bridge: DataFrame) -> DataFrame:
+def customers_per_channel(bridge: DataFrame, approximate: bool = False) -> DataFrame:
     return (
         bridge.groupBy(F.lower("SRC_SYSTEM").alias("channel"))
-        .agg(F.count_distinct("PERSON_KEY").alias("unique_customers"))
+        .agg(_distinct("PERSON_KEY", approximate).alias("unique_customers"))
         .orderBy(F.desc_nulls_first("unique_customers"), F.asc_nulls_last("channel"))
     )
 

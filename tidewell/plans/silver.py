@@ -49,16 +49,22 @@ def _source_time(text: Column, settings: Settings) -> Column:
 def customer_records(raw_users: DataFrame, settings: Settings) -> DataFrame:
     """One cleaned row per source record, with its person key."""
     fields = raw_users.select(
-        parsing.person_name(field("name", "full_name")).alias("FULL_NAME"),
-        parsing.email(field("email_address", "email")).alias("EMAIL"),
-        parsing.phone(field("tel", "phone_number", "phone")).alias("PHONE"),
+        "src_system",
+        field("crm_id", "user_id", "wa_id").alias("id"),
+        field("name", "full_name").alias("name"),
+        field("email_address", "email").alias("email"),
+        field("tel", "phone_number", "phone").alias("phone"),
+        field("updated_at", "created_local", "last_seen", "created_at").alias("seen"),
+    )
+    cleaned = fields.select(
+        parsing.person_name(F.col("name")).alias("FULL_NAME"),
+        parsing.email(F.col("email")).alias("EMAIL"),
+        parsing.phone(F.col("phone")).alias("PHONE"),
         F.col("src_system").alias("SRC_SYSTEM"),
-        field("crm_id", "user_id", "wa_id").alias("SRC_USER_ID"),
-        _source_time(field("updated_at", "created_local", "last_seen", "created_at"), settings).alias(
-            "LAST_SEEN_UTC"
-        ),
+        F.col("id").alias("SRC_USER_ID"),
+        _source_time(F.col("seen"), settings).alias("LAST_SEEN_UTC"),
     )
-    records = fields.withColumns(
+    records = cleaned.withColumns(
         {
             "LOCALE": parsing.locale(F.col("PHONE")),
             "MATCH_CONFIDENCE": parsing.match_confidence(F.col("EMAIL"), F.col("PHONE")),
@@ -87,26 +93,34 @@ def unify_customers(records: DataFrame, settings: Settings) -> DataFrame:
 
 def parsed_orders(raw_orders: DataFrame, settings: Settings) -> DataFrame:
     """Cleaned order rows, still carrying the customer reference of their source."""
-    amount = field("gross_amount_aud", "total", "amount")
-    time_text = field("time_local", "order_ts", "bookingDate")
-    code = parsing.currency(field("currency"), settings.default_currency)
-    return raw_orders.select(
-        field("txn_id", "order_id", "bookingRef").alias("ORDER_ID_SRC"),
+    fields = raw_orders.select(
+        F.col("src_system"),
+        field("txn_id", "order_id", "bookingRef").alias("id"),
+        field("time_local", "order_ts", "bookingDate").alias("time"),
+        field("customerEmail").alias("email"),
+        field("crm_id", "user_id").alias("customer"),
+        field("sku", "product_id", "productCode").alias("product"),
+        field("units", "qty", "pax").alias("qty"),
+        field("gross_amount_aud", "total", "amount").alias("amount"),
+        parsing.currency(field("currency"), settings.default_currency).alias("code"),
+        field("status", "bookingStatus").alias("status"),
+    )
+    amount, time = F.col("amount"), F.col("time")
+    return fields.select(
+        F.col("id").alias("ORDER_ID_SRC"),
         F.col("src_system").alias("SOURCE"),
-        _source_time(time_text, settings).alias("ORDER_TS"),
-        parsing.time_is_ambiguous(time_text).alias("TS_AMBIGUOUS"),
-        F.when(F.col("src_system") == "OTA", parsing.email(field("customerEmail")))
-        .otherwise(field("crm_id", "user_id"))
+        _source_time(time, settings).alias("ORDER_TS"),
+        parsing.time_is_ambiguous(time).alias("TS_AMBIGUOUS"),
+        F.when(F.col("src_system") == "OTA", parsing.email(F.col("email")))
+        .otherwise(F.col("customer"))
         .alias("CUSTOMER_REF"),
-        parsing.product_code(field("sku", "product_id", "productCode"), settings.keep_hyphen).alias(
-            "PRODUCT_ID"
-        ),
-        field("units", "qty", "pax").try_cast("bigint").alias("QTY"),
+        parsing.product_code(F.col("product"), settings.keep_hyphen).alias("PRODUCT_ID"),
+        F.col("qty").try_cast("bigint").alias("QTY"),
         parsing.money(amount).alias("GROSS_AMOUNT"),
-        code.alias("CURRENCY"),
+        F.col("code").alias("CURRENCY"),
         parsing.currency_in_amount(amount).alias("CURRENCY_IN_AMOUNT"),
-        parsing.currency_mismatch(amount, code).alias("CURRENCY_MISMATCH"),
-        parsing.order_status(field("status", "bookingStatus")).alias("STATUS"),
+        parsing.currency_mismatch(amount, F.col("code")).alias("CURRENCY_MISMATCH"),
+        parsing.order_status(F.col("status")).alias("STATUS"),
     )
 
 
@@ -141,18 +155,23 @@ def clean_orders(parsed: DataFrame, references: DataFrame, **lookup_options) ->
 
 
 def parsed_inventory(raw_inventory: DataFrame, settings: Settings) -> DataFrame:
-    updated = field("last_sync_local", "lastUpdate", "LAST_PUSH_EPOCH")
-    row_id = field("partner_product_id")
-    return raw_inventory.select(
-        parsing.product_code(field("sku", "product_id", "productCode"), settings.keep_hyphen).alias(
-            "PRODUCT_ID"
-        ),
-        field("stock_level", "QTY_AVAILABLE", "availability").try_cast("bigint").alias("AVAILABLE_QTY"),
-        parsing.money(field("price", "PRICE_AUD")).alias("PRICE"),
-        parsing.currency(field("currency"), settings.default_currency).alias("CURRENCY"),
-        _source_time(updated, settings).alias("LAST_UPDATED_UTC"),
+    fields = raw_inventory.select(
+        F.col("src_system"),
+        field("sku", "product_id", "productCode").alias("product"),
+        field("stock_level", "QTY_AVAILABLE", "availability").alias("qty"),
+        field("price", "PRICE_AUD").alias("price"),
+        field("currency").alias("code"),
+        field("last_sync_local", "lastUpdate", "LAST_PUSH_EPOCH").alias("updated"),
+        field("partner_product_id").alias("row_id"),
+    )
+    return fields.select(
+        parsing.product_code(F.col("product"), settings.keep_hyphen).alias("PRODUCT_ID"),
+        F.col("qty").try_cast("bigint").alias("AVAILABLE_QTY"),
+        parsing.money(F.col("price")).alias("PRICE"),
+        parsing.currency(F.col("code"), settings.default_currency).alias("CURRENCY"),
+        _source_time(F.col("updated"), settings).alias("LAST_UPDATED_UTC"),
         F.col("src_system").alias("SRC_SYSTEM"),
-        row_id.alias("ROW_ID"),
+        F.col("row_id").alias("ROW_ID"),
     )
 
 
