@@ -117,3 +117,8 @@ def test_codes(spark):
     words = {"PAID": "paid", "Completed": "paid", "Success": "paid", "VOID": "void", "Refund": "refunded"}
     for word, status in {**words, "Cancelled": "cancelled", " On Hold": "on hold"}.items():
         assert value(spark, parsing.order_status(text(word))) == status
+
+
+@pytest.mark.parametrize("t", ["2025", "202510", "2025-10-13", "2025-10", "10:30:00", "2025-10-13T18:55:15 +"])
+def test_incomplete_times_are_refused(spark, t):
+    assert value(spark, parsing.utc_time(text(t))) is None

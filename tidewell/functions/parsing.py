@@ -17,7 +17,8 @@ _OFFSET = r"[+-]\d{2}:?\d{2}"
 
 def money(text: Column) -> Column:
     """``A$198.87``, ``AUD 195.51``, ``$196.48`` or a bare number -> decimal(18,2)."""
-    return F.regexp_replace(text, r"[^0-9.\-]", "").try_cast(DecimalType(18, 2))
+    digits = F.regexp_replace(text, r"[^0-9.\-]", "")
+    return F.nullif(digits, F.lit("")).try_cast(DecimalType(18, 2))
 
 
 def currency_in_amount(text: Column) -> Column:
@@ -47,22 +48,28 @@ def utc_time(text: Column, local_zone: str = "UTC") -> Column:
     result does not depend on the session time zone.
     """
     raw = F.trim(text)
-    iso = F.regexp_replace(raw, r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}:\d{2})$", "$3-$2-$1 $4:00")
-    body = F.regexp_extract(iso, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)", 1)
-    wall = body.try_cast("timestamp_ntz")
-
-    # the sign goes with both parts: -05:30 is -5 hours and -30 minutes
-    offset = F.regexp_extract(iso, rf"^.{{16,29}}?({_OFFSET})", 1)
-    hours = F.substring(offset, 1, 3).try_cast("int")
-    minutes = F.concat(F.left(offset, F.lit(1)), F.right(offset, F.lit(2))).try_cast("int")
+    day_first = (F.length(raw) == 16) & (F.substring(raw, 3, 1) == "/") & (F.substring(raw, 6, 1) == "/")
+    turned = F.concat_ws(
+        "-", F.substring(raw, 7, 4), F.substring(raw, 4, 2), F.concat(F.left(raw, F.lit(2)), F.substring(raw, 11, 6))
+    )
+    iso = F.when(day_first, turned).otherwise(raw)
+    body = F.regexp_replace(iso, rf"(Z|{_OFFSET}|{_OFFSET}{_OFFSET})$", "")
+    # a bare number or date would pass the cast as well
+    wall = F.when(F.length(body) >= 16, body).try_cast("timestamp_ntz")
+
+    # +HHMM of the first offset; the sign goes with both parts. Only real offsets are cast:
+    # each failing try_cast raises and drops an exception, which costs more than the rest
+    offset = F.replace(F.substr(iso, F.length(body) + 1, F.lit(6)), F.lit(":"), F.lit(""))
+    sign = F.when(offset.startswith("+") | offset.startswith("-"), F.left(offset, F.lit(1)))
+    hours = F.concat(sign, F.substring(offset, 2, 2)).cast("int")
+    minutes = F.concat(sign, F.substring(offset, 4, 2)).cast("int")
     shift = F.make_dt_interval(F.lit(0), F.coalesce(hours, F.lit(0)), F.coalesce(minutes, F.lit(0)))
     parsed = wall - shift
     if local_zone != "UTC":
-        no_zone = (offset == "") & ~iso.endswith("Z")
         local = F.convert_timezone(F.lit(local_zone), F.lit("UTC"), wall)
-        parsed = F.when(no_zone, local).otherwise(parsed)
+        parsed = F.when(offset == "", local).otherwise(parsed)
 
-    epoch = F.when(raw.rlike(r"^\d{9,11}$"), raw).try_cast("long")
+    epoch = F.when(raw.rlike(r"^\d{9,11}$"), raw).cast("long")
     since_epoch = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=epoch)
     return F.coalesce(parsed, since_epoch)
 
