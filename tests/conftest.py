@@ -15,6 +15,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = local_session(8, **{"spark.sql.warehouse.dir": warehouse, "spark.sql.shuffle.partitions": "4"})
+    session.conf.set("spark.sql.maxMetadataStringLength", "4000")
     yield session
     session.stop()
 

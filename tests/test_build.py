@@ -1,5 +1,6 @@
 """The whole build on the invented exports, value by value."""
 
+import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -11,8 +12,9 @@ from raw_fixture import AS_OF, write_raw
 from tidewell.operators import quality
 from tidewell.plans import gold, marts, pipeline, silver
 from tidewell.plans.catalog import publish
+from tidewell.session import staging
 from tidewell.settings import Settings
-from tidewell.sources.files import RAW_FILES, read_csv, read_raw
+from tidewell.sources.files import RAW_FILES, RawFile, read_csv, read_raw
 from tidewell.sources.landing import land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh, full_refresh_table
 
@@ -73,6 +75,19 @@ def test_optional_export(spark, raw, tmp_path):
     )
 
 
+def test_parquet_export(spark, tmp_path):
+    spark.sql("SELECT 'st_1' AS crm_id, 'ANN' AS name, NULL AS tel").write.parquet(str(tmp_path / "u.parquet"))
+    landed = land_entity(spark, str(tmp_path), "users", AS_OF, (RawFile("users", "STORE", "u.parquet"),))
+    assert landed.select(F.to_json("data")).first()[0] == '{"crm_id":"st_1","name":"ANN"}'
+
+
+def test_build_leaves_no_intermediate_tables(spark, raw, tmp_path):
+    with staging(spark) as folder:
+        gold.dim_channel(*[spark.sql("SELECT 'a' AS SOURCE, 'b' AS SRC_SYSTEM")] * 3).collect()
+        assert os.listdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_wrong_header_is_refused(spark, tmp_path):
     (tmp_path / "x.csv").write_text("b,a\n1,2\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -1,0 +1,87 @@
+"""What the physical plans must look like for the work to scale."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.operators.numbering import number_rows
+from tidewell.plans import gold, marts
+from tidewell.registry.contract import ORDERS_AS_OF, Tables
+from tidewell.registry.queries import all_queries
+from tidewell.sources.sinks import full_refresh
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def tables(spark, data):
+    return Tables(spark, data)
+
+
+def test_daily_revenue_reads_three_columns_of_one_table(tables):
+    plan = plan_of(marts.daily_revenue(tables.keyed_orders(), ORDERS_AS_OF))
+    assert plan.count("FileScan") == 1 and "lineitem" not in plan
+    assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_stored_fact_is_pruned_by_month_and_time(spark, tmp_path):
+    fact = spark.range(100).selectExpr(
+        "TIMESTAMP_NTZ'2025-01-01 00:00:00' + make_dt_interval(CAST(id AS INT)) AS ORDER_TS",
+        "CAST(id AS DECIMAL(38,0)) AS GROSS_AMOUNT",
+        "'paid' AS STATUS",
+        "'x' AS CURRENCY",
+    )
+    stored = full_refresh(
+        fact.withColumn("ORDER_MONTH", F.trunc("ORDER_TS", "MM")), str(tmp_path / "fact"), ("ORDER_MONTH",)
+    )
+    day = marts.daily_revenue(stored, datetime(2025, 4, 10))
+    plan = plan_of(day)
+    assert "PartitionFilters: [isnotnull(ORDER_MONTH" in plan and "EqualTo(STATUS,paid)" in plan
+    assert "CURRENCY" not in plan
+    assert day.count() == 30
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["dim_person", "dim_product", "dim_channel", "fact_orders", "fact_inventory_snapshot", "inventory_unified",
+     "inventory_detail", "customer_unified", "raw_to_gold_fact_orders", "identity_components"],
+)
+def test_rows_never_meet_in_one_partition(spark, data, name):
+    plan = plan_of(all_queries()[name](spark, data))
+    for above, line in zip(plan.splitlines(), plan.splitlines()[1:]):
+        if "SinglePartition" in line:
+            # only the row counts of the partitions of a numbered table
+            assert "__part" in above
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_numbering_counts_partitions_only(spark):
+    plan = plan_of(number_rows(spark.range(1000), ["id"], "n"))
+    assert plan.count("SinglePartition") == 1 and "partial_count" in plan.split("SinglePartition")[1]
+
+
+@pytest.mark.parametrize("name", ["scalar_semantics", "money_parse", "timestamp_parse", "contact_normalise", "bronze_landing", "identity_one_pass"])
+def test_cleaning_stays_in_the_jvm_without_shuffle(spark, data, name):
+    plan = plan_of(all_queries()[name](spark, data))
+    assert "Python" not in plan and "ArrowEval" not in plan
+    if name != "identity_one_pass":  # its input is grouped
+        assert "Exchange" not in plan
+
+
+def test_one_shuffle_per_person(tables):
+    """First channel, latest record and both maxima come out of one aggregation."""
+    plan = plan_of(gold.person_rows(tables.silver_customers()))
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_min_by" in plan
+
+
+def test_top_k_never_sorts_everything(tables):
+    assert "TakeOrderedAndProject" in plan_of(marts.top_products(tables.keyed_orders(), ORDERS_AS_OF))
+
+
+def test_distinct_counts_are_reduced_before_the_shuffle(tables):
+    plan = plan_of(marts.customers_per_channel(tables.silver_customers()))
+    assert "partial_count(distinct" in plan and "Expand" not in plan

@@ -24,7 +24,7 @@ from tidewell.functions.scalars import (
     starts_with_choice,
     zero_pad,
 )
-from tidewell.operators.lookup import lookup
+from tidewell.operators.lookup import Lookup, lookups
 from tidewell.operators.numbering import number_rows
 from tidewell.settings import (
     CATEGORY_DEFAULT,
@@ -140,22 +140,14 @@ def resolve_order_keys(
     The product code is compared as it is in the order, so a code in another case or with
     blanks finds nothing; the channel is compared in lower case, not trimmed.
     """
+    wanted = []
     if persons is not None:
-        orders = lookup(
-            orders, persons, {"PERSON_KEY": F.col("PERSON_KEY")}, {"PERSON_KEY": "PERSON_KEY"},
-            **lookup_options,
-        )
+        wanted.append(Lookup(persons, {"PERSON_KEY": F.col("PERSON_KEY")}, {"PERSON_KEY": "PERSON_KEY"}))
     if products is not None:
-        orders = lookup(
-            orders, products, {"PRODUCT_ID": F.col("PRODUCT_ID")}, {"PRODUCT_ID": "PRODUCT_ID"},
-            **lookup_options,
-        )
+        wanted.append(Lookup(products, {"PRODUCT_ID": F.col("PRODUCT_ID")}, {"PRODUCT_ID": "PRODUCT_ID"}))
     if channels is not None:
-        orders = lookup(
-            orders, channels, {"CHANNEL_ID": F.lower("SOURCE")}, {"CHANNEL_ID": "CHANNEL_ID"},
-            **lookup_options,
-        )
-    return orders
+        wanted.append(Lookup(channels, {"CHANNEL_ID": F.lower("SOURCE")}, {"CHANNEL_ID": "CHANNEL_ID"}))
+    return lookups(orders, wanted, **lookup_options) if wanted else orders
 
 
 def fact_orders(
@@ -191,14 +183,12 @@ def fact_inventory_snapshot(
     **lookup_options,
 ) -> DataFrame:
     now = moment(settings.as_of)
-    rows = lookup(
-        inventory, products, {"PRODUCT_ID": F.upper(F.trim("PRODUCT_ID"))}, {"PRODUCT_ID": "PRODUCT_ID"},
-        **lookup_options,
-    )
-    rows = lookup(
-        rows, channels, {"CHANNEL_ID": F.lower(F.trim("SRC_SYSTEM"))}, {"CHANNEL_ID": "CHANNEL_ID"},
-        **lookup_options,
-    )
+    code, source = F.upper(F.trim("PRODUCT_ID")), F.lower(F.trim("SRC_SYSTEM"))
+    wanted = [
+        Lookup(products, {"PRODUCT_ID": code}, {"PRODUCT_ID": "PRODUCT_ID"}),
+        Lookup(channels, {"CHANNEL_ID": source}, {"CHANNEL_ID": "CHANNEL_ID"}),
+    ]
+    rows = lookups(inventory, wanted, **lookup_options)
     return rows.select(
         now.alias("SNAPSHOT_TS"),
         "PRODUCT_ID",

@@ -23,7 +23,7 @@ from tidewell.functions.scalars import (
     timestamp_text,
     weekday_label,
 )
-from tidewell.operators.lookup import lookup
+from tidewell.operators.lookup import Lookup, lookups
 from tidewell.plans.silver import freshness
 from tidewell.session import stage
 from tidewell.settings import FRESHNESS_FLOORS, RECENCY_BEYOND, RECENCY_BUCKETS
@@ -45,11 +45,12 @@ def _share_lost(raw: Column, unified: Column) -> Column:
 
 def dedup_rate(bridge: DataFrame, persons: DataFrame, approximate: bool = False) -> DataFrame:
     """Source customers against unified people; equal ids of two sources count once."""
-    raw = bridge.agg(_distinct("SRC_CUSTOMER_ID", approximate).alias("raw_customers"))
-    unified = persons.agg(_distinct("PERSON_KEY", approximate).alias("unified_customers"))
+    none = F.lit(None).cast("bigint")
+    raw = bridge.agg(_distinct("SRC_CUSTOMER_ID", approximate).alias("raw_customers"), none.alias("unified_customers"))
+    unified = persons.agg(none.alias("raw_customers"), _distinct("PERSON_KEY", approximate).alias("unified_customers"))
     n, u = F.col("raw_customers"), F.col("unified_customers")
-    # one row on each side
-    return raw.crossJoin(unified).withColumn(
+    both = raw.union(unified).agg(F.max(n).alias("raw_customers"), F.max(u).alias("unified_customers"))
+    return both.withColumn(
         "dedup_rate_pct", F.when(n == 0, F.lit(0).cast("decimal(18,2)")).otherwise(_share_lost(n, u))
     )
 
@@ -110,15 +111,12 @@ def users_by_locale(persons: DataFrame) -> DataFrame:
 def inventory_detail(
     snapshot: DataFrame, products: DataFrame, channels: DataFrame, as_of: datetime, **lookup_options
 ) -> DataFrame:
-    rows = lookup(
-        snapshot, products, {"PRODUCT_ID": F.col("PRODUCT_ID")},
-        {"P_ID": "PRODUCT_ID", "PRODUCT_NAME": "PRODUCT_NAME", "CATEGORY": "CATEGORY"},
-        **lookup_options,
-    )
-    rows = lookup(
-        rows, channels, {"CHANNEL_ID": F.col("CHANNEL_ID")}, {"SOURCE_CHANNEL": "CHANNEL_NAME"},
-        **lookup_options,
-    )
+    names = {"P_ID": "PRODUCT_ID", "PRODUCT_NAME": "PRODUCT_NAME", "CATEGORY": "CATEGORY"}
+    wanted = [
+        Lookup(products, {"PRODUCT_ID": F.col("PRODUCT_ID")}, names),
+        Lookup(channels, {"CHANNEL_ID": F.col("CHANNEL_ID")}, {"SOURCE_CHANNEL": "CHANNEL_NAME"}),
+    ]
+    rows = lookups(snapshot, wanted, **lookup_options)
     updated = F.col("LAST_UPDATED_UTC")
     return rows.select(
         F.col("P_ID").alias("PRODUCT_ID"),
@@ -242,15 +240,14 @@ def recent_orders(
     order is older; otherwise all orders are looked up.
     """
 
+    person_key, product_id = F.col("PERSON_KEY"), F.col("PRODUCT_ID")
+    wanted = [
+        Lookup(persons, {"PERSON_KEY": person_key}, {"FULL_NAME": "FULL_NAME"}, "inner"),
+        Lookup(products, {"PRODUCT_ID": product_id}, {"PRODUCT_NAME": "PRODUCT_NAME"}, "inner"),
+    ]
+
     def named(orders: DataFrame) -> DataFrame:
-        orders = lookup(
-            orders, persons, {"PERSON_KEY": F.col("PERSON_KEY")}, {"FULL_NAME": "FULL_NAME"},
-            how="inner", **lookup_options,
-        )
-        return lookup(
-            orders, products, {"PRODUCT_ID": F.col("PRODUCT_ID")}, {"PRODUCT_NAME": "PRODUCT_NAME"},
-            how="inner", **lookup_options,
-        )
+        return lookups(orders, wanted, **lookup_options)
 
     newest = [F.desc_nulls_first("ORDER_TS"), F.desc_nulls_first("ORDER_ID_SRC")]
     keyed = fact.where("PERSON_KEY IS NOT NULL AND PRODUCT_ID IS NOT NULL").select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.plans import gold, silver
-from tidewell.session import use_utc
+from tidewell.session import staging, use_utc
 from tidewell.settings import Settings
 from tidewell.sources.files import RAW_FILES, RawFile
 from tidewell.sources.landing import land_entity
@@ -97,6 +97,7 @@ def build(
 ) -> dict[str, DataFrame]:
     """Run every layer and return all stored tables by name."""
     use_utc(spark)
-    bronze = build_bronze(spark, source_root, out, settings, files)
-    views = build_silver(bronze, out, settings, extra_customers)
-    return {**bronze, **views, **build_gold(views, out, settings)}
+    with staging(spark):
+        bronze = build_bronze(spark, source_root, out, settings, files)
+        views = build_silver(bronze, out, settings, extra_customers)
+        return {**bronze, **views, **build_gold(views, out, settings)}

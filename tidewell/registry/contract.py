@@ -149,6 +149,9 @@ class Tables:
     def silver_inventory(self) -> DataFrame:
         return self.stored("vw_inventory_unified", self.inventory)
 
+    def silver_orders(self) -> DataFrame:
+        return self.stored("vw_orders_clean", self.orders)
+
     def silver_customers(self) -> DataFrame:
         return self.stored("vw_customer_unified", self.customers)
 
@@ -156,18 +159,21 @@ class Tables:
         return self.stored("person_rows", lambda: gold.person_rows(self.silver_customers()))
 
     def products(self) -> DataFrame:
-        return self.stored("product_rows", lambda: gold.product_rows(self.orders(), self.silver_inventory()))
+        return self.stored(
+            "product_rows", lambda: gold.product_rows(self.silver_orders(), self.silver_inventory())
+        )
 
     def channels(self) -> DataFrame:
         return self.stored(
             "channel_rows",
-            lambda: gold.channel_rows(self.orders(), self.silver_inventory(), self.silver_customers()),
+            lambda: gold.channel_rows(self.silver_orders(), self.silver_inventory(), self.silver_customers()),
         )
 
     def keyed_orders(self, *dims: str) -> DataFrame:
         """Order measures with the keys found in the named dimensions."""
         found = {d: getattr(self, d)() for d in dims}
-        return gold.order_measures(gold.resolve_order_keys(self.orders(), **found))
+        orders = self.silver_orders() if dims else self.orders()
+        return gold.order_measures(gold.resolve_order_keys(orders, **found))
 
     def snapshot(self) -> DataFrame:
         return gold.fact_inventory_snapshot(

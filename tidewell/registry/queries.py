@@ -127,12 +127,12 @@ def dim_person(t: Tables) -> DataFrame:
 
 @register
 def dim_product(t: Tables) -> DataFrame:
-    return gold.dim_product(t.orders(), t.silver_inventory())
+    return gold.dim_product(t.silver_orders(), t.silver_inventory())
 
 
 @register
 def dim_channel(t: Tables) -> DataFrame:
-    return gold.dim_channel(t.orders(), t.silver_inventory(), t.silver_customers())
+    return gold.dim_channel(t.silver_orders(), t.silver_inventory(), t.silver_customers())
 
 
 @register
@@ -143,7 +143,7 @@ def surrogate_key_distributed(t: Tables) -> DataFrame:
 
 @register
 def fact_orders(t: Tables) -> DataFrame:
-    return gold.fact_orders(t.orders(), t.persons(), t.products(), t.channels(), t.order_settings())
+    return gold.fact_orders(t.silver_orders(), t.persons(), t.products(), t.channels(), t.order_settings())
 
 
 @register

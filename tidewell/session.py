@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,25 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Intermediate results written inside the block go when it ends.
+
+    Use it around work whose results are stored elsewhere before the block ends.
+    """
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/scope-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
@@ -56,6 +77,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     same stored rows instead of recomputing them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
