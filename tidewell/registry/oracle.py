@@ -95,9 +95,9 @@ def _initcap(text: str) -> str:
 
 
 def _ratio(a: str, b: str) -> str:
-    """a / b rounded half up at six digits, then at two, for whole a >= 0 and b >= 0."""
-    six = f"((2 * CAST({a} AS HUGEINT) * 1000000 + {b}) // (2 * nullif({b}, 0)))"
-    return f"CAST((({six} + 5000) // 10000) AS DECIMAL(18,2)) / 100"
+    """a / b rounded at six digits, then at two, halves away from zero; whole a, whole b >= 0."""
+    six = f"((2 * abs(CAST({a} AS HUGEINT)) * 1000000 + {b}) // (2 * nullif({b}, 0)))"
+    return f"sign({a}) * CAST((({six} + 5000) // 10000) AS DECIMAL(18,2)) / 100"
 
 
 def _pct(a: str, b: str) -> str:
