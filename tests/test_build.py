@@ -336,6 +336,11 @@ def test_refresh_refuses_to_eat_its_input(spark, tmp_path):
     assert full_refresh(spark.range(5), path).count() == 5
 
 
+def test_empty_partitioned_table_reads_back(spark, tmp_path):
+    empty = spark.range(3).selectExpr("id", "id % 2 AS p").where("id < 0")
+    assert full_refresh(empty, str(tmp_path / "e"), ("p",)).count() == 0
+
+
 def test_refresh_table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS scratch")
     full_refresh_table(spark.range(3), "scratch.t")

@@ -19,7 +19,8 @@ def full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     """Replace the table at ``path`` and return it as stored."""
     _refuse_own_input(df, path)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # with the schema given, a partitioned table without rows can be read back, too
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def full_refresh_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -37,4 +38,4 @@ def append_snapshot(df: DataFrame, path: str, ts: str = "SNAPSHOT_TS") -> DataFr
         .partitionBy("SNAPSHOT_DATE")
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(dated.schema).parquet(path)
