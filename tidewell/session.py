@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Names the folder for intermediate tables; may be set on a running session.
+STAGING_KEY = "spark.tidewell.staging.dir"
+
 
 def local_session(cpus: int | str = "*", app: str = "tidewell", **conf: str) -> SparkSession:
     """A session for tests and the local benchmark. On a cluster, bring your own."""
@@ -37,18 +41,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach: STAGING_KEY, which can be set while the session
+    runs, or else what the cluster names in spark.checkpoint.dir.
 
     Only a local session may fall back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = os.path.join(tempfile.gettempdir(), "tidewell-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    for key in (STAGING_KEY, "spark.checkpoint.dir"):
+        if root := spark.conf.get(key, None):
+            return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(f"set {STAGING_KEY} to a folder every executor can reach")
+    return os.path.join(tempfile.gettempdir(), "tidewell-checkpoints")
 
 
 _scopes: list[str] = []
