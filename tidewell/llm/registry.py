@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.packing import pack
+from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024
@@ -18,6 +19,12 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_read(spark, folder, "documents"), width=4, distance=4)
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", fingerprint, F.col("component").alias("component_id"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(
         _read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=TOKEN_LIMIT
@@ -34,7 +41,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_token_counts": op8_token_counts, "op10_packing": op10_packing}
+    return {"op4_simhash": op4_simhash, "op8_token_counts": op8_token_counts, "op10_packing": op10_packing}
 
 
 def llm_oracles() -> dict[str, str]:
