@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.packing import pack
 from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.token_counts import count_tokens
+from tidewell.llm.vector_search import top_k
 
 TOKEN_LIMIT = 1024
 
@@ -33,6 +34,28 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"), "cut_bytes")
 
 
+def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(_read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.r <> q.r AND len(c.v) = len(q.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(
         _read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), most=4096, closing_id=2, with_ids=False
@@ -41,8 +64,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash, "op8_token_counts": op8_token_counts, "op10_packing": op10_packing}
+    return {"op4_simhash": op4_simhash, "op8_token_counts": op8_token_counts, "op9_top_k": op9_top_k, "op10_packing": op10_packing}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op9_top_k": OP9_SQL}
