@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm import language, toxicity
+from tidewell.llm.html_text import extract
 from tidewell.llm.packing import pack
 from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.token_counts import count_tokens
@@ -20,12 +22,36 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _remainder(key: str, of: int):
+    """The crc32 of the key as text, modulo ``of``."""
+    return F.crc32(F.col(key).cast("string")) % of
+
+
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_read(spark, folder, "pages"))
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = _read(spark, folder, "documents"), F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    machine = toxicity.learn(documents, _read(spark, folder, "labels"), ~held_out, most_rows=20_000)
+    scored = toxicity.score(documents, machine)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_read(spark, folder, "documents"), width=4, distance=4)
     fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return found.select("doc_id", fingerprint, F.col("component").alias("component_id"))
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = _read(spark, folder, "documents"), F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    model = language.learn(documents, public_tokenizers.path("piece_bpe_32k.model"), ~held_out, per_language=400)
+    found = language.identify(documents, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(
         _read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=TOKEN_LIMIT
@@ -64,7 +90,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash, "op8_token_counts": op8_token_counts, "op9_top_k": op9_top_k, "op10_packing": op10_packing}
+    made = (
+        op1_html_text, op2_toxicity, op4_simhash, op5_language, op8_token_counts, op9_top_k, op10_packing,
+    )
+    return {q.__name__: q for q in made}
 
 
 def llm_oracles() -> dict[str, str]:
