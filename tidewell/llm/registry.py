@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import language, toxicity
+from tidewell.llm.decontamination import contaminated
 from tidewell.llm.html_text import extract
 from tidewell.llm.packing import pack
 from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.token_counts import count_tokens
+from tidewell.llm.url_filter import first_segment, host_of, judge, path_of
 from tidewell.llm.vector_search import top_k
 
 TOKEN_LIMIT = 1024
@@ -22,7 +24,7 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _remainder(key: str, of: int):
+def _remainder(key: str, of: int) -> Column:
     """The crc32 of the key as text, modulo ``of``."""
     return F.crc32(F.col(key).cast("string")) % of
 
@@ -52,6 +54,71 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page is a capture with a day, and brings one dated entry of one of two lists."""
+    pages = _read(spark, folder, "pages")
+    start, page = F.lit("2024-01-01").cast("date"), F.col("page_id")
+
+    def day(times: int, plus: int) -> Column:
+        return F.date_add(start, ((page * times + plus) % 90).cast("int"))
+
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    kind = page % 20
+    pattern = (
+        F.when(kind == 0, host)
+        .when(kind == 1, F.regexp_extract(host, r"([^.]+[.][^.]+[.][^.]+)$", 1))
+        .when(kind == 2, F.concat(host, first_segment(path)))
+        .otherwise(F.concat(host, path))
+    )
+    entries = pages.where(host != "").select(
+        F.when(F.expr("page_id div 20") % 2 == 0, "spam").otherwise("malware").alias("list"),
+        F.when(pattern != "", pattern).alias("pattern"),
+        day(37, 0).alias("day"),
+        (F.expr("page_id div 40") % 4 != 3).alias("listed"),
+    )
+    captures = pages.select("page_id", "url", day(53, 11).alias("fetched_on"))
+    return judge(captures, entries, key="page_id", url="url", day="fetched_on")
+
+
+OP6_SQL = r"""
+WITH p AS (
+  SELECT page_id, url,
+    coalesce(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '') AS host,
+    coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)', 1), '') AS path,
+    DATE '2024-01-01' + CAST((page_id * 53 + 11) % 90 AS INTEGER) AS fetched_on,
+    DATE '2024-01-01' + CAST((page_id * 37) % 90 AS INTEGER) AS day,
+    CASE WHEN (page_id // 20) % 2 = 0 THEN 'spam' ELSE 'malware' END AS list,
+    (page_id // 40) % 4 <> 3 AS listed
+  FROM pages
+), e AS (
+  SELECT list, pattern, day, max(listed) AS listed FROM (
+    SELECT list, day, listed, CASE page_id % 20
+      WHEN 0 THEN host
+      WHEN 1 THEN regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1)
+      WHEN 2 THEN host || regexp_extract(path, '^(/[^/]*)', 1)
+      ELSE host || path END AS pattern
+    FROM p WHERE host <> '') WHERE pattern <> '' AND day IS NOT NULL GROUP BY ALL
+), i AS (
+  SELECT list, pattern, listed, day AS valid_from,
+    lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS valid_until FROM e
+), hits AS (
+  SELECT DISTINCT p.page_id, p.url, p.fetched_on, i.list || ':' || i.pattern AS rule
+  FROM p JOIN i ON i.listed AND p.fetched_on >= i.valid_from AND (i.valid_until IS NULL OR p.fetched_on < i.valid_until)
+    AND p.host <> '' AND (i.pattern IN (p.host || p.path, p.host || regexp_extract(p.path, '^(/[^/]*)', 1), p.host)
+      OR (contains(i.pattern, '.') AND ends_with(p.host, '.' || i.pattern)))
+), r AS (
+  SELECT page_id, url, fetched_on, string_agg(rule, ' ' ORDER BY rule) AS rules, CAST(count(*) AS INTEGER) AS n_rules FROM hits GROUP BY ALL
+)
+SELECT p.page_id, p.url, p.host, p.fetched_on, r.rules IS NOT NULL AS blocked, coalesce(r.rules, '') AS rules,
+  coalesce(r.n_rules, 0) AS n_rules
+FROM p LEFT JOIN r ON r.page_id = p.page_id AND r.url IS NOT DISTINCT FROM p.url
+"""
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"), share=0.8)
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(
         _read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=TOKEN_LIMIT
@@ -91,10 +158,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        op1_html_text, op2_toxicity, op4_simhash, op5_language, op8_token_counts, op9_top_k, op10_packing,
+        op1_html_text, op2_toxicity, op4_simhash, op5_language, op6_url_filter, op7_decontamination, op8_token_counts, op9_top_k, op10_packing,
     )
     return {q.__name__: q for q in made}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_top_k": OP9_SQL}
+    return {"op6_url_filter": OP6_SQL, "op9_top_k": OP9_SQL}
