@@ -13,6 +13,7 @@ from tidewell.llm.decontamination import contaminated
 from tidewell.llm.html_text import extract
 from tidewell.llm.packing import pack
 from tidewell.llm.simhash import near_duplicates
+from tidewell.llm.suffix_dedup import remove_repeats
 from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.url_filter import first_segment, host_of, judge, path_of
 from tidewell.llm.vector_search import top_k
@@ -41,6 +42,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = remove_repeats(_read(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_read(spark, folder, "documents"), width=4, distance=4)
     fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
@@ -158,7 +164,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        op1_html_text, op2_toxicity, op4_simhash, op5_language, op6_url_filter, op7_decontamination, op8_token_counts, op9_top_k, op10_packing,
+        op1_html_text, op2_toxicity, op3_suffix_dedup, op4_simhash, op5_language, op6_url_filter, op7_decontamination, op8_token_counts, op9_top_k, op10_packing,
     )
     return {q.__name__: q for q in made}
 
