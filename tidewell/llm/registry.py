@@ -156,10 +156,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    packed = pack(
-        _read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), most=4096, closing_id=2, with_ids=False
-    )
-    return packed.drop("ids")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(_read(spark, folder, "documents"), tokenizer, most=4096, closing_id=2, with_ids=False)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
