@@ -1,0 +1,54 @@
+"""Main text of pages."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.llm.html_text import extract, main_text
+
+LONG = "This is a paragraph of the text that is long enough for the rules, as it has many of the words that are in every text."
+MORE = "And there is more of it to be read by those who want to see what the page has to say on this and on that for a while."
+JUNK = "zxcv qwer tyui asdf ghjk bnmp"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("<html><script>var a = '<p>no</p>'</script><style>p{}</style></html>", ""),
+        (f"<nav><a href=/>Home</a></nav><p>{LONG}</p>", LONG),
+        # unclosed elements, an unclosed comment, references, white space
+        (f"<p>{LONG}<p>a &amp; b &lt;c&gt; &eacute;&#233;&#x41;\n\t two&nbsp;three<!-- gone {MORE}", f"{LONG}\na & b <c> éé" + "A two three"),
+        # short blocks go with the nearest decided ones
+        (f"<div><h2>Title</h2><p>{LONG}</p></div><div class='sidebar'><h3>More</h3><p>{MORE}</p></div>", f"Title\n{LONG}"),
+        (f"<div><p>{LONG}</p><p>Short.</p></div><div><p><a href=1>One two three</a> <a href=2>four</a></p><p>Next</p></div>", f"{LONG}\nShort."),
+        # parts that are not the article
+        (
+            f"<header><h1>Site</h1><p>{MORE}</p></header><div id=cookie-notice><p>{MORE}</p></div><article><header><h1>{JUNK}</h1></header>"
+            f"<p>{LONG}</p><div class='ad'>{MORE}</div><form><p>{MORE}</p></form><p>{JUNK}</p><ul><li>x<li>y</ul>"
+            f"<section class='comments'><p>{MORE}</p></section></article><aside>{MORE}</aside><footer>{MORE}</footer><p>{MORE}</p>",
+            f"{JUNK}\n{LONG}\n{JUNK}\nx\ny",
+        ),
+        # nothing decided inside the article
+        (f"<nav><a>a b</a></nav><article><h1>Be.</h1><p>{JUNK}</p></article><footer>{MORE}</footer>", f"Be.\n{JUNK}"),
+        (f'<div title="a > b" hidden><p>{MORE}</p></div><p data-x=\'<p>\'>{LONG}</p>', LONG),
+        (f"<article><p>{LONG}<br>next <b>bold</b> and <a href=x>link</a> in it</p></article>", f"{LONG} next bold and link in it"),
+    ],
+)
+def test_pages(page, text):
+    assert main_text(page) == text
+
+
+def test_long_and_broken_pages():
+    assert main_text(f"<p>{LONG}</p>" * 20_000) == "\n".join([LONG] * 20_000)
+    assert main_text("<" * 50_000) is not None
+    assert main_text("<a \"" * 20_000) is not None
+    assert main_text("<div>" * 5_000 + LONG) == LONG
+
+
+def test_table(spark):
+    rows = [(1, "u", f"<p>{LONG}</p>"), (1, "u", f"<p>{LONG}</p>"), (2, None, None), (None, "v", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    found = sorted((tuple(r) for r in extract(df).collect()), key=repr)
+    assert found == sorted([(1, "u", LONG, len(LONG))] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=repr)
+    assert extract(df.limit(0)).collect() == []

@@ -1,0 +1,132 @@
+"""Language and toxicity: held-out accuracy, sums over segmentations, and odd rows."""
+
+import itertools
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.llm import language, toxicity
+from tidewell.llm.registry import op2_toxicity, op5_language
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def by_segmentation(word, chance, index):
+    """The sum over all ways to cut a word, one by one."""
+    total = 0.0
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        parts, last = [], 0
+        for i, c in enumerate(cuts, 1):
+            if c:
+                parts.append(word[last:i])
+                last = i
+        parts.append(word[last:])
+        p = 1.0
+        for part in parts:
+            at = index.get(part)
+            if at is None:
+                at = len(index) if len(part) == 1 else None
+            p *= 0 if at is None else chance[at]
+        total += p
+    return total
+
+
+def test_forward_sums_all_segmentations():
+    pieces = ["a", "b", "ab", "ba", "aba", "c", "bc"]
+    model = language.fit(pieces, {"x": Counter({"ababa": 5, "bca": 2}), "y": Counter({"bcbc": 4, "q": 1})})
+    assert model.languages == ["x", "y"]
+    assert np.allclose(model.chance[:-1].sum(axis=0), 1)
+    index = {p: i for i, p in enumerate(pieces)}
+    words = ["a", "ab", "ababa", "abcabq", "qq", "bcbcba"]
+    for w, scores in zip(words, model.word_scores(words)):
+        for i in range(2):
+            assert scores[i] == pytest.approx(math.log(by_segmentation(w, model.chance[:, i], index)))
+    long = "ab" * 40  # in parts of UNIT characters
+    whole = sum(model.word_scores([long[i : i + language.UNIT]])[0] for i in range(0, len(long), language.UNIT))
+    assert np.allclose(model.word_scores([long])[0], whole)
+
+
+def test_expectation_raises_the_likelihood():
+    counts = {"x": Counter({"banana": 9, "ban": 3, "nab": 2})}
+    pieces = ["a", "b", "n", "an", "ban", "ana", "na"]
+
+    def likelihood(rounds):
+        old, language.ROUNDS = language.ROUNDS, rounds
+        try:
+            model = language.fit(pieces, counts)
+        finally:
+            language.ROUNDS = old
+        return sum(n * s[0] for (w, n), s in zip(counts["x"].items(), model.word_scores(list(counts["x"]))))
+
+    assert likelihood(1) > likelihood(0) and likelihood(4) > likelihood(1)
+
+
+def test_language_held_out(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang")
+    found = op5_language(spark, data).join(docs, "doc_id").where("held_out").collect()
+    assert sum(r.lang_pred == r.lang for r in found) >= 0.97 * len(found) > 0
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_odd_rows(spark):
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !! 34", "en"), (4, "the cat", None), (None, "der Hund", "de"), (5, "the dog " * 3000, "en")]
+    rows += [(6, "der die das", "de"), (6, "der die das", "de"), (7, "q" * 500, "de"), (8, "Żółć 日本", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
+    model = language.learn(df, PIECES, F.lit(True))
+    found = language.identify(df, model, keep=["doc_id"]).collect()
+    got = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert len(found) == len(rows)
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3))
+    assert got[4][0] == "en" and got[6][0] == got[None][0] == "de" and 0.5 <= got[8][1] <= 1
+    assert language.identify(df.limit(0), model, keep=["doc_id"]).collect() == []
+    nothing = language.learn(df, PIECES, F.lit(False))
+    assert nothing is None
+    assert {r.lang_pred for r in language.identify(df, nothing, keep=["doc_id"]).collect()} == {"und"}
+
+
+def test_toxicity_held_out(spark):
+    data = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    found = op2_toxicity(spark, data).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r for r in found if r.toxic], [r for r in found if not r.toxic]
+    assert sum(r.predicted for r in toxic) >= 0.75 * len(toxic) > 0
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+
+
+def test_machine_learns_pairs():
+    """Two words that are harmless alone."""
+    rng = random.Random(1)
+    texts, labels = [], []
+    for _ in range(3000):
+        words = [f"w{rng.randint(0, 40)}" for _ in range(8)]
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words += ["insult"] * a + ["group"] * b
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(int(a and b))
+    row, bucket = toxicity.terms(pa.array(texts))
+    lists = np.split(bucket, np.searchsorted(row, np.arange(1, len(texts))))
+    machine = toxicity.fit(lists, np.array(labels))
+    both, one, other, none = machine.score(pa.array(["insult w1 group", "insult w1", "w1 group", "w1"]))
+    assert both > 0.8 and max(one, other, none) < 0.3
+    assert np.abs(machine.factors).max() > 0.1
+
+
+def test_toxicity_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "bad " * 5000), (3, "bad"), (None, "bad"), (4, "fine"), (5, "bad day")], "doc_id long, text string"
+    ).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(3, 1), (4, 0), (5, None), (None, 1), (9, 1)], "doc_id long, toxic int")
+    machine = toxicity.learn(docs, labels, F.lit(True))
+    found = toxicity.score(docs, machine).collect()
+    assert len(found) == 7 and all(0 <= r.score <= 1 for r in found)
+    empty = toxicity.learn(docs.limit(0), labels, F.lit(True))
+    assert empty is None
+    assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), machine).collect() == []
