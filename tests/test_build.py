@@ -50,8 +50,8 @@ def test_landing_keeps_every_row_with_lineage(tables):
 
 def test_null_fields_leave_no_key(tables):
     rows = by(tables["raw_users"].select(F.to_json("data").alias("j"), F.expr("data:crm_id::string").alias("id")), "id")
-    assert "email_address" not in rows["st_2"].j and "email_address" in rows["st_1"].j
-    assert '"name":"Cy, Jr."' in rows["CRM3"].j
+    assert "email_address" not in rows["a2"].j and "email_address" in rows["a1"].j
+    assert '"name":"Odo, the 3rd"' in rows["K-77"].j
 
 
 def test_json_types_survive(tables):
@@ -69,16 +69,16 @@ def test_optional_export(spark, raw, tmp_path):
     full = write_raw(str(tmp_path / "full"), whatsapp=True)
     st = Settings(as_of=AS_OF)
     records = by(silver.customer_records(land_entity(spark, full, "users", AS_OF), st), "SRC_SYSTEM", "SRC_USER_ID")
-    zed = records[("WHATSAPP", "wa1")]
-    assert (zed.FULL_NAME, zed.PHONE, zed.LOCALE, zed.LAST_SEEN_UTC) == (
-        "Zed Oz", "61200000077", "AU", datetime(2025, 10, 1),
+    pia = records[("WHATSAPP", "q9")]
+    assert (pia.FULL_NAME, pia.PHONE, pia.LOCALE, pia.LAST_SEEN_UTC) == (
+        "Pia Ro", "61355500177", "AU", datetime(2024, 5, 2),
     )
 
 
 def test_parquet_export(spark, tmp_path):
-    spark.sql("SELECT 'st_1' AS crm_id, 'ANN' AS name, NULL AS tel").write.parquet(str(tmp_path / "u.parquet"))
+    spark.sql("SELECT 'a1' AS crm_id, 'ANN' AS name, NULL AS tel").write.parquet(str(tmp_path / "u.parquet"))
     landed = land_entity(spark, str(tmp_path), "users", AS_OF, (RawFile("users", "STORE", "u.parquet"),))
-    assert landed.select(F.to_json("data")).first()[0] == '{"crm_id":"st_1","name":"ANN"}'
+    assert landed.select(F.to_json("data")).first()[0] == '{"crm_id":"a1","name":"ANN"}'
 
 
 def test_build_leaves_no_intermediate_tables(spark, raw, tmp_path):
@@ -100,23 +100,23 @@ def test_wrong_header_is_refused(spark, tmp_path):
 def test_customers(tables):
     rows = by(tables["vw_customer_unified"], "SRC_SYSTEM", "SRC_USER_ID")
     assert set(rows) == {
-        ("STORE", "st_1"), ("STORE", "st_2"), ("STORE", "CRM3"), ("STORE", "st_4"),
-        ("WEBSITE", "web_1"), ("WEBSITE", "web_2"), ("WEBSITE", "user_3"), ("WEBSITE", "user_4"),
+        ("STORE", "a1"), ("STORE", "a2"), ("STORE", "K-77"), ("STORE", "a4"),
+        ("WEBSITE", "m1"), ("WEBSITE", "m2"), ("WEBSITE", "m3"), ("WEBSITE", "m4"),
     }
-    ann = rows[("STORE", "st_1")]
-    assert (ann.FULL_NAME, ann.EMAIL, ann.PHONE, ann.LOCALE) == ("Ann Lee", "ann@example.com", "61200000001", "AU")
-    assert ann.LAST_SEEN_UTC == datetime(2025, 10, 5, 7, 10)
-    assert ann.PERSON_KEY == rows[("WEBSITE", "web_1")].PERSON_KEY
-    assert rows[("STORE", "st_2")].PERSON_KEY != rows[("WEBSITE", "web_2")].PERSON_KEY
+    mira = rows[("STORE", "a1")]
+    assert (mira.FULL_NAME, mira.EMAIL, mira.PHONE, mira.LOCALE) == ("Mira Kosta", "mira@kosta.test", "61355500101", "AU")
+    assert mira.LAST_SEEN_UTC == datetime(2024, 5, 3, 11, 25)
+    assert mira.PERSON_KEY == rows[("WEBSITE", "m1")].PERSON_KEY
+    assert rows[("STORE", "a2")].PERSON_KEY != rows[("WEBSITE", "m2")].PERSON_KEY
     confidence = {k[1]: r.MATCH_CONFIDENCE for k, r in rows.items()}
-    assert confidence["st_1"] == 1 and confidence["st_2"] == Decimal("0.8") and confidence["st_4"] == Decimal("0.5")
-    assert [rows[("WEBSITE", k)].LOCALE for k in ("user_3", "user_4")] == ["GB", "HK"]
+    assert confidence["a1"] == 1 and confidence["a2"] == Decimal("0.8") and confidence["a4"] == Decimal("0.5")
+    assert [rows[("WEBSITE", k)].LOCALE for k in ("m3", "m4")] == ["GB", "HK"]
 
 
 def test_transitive_identity_joins_by_phone(spark, tables):
     st = Settings(as_of=AS_OF, identity_mode="transitive")
     rows = by(silver.customer_records(tables["raw_users"], st), "SRC_USER_ID")
-    assert rows["st_2"].PERSON_KEY == rows["web_2"].PERSON_KEY
+    assert rows["a2"].PERSON_KEY == rows["m2"].PERSON_KEY
     assert len({r.PERSON_KEY for r in rows.values()}) == 6
 
 
@@ -128,51 +128,51 @@ def test_record_grain_keeps_all(tables):
 def test_orders(tables):
     rows = by(tables["vw_orders_clean"], "ORDER_ID_SRC")
     people = by(tables["vw_customer_unified"], "SRC_USER_ID")
-    assert rows["O-1"].PERSON_KEY == people["web_1"].PERSON_KEY
-    assert rows["O-2"].PERSON_KEY is None and rows["S-3"].PERSON_KEY is None
-    assert rows["O-3"].PERSON_KEY == people["user_4"].PERSON_KEY
-    assert rows["O-1"].ORDER_TS == datetime(2025, 10, 13, 18, 55, 15)
+    assert rows["B61"].PERSON_KEY == people["m1"].PERSON_KEY
+    assert rows["B62"].PERSON_KEY is None and rows["T53"].PERSON_KEY is None
+    assert rows["B63"].PERSON_KEY == people["m4"].PERSON_KEY
+    assert rows["B61"].ORDER_TS == datetime(2024, 5, 20, 11, 2, 33)
     assert {k: r.STATUS for k, r in rows.items()} == {
-        "S-1": "paid", "S-2": "void", "S-3": "paid", "W-1": "cancelled", "W-2": "paid", "W-3": "paid",
-        "O-1": "paid", "O-2": "refunded", "O-3": "paid",
+        "T51": "paid", "T52": "void", "T53": "paid", "E81": "cancelled", "E82": "paid", "E83": "paid",
+        "B61": "paid", "B62": "refunded", "B63": "paid",
     }
-    assert {k: r.CURRENCY for k, r in rows.items() if r.CURRENCY != "AUD"} == {"W-2": "HKY", "W-3": "CNY"}
-    assert rows["O-2"].GROSS_AMOUNT == 184 and rows["O-3"].PRODUCT_ID == "HK005"
-    assert rows["W-3"].PRODUCT_ID is None
+    assert {k: r.CURRENCY for k, r in rows.items() if r.CURRENCY != "AUD"} == {"E82": "AUX", "E83": "CNY"}
+    assert rows["B62"].GROSS_AMOUNT == 93 and rows["B63"].PRODUCT_ID == "NV35"
+    assert rows["E83"].PRODUCT_ID is None
 
 
 def test_parsed_orders_flag_amounts_and_times(tables):
     parsed = by(silver.parsed_orders(tables["raw_orders"], Settings(as_of=AS_OF)), "ORDER_ID_SRC")
-    assert parsed["O-2"].CURRENCY_MISMATCH and parsed["O-2"].CURRENCY_IN_AMOUNT == "HKD"
-    assert not parsed["O-1"].CURRENCY_MISMATCH and parsed["O-1"].TS_AMBIGUOUS and not parsed["W-1"].TS_AMBIGUOUS
+    assert parsed["B62"].CURRENCY_MISMATCH and parsed["B62"].CURRENCY_IN_AMOUNT == "HKD"
+    assert not parsed["B61"].CURRENCY_MISMATCH and parsed["B61"].TS_AMBIGUOUS and not parsed["E81"].TS_AMBIGUOUS
 
 
 def test_local_zone_per_source(tables):
     st = Settings(as_of=AS_OF, local_zones={"STORE": "Australia/Sydney"})
     parsed = by(silver.parsed_orders(tables["raw_orders"], st), "ORDER_ID_SRC")
-    assert parsed["S-1"].ORDER_TS == datetime(2025, 10, 3, 15, 43)
-    assert parsed["W-2"].ORDER_TS == datetime(2025, 10, 10, 12, 9, 44, 568713)
+    assert parsed["T51"].ORDER_TS == datetime(2024, 5, 2, 22, 12)
+    assert parsed["E82"].ORDER_TS == datetime(2024, 5, 10, 21, 30, 5, 640000)
 
 
 def test_hyphens_may_stay(tables):
     st = Settings(as_of=AS_OF, keep_hyphen=True)
     parsed = by(silver.parsed_orders(tables["raw_orders"], st), "ORDER_ID_SRC")
-    assert parsed["O-1"].PRODUCT_ID == "HK-003" and parsed["W-2"].PRODUCT_ID == "HK003"
+    assert parsed["B61"].PRODUCT_ID == "NV-33" and parsed["E82"].PRODUCT_ID == "NV33"
 
 
 def test_inventory(tables):
     rows = by(tables["vw_inventory_unified"], "PRODUCT_ID", "SRC_SYSTEM")
     assert len(rows) == 7
-    store = rows[("HK003", "STORE")]
-    assert (store.AVAILABLE_QTY, store.PRICE, store.FRESHNESS_FLAG) == (2, Decimal("185.15"), "fresh")
+    store = rows[("NV33", "STORE")]
+    assert (store.AVAILABLE_QTY, store.PRICE, store.FRESHNESS_FLAG) == (3, Decimal("64.25"), "fresh")
     # equal times: the smaller quantity wins
-    assert rows[("XZ006", "STORE")].AVAILABLE_QTY == 5
-    assert rows[("XZ006", "OTA")].AVAILABLE_QTY == 5 and rows[("XZ006", "OTA")].PRICE == 100
+    assert rows[("QB77", "STORE")].AVAILABLE_QTY == 4
+    assert rows[("QB77", "OTA")].AVAILABLE_QTY == 4 and rows[("QB77", "OTA")].PRICE == 55
     flags = {k: (r.FRESHNESS_FLAG, r.CONFLICT_FLAG, r.SOURCE_COVERAGE) for k, r in rows.items()}
-    assert flags[("HK003", "PARTNER")] == ("fresh", True, 3)
-    assert flags[("XZ006", "OTA")] == ("stale", False, 3)
-    assert flags[("XZ006", "PARTNER")] == ("expired", False, 3)
-    assert flags[("SYD015", "OTA")] == ("expired", False, 1)
+    assert flags[("NV33", "PARTNER")] == ("fresh", True, 3)
+    assert flags[("QB77", "OTA")] == ("stale", False, 3)
+    assert flags[("QB77", "PARTNER")] == ("expired", False, 3)
+    assert flags[("SYD901", "OTA")] == ("expired", False, 1)
 
 
 def test_inventory_all_rows(tables):
@@ -187,8 +187,8 @@ def test_inventory_all_rows(tables):
 
 def test_dim_person(tables):
     rows = by(tables["dim_person"], "SRC_USER_ID_LATEST")
-    ann = rows["web_1"]
-    assert (ann.FIRST_SEEN_CHANNEL, ann.SRC_SYSTEM_LATEST, ann.PHONE_NORM) == ("store", "website", "61200000009")
+    mira = rows["m1"]
+    assert (mira.FIRST_SEEN_CHANNEL, mira.SRC_SYSTEM_LATEST, mira.PHONE_NORM) == ("store", "website", "61355500109")
     keys = sorted(r.PERSON_KEY for r in rows.values())
     assert {r.PERSON_KEY: r.PERSON_ID for r in rows.values()} == {k: i for i, k in enumerate(keys, 1)}
 
@@ -218,11 +218,11 @@ def test_person_without_key_or_time(spark):
 def test_dim_product_and_channel(tables):
     products = by(tables["dim_product"], "PRODUCT_ID")
     assert {k: r.CATEGORY for k, r in products.items()} == {
-        "SYD015": "City Tour", "TAS014": "Island Tour", "HK003": "General", "HK005": "General",
-        "XZ006": "General", None: "General",
+        "SYD901": "City Tour", "TAS902": "Island Tour", "NV33": "General", "NV35": "General",
+        "QB77": "General", None: "General",
     }
     assert products[None].PRODUCT_ID_KEY is None and products[None].PRODUCT_NAME is None
-    assert products["HK003"].PRODUCT_ID_KEY == 1 and products["HK003"].PRODUCT_NAME == "Hk003"
+    assert products["NV33"].PRODUCT_ID_KEY == 1 and products["NV33"].PRODUCT_NAME == "Nv33"
     channels = {(r.CHANNEL_ID, r.CHANNEL_NAME, r.CHANNEL_TYPE, r.CHANNEL_KEY) for r in tables["dim_channel"].collect()}
     assert channels == {
         ("ota", "Ota", "Online", 1), ("partner", "Partner", "Partner", 2),
@@ -234,19 +234,19 @@ def test_fact_orders(tables):
     rows = by(tables["fact_orders"], "ORDER_ID_SRC")
     order = sorted(rows.values(), key=lambda r: (r.ORDER_TS, r.ORDER_ID_SRC))
     assert [r.ORDER_KEY for r in order] == [f"ORD_{i:06d}" for i in range(1, 10)]
-    assert rows["S-1"].GROSS_AMOUNT == 338 and rows["S-3"].GROSS_AMOUNT == 10
-    assert rows["S-1"].CHANNEL_ID == "store" and rows["W-3"].PRODUCT_ID is None
-    assert rows["S-3"].ORDER_MONTH == date(2025, 9, 1)
+    assert rows["T51"].GROSS_AMOUNT == 213 and rows["T53"].GROSS_AMOUNT == 41
+    assert rows["T51"].CHANNEL_ID == "store" and rows["E83"].PRODUCT_ID is None
+    assert rows["T53"].ORDER_MONTH == date(2024, 4, 1)
 
 
 def test_exact_amounts(tables):
     orders = gold.order_measures(tables["vw_orders_clean"], exact_amounts=True)
-    assert by(orders, "ORDER_ID_SRC")["S-1"].GROSS_AMOUNT == Decimal("337.50")
+    assert by(orders, "ORDER_ID_SRC")["T51"].GROSS_AMOUNT == Decimal("212.50")
 
 
 def test_order_keys_follow_the_join_rules(spark, tables):
     orders = spark.createDataFrame(
-        [("1", " store", "xz006", "nobody"), ("2", "STORE", " XZ006", None), ("3", "Store", "XZ006", None)],
+        [("1", " store", "qb77", "nobody"), ("2", "STORE", " QB77", None), ("3", "Store", "QB77", None)],
         "ORDER_ID_SRC string, SOURCE string, PRODUCT_ID string, PERSON_KEY string",
     )
     rows = by(
@@ -254,7 +254,7 @@ def test_order_keys_follow_the_join_rules(spark, tables):
         "ORDER_ID_SRC",
     )
     assert [(r.CHANNEL_ID, r.PRODUCT_ID, r.PERSON_KEY) for r in (rows["1"], rows["2"], rows["3"])] == [
-        (None, None, None), ("store", None, None), ("store", "XZ006", None),
+        (None, None, None), ("store", None, None), ("store", "QB77", None),
     ]
 
 
@@ -266,9 +266,9 @@ def test_facts_keep_the_row_count(tables):
 
 def test_snapshot_values(tables):
     rows = by(tables["fact_inventory_snapshot"], "PRODUCT_ID", "CHANNEL_ID")
-    r = rows[("HK003", "ota")]
-    assert (r.SYNC_DELAY_SEC, r.STATUS, r.SNAPSHOT_TS) == (354, "fresh", AS_OF)
-    assert rows[("SYD015", "ota")].SYNC_DELAY_SEC is None
+    r = rows[("NV33", "ota")]
+    assert (r.SYNC_DELAY_SEC, r.STATUS, r.SNAPSHOT_TS) == (350, "fresh", AS_OF)
+    assert rows[("SYD901", "ota")].SYNC_DELAY_SEC is None
 
 
 def test_keys_hold(tables):
@@ -292,16 +292,16 @@ def test_order_marts(tables):
     fact = tables["fact_orders"]
     days = {r.order_day.day: (r.total_orders, r.revenue_aud, r.aov_aud) for r in marts.daily_revenue(fact, AS_OF).collect()}
     assert days == {
-        4: (1, 338, Decimal("338.00")), 7: (1, 203, Decimal("203.00")), 10: (2, 317, Decimal("158.50")),
-        13: (1, 196, Decimal("196.00")),
+        3: (1, 213, Decimal("213.00")), 10: (2, 258, Decimal("129.00")), 14: (1, 150, Decimal("150.00")),
+        20: (1, 78, Decimal("78.00")),
     }
     top = [(r.PRODUCT_ID, r.orders, r.revenue_aud) for r in marts.top_products(fact, AS_OF, 2).collect()]
-    assert top == [("HK003", 2, 512), ("SYD015", 1, 338)]
+    assert top == [("NV33", 2, 334), ("SYD901", 1, 213)]
     mix = {r.STATUS: r.orders for r in marts.status_mix(fact, AS_OF).collect()}
     assert mix == {"paid": 5, "void": 1, "cancelled": 1, "refunded": 1}
     newest = marts.recent_orders(fact, tables["dim_person"], tables["dim_product"], 3).collect()
     assert [(r.FULL_NAME, r.PRODUCT_NAME) for r in newest] == [
-        ("Ann Lee", "Hk003"), ("Bob Ray", "Hk003"), ("Eve Wu", "Hk005"),
+        ("Mira Kosta", "Nv33"), ("Lin Quay", "Nv35"), ("Tom Udal", "Nv33"),
     ]
 
 
@@ -320,9 +320,9 @@ def test_inventory_detail(tables):
     rows = marts.inventory_detail(
         tables["fact_inventory_snapshot"], tables["dim_product"], tables["dim_channel"], AS_OF
     ).collect()
-    assert [(r.PRODUCT_ID, r.SOURCE_CHANNEL) for r in rows[:3]] == [("HK003", "Ota"), ("HK003", "Partner"), ("HK003", "Store")]
+    assert [(r.PRODUCT_ID, r.SOURCE_CHANNEL) for r in rows[:3]] == [("NV33", "Ota"), ("NV33", "Partner"), ("NV33", "Store")]
     assert rows[0].SYNC_DELAY_HOURS == Decimal("0.10") and rows[0].FRESHNESS_STATUS == "Fresh"
-    assert rows[0].LAST_UPDATED_UTC == "2025-10-13 14:40:06"
+    assert rows[0].LAST_UPDATED_UTC == "2024-05-20 09:24:10"
 
 
 # --- sinks -------------------------------------------------------------------------------
@@ -355,7 +355,7 @@ def test_snapshots_add_up_by_day(spark, raw, tmp_path):
             pipeline.build_silver(pipeline.build_bronze(spark, raw, out, st), out, st), out, st
         )
     counts = tables["fact_inventory_snapshot"].groupBy("SNAPSHOT_DATE").count().collect()
-    assert {(r.SNAPSHOT_DATE.day, r["count"]) for r in counts} == {(13, 7), (14, 7)}
+    assert {(r.SNAPSHOT_DATE.day, r["count"]) for r in counts} == {(20, 7), (21, 7)}
 
 
 def test_append_snapshot_keeps_other_days(spark, tmp_path):
@@ -371,7 +371,7 @@ def test_published_tables_answer_sql(spark, tables, out):
     sql = """SELECT o.ORDER_TS, p.FULL_NAME, pr.PRODUCT_NAME, o.GROSS_AMOUNT
              FROM gold.fact_orders o JOIN gold.dim_person p ON o.PERSON_KEY = p.PERSON_KEY
              JOIN gold.dim_product pr ON o.PRODUCT_ID = pr.PRODUCT_ID ORDER BY o.ORDER_TS DESC LIMIT 3"""
-    assert [r.FULL_NAME for r in spark.sql(sql).collect()] == ["Ann Lee", "Bob Ray", "Eve Wu"]
+    assert [r.FULL_NAME for r in spark.sql(sql).collect()] == ["Mira Kosta", "Lin Quay", "Tom Udal"]
     assert spark.sql("SELECT count(*) FROM raw.raw_users WHERE data:status::string = 'Active'").first()[0] == 4
 
 
