@@ -328,12 +328,32 @@ def test_inventory_detail(tables):
 # --- sinks -------------------------------------------------------------------------------
 
 
-def test_refresh_refuses_to_eat_its_input(spark, tmp_path):
+def test_refresh_may_read_its_own_table(spark, tmp_path):
     path = str(tmp_path / "t")
     stored = full_refresh(spark.range(3), path)
-    with pytest.raises(ValueError):
-        full_refresh(stored.where("id > 0"), path)
-    assert full_refresh(spark.range(5), path).count() == 5
+    assert sorted(r.id for r in full_refresh(stored.where("id > 0"), path).collect()) == [1, 2]
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_failed_refresh_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    full_refresh(spark.range(3), path)
+    with pytest.raises(Exception, match="(?i)raise|USER_RAISED"):
+        full_refresh(spark.range(5).select(F.when(F.col("id") > 2, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_refresh_drops_old_partitions_in_dynamic_mode(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        full_refresh(spark.sql("SELECT 1 AS v, 'a' AS p UNION ALL SELECT 2, 'b'"), path, ("p",))
+        assert [tuple(r) for r in full_refresh(spark.sql("SELECT 3 AS v, 'c' AS p"), path, ("p",)).collect()] == [(3, "c")]
+        spark.sql("CREATE DATABASE IF NOT EXISTS scratch")
+        full_refresh_table(spark.sql("SELECT 1 AS v, 'a' AS p"), "scratch.p", ("p",))
+        assert full_refresh_table(spark.sql("SELECT 3 AS v, 'c' AS p"), "scratch.p", ("p",)).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_empty_partitioned_table_reads_back(spark, tmp_path):
@@ -375,6 +395,65 @@ def test_published_tables_answer_sql(spark, tables, out):
     assert spark.sql("SELECT count(*) FROM raw.raw_users WHERE data:status::string = 'Active'").first()[0] == 4
 
 
+def test_publish_spares_managed_tables(spark, tables, out):
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.raw_users")
+    spark.sql("CREATE TABLE raw.raw_users USING parquet AS SELECT 1 AS mine")
+    with pytest.raises(ValueError, match="raw_users"):
+        publish(spark, out)
+    assert spark.table("raw.raw_users").first().mine == 1
+    spark.sql("DROP TABLE raw.raw_users")
+    publish(spark, out)
+
+
+def test_records_that_name_nobody_stay_apart(spark):
+    rows = [(f'{{"name":"{n}","last_seen":"2024-01-0{i} 00:00:00"}}',) for i, n in ((1, "x"), (2, "y"), (2, "y"))]
+    raw = spark.createDataFrame(rows, "j string").select(F.parse_json("j").alias("data"), F.lit("WHATSAPP").alias("src_system"))
+    for mode in ("one_pass", "transitive"):
+        keys = [r.PERSON_KEY for r in silver.customer_records(raw, Settings(as_of=AS_OF, identity_mode=mode)).collect()]
+        assert None not in keys and len(set(keys)) == 2
+
+
+def test_reference_goes_to_the_newest_record(spark):
+    rows = [("STORE", "1", None, "old", datetime(2024, 1, 1)), ("STORE", "1", None, "new", datetime(2025, 1, 1)), ("STORE", "1", None, "aaa", None)]
+    records = spark.createDataFrame(rows, "SRC_SYSTEM string, SRC_USER_ID string, EMAIL string, PERSON_KEY string, LAST_SEEN_UTC timestamp_ntz")
+    assert [r.PERSON_KEY for r in silver.customer_references(records).collect()] == ["new"]
+
+
+def test_row_order_does_not_matter(spark):
+    schema = ", ".join(f"{c} string" for c in silver.CUSTOMER_COLUMNS[:7]) + ", LAST_SEEN_UTC timestamp_ntz, MATCH_CONFIDENCE decimal(3,2)"
+    t, one = datetime(2025, 1, 1), Decimal(1)
+    people = [("p", n, "e", "1", "AU", "S", "7", t, one) for n in ("Bob", "Ann", "Cy")]
+    orders = [("7", "STORE", t, None, None, q, Decimal(q), "AUD", "paid") for q in (1, 2, 3)]
+    order_schema = "ORDER_ID_SRC string, SOURCE string, ORDER_TS timestamp_ntz, PERSON_KEY string, PRODUCT_ID string, QTY bigint, GROSS_AMOUNT decimal(18,2), CURRENCY string, STATUS string"
+    found = []
+    for step in (1, -1):
+        df = spark.createDataFrame(people[::step], schema).repartition(2)
+        st = Settings(as_of=AS_OF)
+        persons = gold.person_rows(df)
+        fact = spark.createDataFrame(orders[::step], order_schema).repartition(3 if step > 0 else 1)
+        none = spark.sql("SELECT 'x' AS PERSON_KEY, 'x' AS PRODUCT_ID, 'x' AS CHANNEL_ID")
+        keyed = gold.fact_orders(fact, none, none, none, st)
+        found.append((silver.unify_customers(df, st).collect(), persons.collect(), sorted((r.ORDER_KEY, r.QTY) for r in keyed.collect())))
+    assert found[0] == found[1] and found[0][1][0].FULL_NAME == "Ann"
+
+
+def test_broken_rows_are_kept(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,2\n1,2,3\n"p\nq",5\n7\n')
+    file = RawFile("x", "STORE", "x.csv", ("a", "b"), multi_line=True)
+    landed = land_entity(spark, str(tmp_path), "x", AS_OF, (file,))
+    objects = sorted(r.j for r in landed.select(F.to_json("data").alias("j")).collect())
+    assert objects == [
+        '{"_corrupt_record":"1,2,3","a":"1","b":"2"}', '{"_corrupt_record":"7","a":"7"}', '{"a":"1","b":"2"}', '{"a":"p\\nq","b":"5"}',
+    ]
+    assert [tuple(r) for r in quality.bad_records(landed).collect()] == [("STORE", "x.csv", 4, 2)]
+
+
+def test_parse_flags(spark, tables):
+    parsed = silver.parsed_orders(tables["raw_orders"], Settings(as_of=AS_OF))
+    assert {tuple(r) for r in quality.parse_flags(parsed).collect()} == {("STORE", 3, 0, 0), ("WEBSITE", 3, 0, 0), ("OTA", 3, 1, 3)}
+
+
 def test_settings_refuse_unknown_choices():
     with pytest.raises(ValueError):
         Settings(as_of=AS_OF, identity_mode="fuzzy")

@@ -26,6 +26,16 @@ def text(t):
         ("1,234.5", "1234.50"),
         ("free", None),
         ("1.2.3", None),
+        ("1.234,56", None),
+        ("(12.00)", None),
+        ("1.5E3", None),
+        ("12,34", None),
+        ("A$1,234,567.5", "1234567.50"),
+        ("-$5", "-5.00"),
+        ("$-5", "-5.00"),
+        ("--5", None),
+        (".5", "0.50"),
+        ("12 AUD", None),
         (None, None),
     ],
 )
@@ -54,6 +64,9 @@ def test_currency(spark):
         ("2024-02-20T17:06:09-0330", datetime(2024, 2, 20, 20, 36, 9)),
         ("1708450000", datetime(2024, 2, 20, 17, 26, 40)),
         (" 17/02/2024 21:45 ", datetime(2024, 2, 17, 21, 45)),
+        ("2024-02-20T17:06:09+11", datetime(2024, 2, 20, 6, 6, 9)),
+        ("2024-02-20T17:06:09 Europe/Paris", None),
+        ("2024-02-20T17:06:09+1", None),
         ("32/13/2024 21:45", None),
         ("soon", None),
         ("", None),

@@ -9,16 +9,24 @@ from pyspark.sql.types import DecimalType
 from tidewell.functions.scalars import blank_to_null, equals_choice, starts_with_choice
 from tidewell.settings import LOCALE_PREFIXES, STATUS_WORDS
 
-_OFFSET = r"[+-]\d{2}:?\d{2}"
+_OFFSET = r"[+-]\d{2}(?::?\d{2})?"
+_WALL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?$"
+# a sign, a currency code or symbol in front, thousands in threes, a decimal point
+_AMOUNT = r"^(-?)\s*(?:[A-Za-z]{0,3}\s*[$€£¥]?)\s*(-?)((?:\d+|\d{1,3}(?:,\d{3})+)(?:\.\d*)?|\.\d+)$"
 
 
 # --- money -------------------------------------------------------------------------------
 
 
 def money(text: Column) -> Column:
-    """``A$198.87``, ``AUD 195.51``, ``$196.48`` or a bare number -> decimal(18,2)."""
-    digits = F.regexp_replace(text, r"[^0-9.\-]", "")
-    return F.nullif(digits, F.lit("")).try_cast(DecimalType(18, 2))
+    """``A$12.30``, ``AUD 12.30``, ``$1,200``, ``-5`` or a bare number -> decimal(18,2).
+
+    Anything else, such as a comma for the decimal point or brackets for a minus, is NULL.
+    """
+    raw = F.trim(text)
+    parts = [F.regexp_extract(raw, _AMOUNT, i) for i in (1, 2, 3)]
+    digits = F.regexp_replace(F.concat(F.when(F.concat(*parts[:2]) == "-", "-").otherwise(""), parts[2]), ",", "")
+    return F.when(raw.rlike(_AMOUNT) & (F.concat(*parts[:2]) != "--"), digits).try_cast(DecimalType(18, 2))
 
 
 def currency_in_amount(text: Column) -> Column:
@@ -43,7 +51,7 @@ def utc_time(text: Column, local_zone: str = "UTC") -> Column:
     """Parse any of the raw time formats to UTC wall-clock time; NULL when none fits.
 
     Accepted: epoch seconds, ``dd/MM/yyyy HH:mm``, ``yyyy-MM-dd HH:mm:ss``, ISO with ``Z``,
-    ISO with one offset, ISO with two offsets (the first counts). Times without a zone are
+    ISO with one offset (``+HH``, ``+HHMM``, ``+HH:MM``), ISO with two offsets (the first counts). Times without a zone are
     read in ``local_zone``. The work is done on zone-less timestamps throughout, so the
     result does not depend on the session time zone.
     """
@@ -54,15 +62,16 @@ def utc_time(text: Column, local_zone: str = "UTC") -> Column:
     )
     iso = F.when(day_first, turned).otherwise(raw)
     body = F.regexp_replace(iso, rf"(Z|{_OFFSET}|{_OFFSET}{_OFFSET})$", "")
-    # a bare number or date would pass the cast as well
-    wall = F.when(F.length(body) >= 16, body).try_cast("timestamp_ntz")
+    # a bare number, a date, or a time with a zone's name would pass the cast as well
+    wall = F.when(body.rlike(_WALL), body).try_cast("timestamp_ntz")
 
-    # +HHMM of the first offset; the sign goes with both parts. Only real offsets are cast:
-    # each failing try_cast raises and drops an exception, which costs more than the rest
-    offset = F.replace(F.substr(iso, F.length(body) + 1, F.lit(6)), F.lit(":"), F.lit(""))
+    # +HH or +HHMM of the first offset; the sign goes with both parts. Only real offsets are
+    # cast: each failing try_cast raises and drops an exception, which costs more than the rest
+    tail = F.substr(iso, F.length(body) + 1, F.length(iso))
+    offset = F.replace(F.regexp_extract(tail, rf"^(Z|{_OFFSET})", 1), F.lit(":"), F.lit(""))
     sign = F.when(offset.startswith("+") | offset.startswith("-"), F.left(offset, F.lit(1)))
     hours = F.concat(sign, F.substring(offset, 2, 2)).cast("int")
-    minutes = F.concat(sign, F.substring(offset, 4, 2)).cast("int")
+    minutes = F.when(F.length(offset) == 5, F.concat(sign, F.substring(offset, 4, 2))).cast("int")
     shift = F.make_dt_interval(F.lit(0), F.coalesce(hours, F.lit(0)), F.coalesce(minutes, F.lit(0)))
     parsed = wall - shift
     if local_zone != "UTC":

@@ -89,7 +89,7 @@ def timestamp_text(col: Column) -> Column:
 
 def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
     """Exact decimal quotient, rounded to six places and then to ``scale``; NULL for x / 0."""
-    quotient = number(numerator) / F.nullif(number(denominator, 20), number(F.lit(0), 20))
+    quotient = number(numerator, 38, 6) / F.nullif(number(denominator, 20), number(F.lit(0), 20))
     return F.round(quotient.cast(DecimalType(38, 6)), scale).cast(DecimalType(18, scale))
 
 

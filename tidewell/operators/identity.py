@@ -22,14 +22,20 @@ def _phone_node(phone: Column) -> Column:
     return F.concat(F.lit("p:"), phone)
 
 
-def _best_identifier(email: Column, phone: Column, source: Column, user_id: Column) -> Column:
-    own = F.concat_ws(":", F.lit("r"), source, user_id)
-    return F.coalesce(_email_node(email), _phone_node(phone), own)
+def _best_identifier(email: Column, phone: Column, source: Column, user_id: Column, record: Column) -> Column:
+    named = F.concat(F.lit("r:"), F.coalesce(source, F.lit("")), F.lit(":"), user_id)
+    nameless = F.concat(F.lit("x:"), F.coalesce(source, F.lit("")), F.lit(":"), record)
+    return F.coalesce(_email_node(email), _phone_node(phone), named, nameless)
 
 
-def one_pass_key(email: Column, phone: Column, source: Column, user_id: Column) -> Column:
-    """Person key from the normalised e-mail, else the phone, else the record itself."""
-    return F.sha2(_best_identifier(email, phone, source, user_id), 256)
+def one_pass_key(
+    email: Column, phone: Column, source: Column, user_id: Column, record: Column | None = None
+) -> Column:
+    """Person key from the normalised e-mail, else the phone, else the user id, else the record.
+
+    ``record`` identifies a record's content; without it a record with no identifier has no key.
+    """
+    return F.sha2(_best_identifier(email, phone, source, user_id, F.lit(None) if record is None else record), 256)
 
 
 def connected_components(
@@ -94,6 +100,7 @@ def transitive_keys(
     source: str = "SRC_SYSTEM",
     user_id: str = "SRC_USER_ID",
     out: str = "PERSON_KEY",
+    record: str | None = None,
     *,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -109,7 +116,7 @@ def transitive_keys(
         .distinct()
     )
     components = stage(connected_components(pairs, broadcast_rows=broadcast_rows), "components")
-    best = _best_identifier(e, p, F.col(source), F.col(user_id))
+    best = _best_identifier(e, p, F.col(source), F.col(user_id), F.col(record) if record else F.lit(None))
     rooted = lookup(
         records.withColumn("__best", best),
         components,

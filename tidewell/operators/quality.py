@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.settings import KNOWN_CURRENCIES
+from tidewell.sources.files import CORRUPT
 
 
 def key_violations(df: DataFrame, table: str, key: str) -> DataFrame:
@@ -44,3 +45,20 @@ def currency_report(df: DataFrame, code: str = "CURRENCY", amount: str = "GROSS_
         .agg(F.count("*").alias("row_count"), F.sum(amount).alias("amount"))
         .withColumn("unknown_code", unknown)
     )
+
+
+def bad_records(landed: DataFrame) -> DataFrame:
+    """Rows of each landed file, and how many of them did not parse."""
+    broken = F.try_variant_get("data", f"$.{CORRUPT}", "string").isNotNull()
+    return landed.groupBy("src_system", "src_file").agg(
+        F.count("*").alias("row_count"), F.count_if(broken).alias("bad_rows")
+    )
+
+
+def parse_flags(parsed: DataFrame) -> DataFrame:
+    """Parsed orders per source whose amount names another currency, or whose time has two offsets."""
+    return parsed.groupBy("SOURCE").agg(
+        F.count("*").alias("row_count"),
+        F.count_if("CURRENCY_MISMATCH").alias("currency_mismatches"),
+        F.count_if("TS_AMBIGUOUS").alias("ambiguous_times"),
+    )

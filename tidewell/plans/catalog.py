@@ -18,7 +18,10 @@ def publish(spark: SparkSession, out: str) -> list[str]:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
             for table in tables:
                 name = f"{schema}.{table}"
-                spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+                if spark.catalog.tableExists(name):
+                    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+                        raise ValueError(f"{name} is not one of ours: dropping it would delete its files")
+                    spark.sql(f"DROP TABLE {name}")  # external: the files stay
                 spark.catalog.createTable(name, path=f"{out}/{layer}/{table}", source="parquet")
                 if any(c.isPartition for c in spark.catalog.listColumns(name)):
                     spark.catalog.recoverPartitions(name)

@@ -57,7 +57,8 @@ def person_rows(customers: DataFrame) -> DataFrame:
     A single aggregation. E-mail and phone are the largest raw values, normalised after
     the choice.
     """
-    seen, ties = F.col("LAST_SEEN_UTC"), (F.col("SRC_SYSTEM"), F.col("SRC_USER_ID"))
+    columns = ("SRC_SYSTEM", "SRC_USER_ID", "FULL_NAME", "LOCALE", "MATCH_CONFIDENCE")
+    seen, ties = F.col("LAST_SEEN_UTC"), [F.col(c) for c in columns]
     newest = F.struct("FULL_NAME", "LOCALE", "SRC_SYSTEM", "SRC_USER_ID", "LAST_SEEN_UTC", "MATCH_CONFIDENCE")
     persons = (
         customers.where("PERSON_KEY IS NOT NULL")
@@ -160,7 +161,8 @@ def fact_orders(
 ) -> DataFrame:
     keyed = resolve_order_keys(orders, persons, products, channels, **lookup_options)
     measured = order_measures(keyed, settings.exact_amounts)
-    numbered = number_rows(measured, ["ORDER_TS", "ORDER_ID_SRC", "SOURCE"], "ORDER_NO")
+    first = ["ORDER_TS", "ORDER_ID_SRC", "SOURCE"]
+    numbered = number_rows(measured, [*first, *(c for c in measured.columns if c not in first)], "ORDER_NO")
     return numbered.select(
         F.concat(F.lit("ORD_"), zero_pad(F.col("ORDER_NO"), 6)).alias("ORDER_KEY"),
         "ORDER_ID_SRC",

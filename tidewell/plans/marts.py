@@ -26,7 +26,7 @@ from tidewell.functions.scalars import (
 from tidewell.operators.lookup import Lookup, lookups
 from tidewell.plans.silver import freshness
 from tidewell.session import stage
-from tidewell.settings import FRESHNESS_FLOORS, RECENCY_BEYOND, RECENCY_BUCKETS
+from tidewell.settings import FRESHNESS_LABELS, RECENCY_BEYOND, RECENCY_BUCKETS
 
 WINDOW_DAYS = 30
 TOP_K = 10
@@ -141,17 +141,17 @@ def freshness_distribution(
     """Rows per age class with share of all, every class present.
 
     ``floors`` lifts small counts to a minimum, as the old chart did (``FRESHNESS_FLOORS``);
-    without it the counts are the true ones.
+    without it, and for classes it does not name, the counts are the true ones.
     """
-    floors = floors or dict.fromkeys(FRESHNESS_FLOORS, 0)
-    labels = tuple(floors)
+    floors = floors or {}
+    labels = FRESHNESS_LABELS
     found = snapshot.groupBy(
         freshness(F.col("LAST_UPDATED_UTC"), moment(as_of), labels).alias("freshness_status")
     ).agg(F.count("*").alias("found"))
     # back to one row, a column per class: missing classes and the total come for free
     wide = found.agg(
         *[F.sum(F.when(F.col("freshness_status") == c, F.col("found"))).alias(c) for c in labels]
-    ).select(*[greatest_or_null(F.coalesce(c, F.lit(0)), F.lit(n)).alias(c) for c, n in floors.items()])
+    ).select(*[greatest_or_null(F.coalesce(c, F.lit(0)), F.lit(floors.get(c, 0))).alias(c) for c in labels])
     pairs = ", ".join(f"{i}, '{c}', {c}" for i, c in enumerate(labels))
     long = wide.selectExpr(
         " + ".join(labels) + " AS total", f"stack({len(labels)}, {pairs}) AS (rank, freshness_status, record_count)"
@@ -249,7 +249,8 @@ def recent_orders(
     def named(orders: DataFrame) -> DataFrame:
         return lookups(orders, wanted, **lookup_options)
 
-    newest = [F.desc_nulls_first("ORDER_TS"), F.desc_nulls_first("ORDER_ID_SRC")]
+    # the last columns make the cut total: rows that agree in all of them look the same
+    newest = [F.desc_nulls_first(c) for c in ("ORDER_TS", "ORDER_ID_SRC", "PERSON_KEY", "PRODUCT_ID", "GROSS_AMOUNT")]
     keyed = fact.where("PERSON_KEY IS NOT NULL AND PRODUCT_ID IS NOT NULL").select(
         "ORDER_TS", "ORDER_ID_SRC", "PERSON_KEY", "PRODUCT_ID", "GROSS_AMOUNT"
     )

@@ -53,7 +53,8 @@ def build_silver(
         records = records.unionByName(more.select(*silver.CUSTOMER_COLUMNS))
     records = full_refresh(records, f"{out}/silver/customer_records")
     references = full_refresh(silver.customer_references(records), f"{out}/silver/customer_references")
-    parsed = silver.parsed_orders(bronze["raw_orders"], settings)
+    # parsed once: the lookup counts hot keys on it, then joins it
+    parsed = full_refresh(silver.parsed_orders(bronze["raw_orders"], settings), f"{out}/silver/parsed_orders")
     stock = silver.parsed_inventory(bronze["raw_inventory"], settings)
     frames = {
         "vw_customer_unified": silver.unify_customers(records, settings),
@@ -74,10 +75,11 @@ def build_gold(tables: dict[str, DataFrame], out: str, settings: Settings) -> di
     products = put("dim_product", gold.dim_product(orders, inventory))
     channels = put("dim_channel", gold.dim_channel(orders, inventory, customers))
     fact = gold.fact_orders(orders, persons, products, channels, settings)
-    # rows are numbered in time order, so each task writes to few folders, and the sorted
-    # times within a month let the reader skip row groups
-    month = F.trunc("ORDER_TS", "MM").alias("ORDER_MONTH")
-    fact = put("fact_orders", fact.select("*", month), partition_by=("ORDER_MONTH",))
+    # rows are numbered in time order, so each task writes to few folders; sorted times within
+    # a month let the reader skip row groups
+    dated = fact.select("*", F.trunc("ORDER_TS", "MM").alias("ORDER_MONTH"))
+    dated = dated.sortWithinPartitions("ORDER_MONTH", "ORDER_TS")
+    fact = put("fact_orders", dated, partition_by=("ORDER_MONTH",))
     stock = gold.fact_inventory_snapshot(inventory, products, channels, settings)
     if settings.append_snapshots:
         stock = append_snapshot(stock, f"{out}/gold/fact_inventory_snapshot")

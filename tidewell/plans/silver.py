@@ -18,6 +18,7 @@ from tidewell.functions.scalars import (
 from tidewell.operators.identity import one_pass_key, transitive_keys
 from tidewell.operators.latest import first_per_key
 from tidewell.operators.lookup import lookup
+from tidewell.session import stage
 from tidewell.settings import FRESH_BELOW_SECONDS, STALE_UP_TO_SECONDS, Settings
 from tidewell.sources.landing import field
 
@@ -55,6 +56,7 @@ def customer_records(raw_users: DataFrame, settings: Settings) -> DataFrame:
         field("email_address", "email").alias("email"),
         field("tel", "phone_number", "phone").alias("phone"),
         field("updated_at", "created_local", "last_seen", "created_at").alias("seen"),
+        F.to_json("data").alias("record"),
     )
     cleaned = fields.select(
         parsing.person_name(F.col("name")).alias("FULL_NAME"),
@@ -63,6 +65,8 @@ def customer_records(raw_users: DataFrame, settings: Settings) -> DataFrame:
         F.col("src_system").alias("SRC_SYSTEM"),
         F.col("id").alias("SRC_USER_ID"),
         _source_time(F.col("seen"), settings).alias("LAST_SEEN_UTC"),
+        # a record that names nobody is a person of its own; only its exact copies join it
+        F.when(F.col("id").isNull(), F.sha2("record", 256)).alias("RECORD"),
     )
     records = cleaned.withColumns(
         {
@@ -71,11 +75,13 @@ def customer_records(raw_users: DataFrame, settings: Settings) -> DataFrame:
         }
     )
     if settings.identity_mode == "transitive":
-        keyed = transitive_keys(records)
+        keyed = transitive_keys(records, record="RECORD")
     else:
         keyed = records.withColumn(
             "PERSON_KEY",
-            one_pass_key(F.col("EMAIL"), F.col("PHONE"), F.col("SRC_SYSTEM"), F.col("SRC_USER_ID")),
+            one_pass_key(
+                F.col("EMAIL"), F.col("PHONE"), F.col("SRC_SYSTEM"), F.col("SRC_USER_ID"), F.col("RECORD")
+            ),
         )
     return keyed.select(*CUSTOMER_COLUMNS)
 
@@ -84,7 +90,10 @@ def unify_customers(records: DataFrame, settings: Settings) -> DataFrame:
     """One row per person and source, the latest record; or every record."""
     if settings.customer_grain == "record":
         return records
-    newest = latest_first(F.col("LAST_SEEN_UTC"), F.col("SRC_USER_ID"))
+    # every column takes part, so equal input gives equal rows in whatever order it comes
+    newest = latest_first(
+        F.col("LAST_SEEN_UTC"), *(F.col(c) for c in ("SRC_USER_ID", "FULL_NAME", "EMAIL", "PHONE", "MATCH_CONFIDENCE"))
+    )
     return first_per_key(records, ["PERSON_KEY", "SRC_SYSTEM"], newest)
 
 
@@ -125,17 +134,22 @@ def parsed_orders(raw_orders: DataFrame, settings: Settings) -> DataFrame:
 
 
 def customer_references(records: DataFrame) -> DataFrame:
-    """What an order may name its customer by, per order source: unique (SOURCE, REF)."""
+    """What an order may name its customer by, per order source: unique (SOURCE, REF).
+
+    A reference that several persons have had goes to the one seen last.
+    """
     by_id = records.select(
-        F.col("SRC_SYSTEM").alias("SOURCE"), F.col("SRC_USER_ID").alias("REF"), "PERSON_KEY"
+        F.col("SRC_SYSTEM").alias("SOURCE"), F.col("SRC_USER_ID").alias("REF"), "PERSON_KEY", "LAST_SEEN_UTC"
+    )
+    by_email = records.select(
+        F.lit("OTA").alias("SOURCE"), F.col("EMAIL").alias("REF"), "PERSON_KEY", "LAST_SEEN_UTC"
     )
-    by_email = records.select(F.lit("OTA").alias("SOURCE"), F.col("EMAIL").alias("REF"), "PERSON_KEY")
     return (
         by_id.where("SOURCE <> 'OTA'")
         .unionByName(by_email)
         .where("REF IS NOT NULL")
         .groupBy("SOURCE", "REF")
-        .agg(F.min("PERSON_KEY").alias("PERSON_KEY"))
+        .agg(F.min_by("PERSON_KEY", latest_first(F.col("LAST_SEEN_UTC"), F.col("PERSON_KEY"))).alias("PERSON_KEY"))
     )
 
 
@@ -226,7 +240,7 @@ def unify_inventory(parsed: DataFrame, settings: Settings) -> DataFrame:
         )
         rows = lookup(
             parsed,
-            per_product,
+            stage(per_product, "per-product"),  # its size is measured before the join reads it
             {"CODE": code},
             {"CONFLICT_FLAG": "CONFLICT_FLAG", "SOURCE_COVERAGE": "SOURCE_COVERAGE"},
         )

@@ -180,13 +180,15 @@ RAW_CODE = "'K' || lpad(CAST(part % 50 AS VARCHAR), 3, '0')"
 RAW_USERS = (
     SOURCE_CUSTOMERS
     + """, raw_users AS (
-  SELECT CASE WHEN src = 'STORE' OR k % 23 <> 0 THEN c_name END AS FULL_NAME,
+  SELECT CASE WHEN src <> 'WEBSITE' OR k % 23 <> 0 THEN c_name END AS FULL_NAME,
     CASE WHEN (src = 'STORE' AND k % 13 <> 0) OR (src = 'WEBSITE' AND k % 17 <> 0)
       THEN 'user' || (k // 2) || '@example.com' END AS EMAIL,
-    CASE WHEN src = 'WEBSITE' OR k % 9 <> 0 THEN '61' || lpad(CAST(k AS VARCHAR), 9, '0') END AS PHONE,
-    src AS SRC_SYSTEM, CASE src WHEN 'STORE' THEN 'st_' ELSE 'web_' END || k AS SRC_USER_ID,
+    CASE WHEN src = 'WEBSITE' OR (src = 'STORE' AND k % 9 <> 0) OR (src = 'OTA' AND k % 7 <> 0)
+      THEN '61' || lpad(CAST(k AS VARCHAR), 9, '0') END AS PHONE,
+    CASE src WHEN 'OTA' THEN 'WHATSAPP' ELSE src END AS SRC_SYSTEM,
+    CASE src WHEN 'STORE' THEN 'st_' WHEN 'WEBSITE' THEN 'web_' ELSE 'wa_' END || k AS SRC_USER_ID,
     seen AS LAST_SEEN_UTC
-  FROM source_customers WHERE src IN ('STORE', 'WEBSITE')),
+  FROM source_customers),
 records AS (
   SELECT sha256(coalesce('e:' || EMAIL, 'p:' || PHONE, 'r:' || SRC_SYSTEM || ':' || SRC_USER_ID)) AS PERSON_KEY,
     FULL_NAME, EMAIL, PHONE, CASE WHEN PHONE IS NOT NULL THEN 'AU' END AS LOCALE, SRC_SYSTEM, SRC_USER_ID,
@@ -243,7 +245,7 @@ raw_fact AS (
     FROM raw_orders LEFT JOIN refs USING (SOURCE, ref)))"""
 )
 
-RAW_NOW = "TIMESTAMP '2001-08-02 00:00:00'"
+RAW_NOW = NOW
 RAW_STOCK = """raw_stock AS (
   SELECT 'K' || lpad(CAST(CAST(props->>'$.k' AS INTEGER) % 50 AS VARCHAR), 3, '0') AS PRODUCT_ID,
     CAST(user_id % 10 AS BIGINT) AS AVAILABLE_QTY, CAST(value AS DECIMAL(18,2)) AS PRICE,
@@ -251,7 +253,7 @@ RAW_STOCK = """raw_stock AS (
       ELSE ts END AS LAST_UPDATED_UTC,
     CASE event_type WHEN 'purchase' THEN 'STORE' WHEN 'signup' THEN 'PARTNER' ELSE 'OTA' END AS SRC_SYSTEM,
     CASE WHEN event_type = 'signup' THEN 'P' || event_id END AS ROW_ID
-  FROM events WHERE event_type IN ('purchase', 'signup', 'view')),
+  FROM events),
 raw_latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY PRODUCT_ID, SRC_SYSTEM
     ORDER BY LAST_UPDATED_UTC DESC, ROW_ID, AVAILABLE_QTY, PRICE) AS rn FROM raw_stock) WHERE rn = 1)"""
@@ -263,6 +265,12 @@ def all_oracles() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     # order marts
+    sql["daily_revenue_exact"] = f"""WITH {ORDERS}, d AS (
+    SELECT date_trunc('day', ORDER_TS) AS order_day, count(*) AS n, sum(CAST(GROSS_AMOUNT * 100 AS HUGEINT)) AS cents
+    FROM order_view WHERE STATUS = 'paid' AND ORDER_TS >= DATE '2001-08-02' - 30 GROUP BY 1)
+  SELECT CAST(order_day AS TIMESTAMP) AS order_day, n AS total_orders,
+    CAST(CAST(cents AS DECIMAL(38,0)) / 100 AS DECIMAL(38,2)) AS revenue_aud,
+    CAST({_ratio("cents", "n")} / 100 AS DECIMAL(18,2)) AS aov_aud FROM d"""
     sql["daily_revenue"] = f"""WITH {ORDERS}, whole AS (
     SELECT ORDER_TS, STATUS, CAST(GROSS_AMOUNT AS DECIMAL(38,0)) AS GROSS_AMOUNT FROM order_view)
   {_daily_revenue("whole")}"""
@@ -356,6 +364,7 @@ def all_oracles() -> dict[str, str]:
   FROM snapshot f LEFT JOIN products p ON f.PRODUCT_ID = p.PRODUCT_ID
   LEFT JOIN channels c ON f.CHANNEL_ID = c.CHANNEL_ID"""
     sql["freshness_distribution"] = _floored((0, 0, 0))
+    sql["freshness_distribution_reordered"] = _floored((3, 0, 100000))
     sql["freshness_distribution_floored"] = _floored((25, 15, 9))
 
     # landing and cleaning
@@ -375,6 +384,16 @@ def all_oracles() -> dict[str, str]:
       AS DECIMAL(18,2)) END AS amount,
     {prefix} AS code_in_amount, {money_code} AS currency,
     coalesce({prefix} <> {money_code}, false) AS mismatch FROM orders"""
+    sql["money_parse_strict"] = """SELECT o_orderkey,
+    CASE WHEN o_orderkey % 4 = 2 THEN CAST(1000000 + o_orderkey % 1000 + 0.25 AS DECIMAL(18,2)) END AS amount FROM orders"""
+    sql["timestamp_offsets"] = """SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) - INTERVAL 11 HOUR
+    WHEN 1 THEN date_trunc('second', ts) + INTERVAL 210 MINUTE END AS utc FROM events"""
+    sql["numeric_parquet_landing"] = """SELECT c_custkey, CAST(61000000000 + c_custkey AS VARCHAR) AS phone,
+    CAST(c_custkey * 1000003 + 0.25 AS DECIMAL(18,2)) AS amount FROM customer"""
+    sql["bad_records"] = """SELECT 'STORE' AS src_system, 'customers.csv' AS src_file, count(*) AS row_count,
+    count(*) FILTER (c_custkey % 10 IN (0, 1)) AS bad_rows FROM customer
+  UNION ALL SELECT 'OTA', 'events.jsonl', count(*), count(*) FILTER (event_id % 7 = 0) FROM events
+  UNION ALL SELECT 'WHATSAPP', 'free.jsonl', count(*), count(*) FILTER (event_id % 5 = 0) FROM events"""
     utc = """CASE event_id % 7 WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN ts WHEN 2 THEN date_trunc('second', ts)
       WHEN 3 THEN date_trunc('second', ts) WHEN 4 THEN date_trunc('second', ts)
       WHEN 5 THEN date_trunc('second', ts) + INTERVAL 330 MINUTE END"""
@@ -458,13 +477,15 @@ def all_oracles() -> dict[str, str]:
 
     # the whole build from raw exports
     sql["raw_to_gold_landing"] = f"""WITH {SOURCE_CUSTOMERS}
-  SELECT src AS src_system, CASE src WHEN 'STORE' THEN 'users_store.csv' ELSE 'users_website.csv' END AS src_file,
-    count(*) AS row_count, 'raw_users' AS entity FROM source_customers WHERE src <> 'OTA' GROUP BY src
+  SELECT CASE src WHEN 'OTA' THEN 'WHATSAPP' ELSE src END AS src_system,
+    CASE src WHEN 'STORE' THEN 'users_store.csv' WHEN 'WEBSITE' THEN 'users_website.csv'
+      ELSE 'users_whatsapp.jsonl' END AS src_file,
+    count(*) AS row_count, 'raw_users' AS entity FROM source_customers GROUP BY src
   UNION ALL SELECT {SOURCE}, 'orders_' || lower({SOURCE}) || '.csv', count(*), 'raw_orders' FROM orders GROUP BY 1, 2
   UNION ALL SELECT CASE event_type WHEN 'purchase' THEN 'STORE' WHEN 'signup' THEN 'PARTNER' ELSE 'OTA' END,
     CASE event_type WHEN 'purchase' THEN 'inventory_store.csv' WHEN 'signup' THEN 'inventory_partner.csv'
       ELSE 'inventory_ota.jsonl' END, count(*), 'raw_inventory'
-  FROM events WHERE event_type IN ('purchase', 'signup', 'view') GROUP BY 1, 2"""
+  FROM events GROUP BY 1, 2"""
     sql["raw_to_gold_customers"] = f"WITH {RAW_USERS} SELECT * FROM unified"
     sql["raw_to_gold_dim_person"] = f"WITH {RAW_PERSONS} SELECT * FROM raw_persons"
     sql["raw_to_gold_persons_transitive"] = f"""WITH RECURSIVE {RAW_USERS},

@@ -23,8 +23,8 @@ from tidewell.registry.contract import (
 from tidewell.registry.raw_exports import EXPORT_FILES, write_exports
 from tidewell.session import shared_folder
 from tidewell.settings import FRESHNESS_FLOORS, Settings
-from tidewell.sources.files import read_csv, read_json
-from tidewell.sources.landing import append_all, field, land
+from tidewell.sources.files import CORRUPT, RawFile, read_csv, read_json
+from tidewell.sources.landing import append_all, field, land, land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def daily_revenue(t: Tables) -> DataFrame:
     return marts.daily_revenue(t.keyed_orders(), ORDERS_AS_OF)
 
 
+@register
+def daily_revenue_exact(t: Tables) -> DataFrame:
+    """The same with cents kept."""
+    return marts.daily_revenue(gold.order_measures(t.orders(), exact_amounts=True), ORDERS_AS_OF)
+
+
 @register
 def daily_orders_by_channel(t: Tables) -> DataFrame:
     return marts.daily_orders_by_channel(t.keyed_orders("channels"), ORDERS_AS_OF)
@@ -213,6 +219,12 @@ def freshness_distribution_floored(t: Tables) -> DataFrame:
     return marts.freshness_distribution(t.snapshot(), EVENTS_AS_OF, FRESHNESS_FLOORS)
 
 
+@register
+def freshness_distribution_reordered(t: Tables) -> DataFrame:
+    """Floors in another order, and for two of the classes only."""
+    return marts.freshness_distribution(t.snapshot(), EVENTS_AS_OF, {"expired": 100000, "fresh": 3})
+
+
 # --- landing and cleaning ----------------------------------------------------------------
 
 
@@ -282,6 +294,30 @@ def money_parse(t: Tables) -> DataFrame:
     )
 
 
+@register
+def money_parse_strict(t: Tables) -> DataFrame:
+    """Amounts that only look like one are refused; thousands in threes are read."""
+    key = F.col("o_orderkey")
+    text = (
+        F.when(key % 4 == 0, "1.234,56")
+        .when(key % 4 == 1, F.concat(F.lit("("), key.cast("string"), F.lit(".00)")))
+        .when(key % 4 == 2, F.concat(F.lit("A$1,000,"), F.lpad((key % 1000).cast("string"), 3, "0"), F.lit(".25")))
+        .otherwise("1.5E3")
+    )
+    return t.read("orders").select("o_orderkey", parsing.money(text).alias("amount"))
+
+
+@register
+def timestamp_offsets(t: Tables) -> DataFrame:
+    """Short offsets count; a time with anything else behind it is refused."""
+    rows = t.read("events").selectExpr(
+        "event_id",
+        """concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+           CASE event_id % 3 WHEN 0 THEN '+11' WHEN 1 THEN '-0330' ELSE ' Europe/Paris' END) AS text""",
+    )
+    return rows.select("event_id", parsing.utc_time(F.col("text")).alias("utc"))
+
+
 @register
 def timestamp_parse(t: Tables) -> DataFrame:
     """Each event time written in one of seven formats, and parsed back."""
@@ -457,7 +493,41 @@ def csv_source(t: Tables) -> DataFrame:
         "CASE WHEN c_custkey % 5 <> 0 THEN concat(c_name, ', \"', c_mktsegment, '\"') END AS name",
         "concat(c_custkey, '.0') AS tel",
     ).write.option("header", True).option("escape", '"').csv(path)
-    return read_csv(t.spark, path, ("ID", "name", "tel"))
+    return read_csv(t.spark, path, ("ID", "name", "tel")).drop(CORRUPT)
+
+
+@register
+def bad_records(t: Tables) -> DataFrame:
+    """Rows too wide or too narrow, and broken JSON, land with their text and are counted."""
+    root, at = _new_folder(t, "broken"), ORDERS_AS_OF
+    rows = t.read("customer").selectExpr(
+        "concat(c_custkey, CASE c_custkey % 10 WHEN 0 THEN ',a,b' WHEN 1 THEN '' ELSE ',a' END) AS `id,name`"
+    )
+    rows.write.option("header", True).option("sep", "\u0001").csv(f"{root}/customers.csv")
+    t.read("events").selectExpr("CASE WHEN event_id % 7 = 0 THEN '{\"k\":' ELSE props END").write.text(f"{root}/events.jsonl")
+    t.read("events").selectExpr("CASE WHEN event_id % 5 = 0 THEN '[1,' ELSE props END").write.text(f"{root}/free.jsonl")
+    files = (
+        RawFile("x", "STORE", "customers.csv", ("id", "name")),
+        RawFile("x", "OTA", "events.jsonl", ("k",)),
+        RawFile("x", "WHATSAPP", "free.jsonl"),
+    )
+    return quality.bad_records(land_entity(t.spark, root, "x", at, files))
+
+
+@register
+def numeric_parquet_landing(t: Tables) -> DataFrame:
+    """Phones and amounts that come as floating-point numbers keep all their digits."""
+    root = _new_folder(t, "numbers")
+    rows = t.read("customer").selectExpr(
+        "c_custkey", "CAST(61000000000 + c_custkey AS DOUBLE) AS tel", "c_custkey * 1000003 + 0.25D AS amount"
+    )
+    rows.write.parquet(f"{root}/numbers.parquet")
+    landed = land_entity(t.spark, root, "x", ORDERS_AS_OF, (RawFile("x", "STORE", "numbers.parquet"),))
+    return landed.select(
+        field("c_custkey", as_type="bigint").alias("c_custkey"),
+        parsing.phone(field("tel")).alias("phone"),
+        parsing.money(field("amount")).alias("amount"),
+    )
 
 
 @register
@@ -554,7 +624,10 @@ def raw_to_gold_fact_orders(t: Tables) -> DataFrame:
 
 @register
 def raw_to_gold_fact_inventory(t: Tables) -> DataFrame:
-    return _raw_build(t)["fact_inventory_snapshot"]
+    """As of the end of the events, so that all freshness classes occur."""
+    built, settings = _raw_build(t), Settings(as_of=EVENTS_AS_OF)
+    stock = silver.unify_inventory(silver.parsed_inventory(built["raw_inventory"], settings), settings)
+    return gold.fact_inventory_snapshot(stock, built["dim_product"], built["dim_channel"], settings)
 
 
 @register

@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.scalars import equals_choice
 from tidewell.registry.contract import Tables
 from tidewell.sources.files import RAW_FILES
 
@@ -54,6 +55,16 @@ def users_website(t: Tables) -> DataFrame:
     )
 
 
+def users_whatsapp(t: Tables) -> DataFrame:
+    """Its columns are declared nowhere; phones come as numbers."""
+    return _users(t, "OTA").selectExpr(
+        "concat('wa_', c_custkey) AS wa_id",
+        "lower(c_name) AS name",
+        "CASE WHEN c_custkey % 7 <> 0 THEN 61000000000 + c_custkey END AS phone",
+        "date_format(seen, 'yyyy-MM-dd HH:mm:ss') AS last_seen",
+    )
+
+
 def _orders(t: Tables, source: str) -> DataFrame:
     return (
         t.orders()
@@ -115,10 +126,14 @@ def orders_ota(t: Tables) -> DataFrame:
     )
 
 
-def _stock(t: Tables, event_type: str) -> DataFrame:
+# Every event type is stock of one source; types not named are OTA stock.
+STOCK_OF_EVENT = {"purchase": "STORE", "signup": "PARTNER"}
+
+
+def _stock(t: Tables, source: str) -> DataFrame:
     return (
         t.read("events")
-        .where(F.col("event_type") == event_type)
+        .where(equals_choice(F.col("event_type"), STOCK_OF_EVENT, F.lit("OTA")) == source)
         .selectExpr(
             "event_id",
             "ts",
@@ -130,7 +145,7 @@ def _stock(t: Tables, event_type: str) -> DataFrame:
 
 
 def inventory_store(t: Tables) -> DataFrame:
-    return _stock(t, "purchase").selectExpr(
+    return _stock(t, "STORE").selectExpr(
         "concat('K', lpad(code, 3, '0')) AS sku",
         "stock AS stock_level",
         "amount AS price",
@@ -141,7 +156,7 @@ def inventory_store(t: Tables) -> DataFrame:
 
 
 def inventory_partner(t: Tables) -> DataFrame:
-    return _stock(t, "signup").selectExpr(
+    return _stock(t, "PARTNER").selectExpr(
         "concat('P', event_id) AS partner_product_id",
         "concat('K', lpad(code, 3, '0')) AS product_id",
         "stock AS QTY_AVAILABLE",
@@ -152,7 +167,7 @@ def inventory_partner(t: Tables) -> DataFrame:
 
 
 def inventory_ota(t: Tables) -> DataFrame:
-    return _stock(t, "view").selectExpr(
+    return _stock(t, "OTA").selectExpr(
         "concat('K-', lpad(code, 3, '0')) AS productCode",
         "stock",
         "event_id",
@@ -175,6 +190,7 @@ def inventory_ota(t: Tables) -> DataFrame:
 _EXPORTS = {
     "users/users_store.csv": users_store,
     "users/users_website.csv": users_website,
+    "users/users_whatsapp.jsonl": users_whatsapp,
     "orders/orders_store.csv": orders_store,
     "orders/orders_website.csv": orders_website,
     "orders/orders_ota.csv": orders_ota,

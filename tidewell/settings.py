@@ -34,6 +34,9 @@ RECENCY_BEYOND = "> 90 days"
 FRESH_BELOW_SECONDS = 900
 STALE_UP_TO_SECONDS = 145600
 
+# The freshness classes, newest first.
+FRESHNESS_LABELS = ("fresh", "stale", "expired")
+
 # Minimum counts of the floored freshness chart.
 FRESHNESS_FLOORS = {"fresh": 25, "stale": 15, "expired": 9}
 

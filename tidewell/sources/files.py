@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -17,12 +18,16 @@ class RawFile:
     path: str
     columns: tuple[str, ...] = ()  # empty: take the columns found in the file
     optional: bool = False
+    multi_line: bool = False  # CSV: quoted fields may hold line breaks; such a file is one task's
 
     @property
     def name(self) -> str:
         return self.path.rsplit("/", 1)[-1]
 
 
+#: A record that does not parse keeps its text in this column, and in the landed object.
+CORRUPT = "_corrupt_record"
+
 # The exports and their headers.
 RAW_FILES = (
     RawFile(
@@ -64,15 +69,18 @@ RAW_FILES = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = ()) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, columns: tuple[str, ...] = (), multi_line: bool = False
+) -> DataFrame:
     """All columns as text: guessing types would turn phone numbers into floats.
 
-    A quote inside a quoted field is written twice.
+    A quote inside a quoted field is written twice. With declared columns, rows of another
+    width come with their text in CORRUPT.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns:
-        schema = ", ".join(f"`{c}` STRING" for c in columns)
-        reader = reader.schema(schema).option("enforceSchema", False)
+        schema = ", ".join(f"`{c}` STRING" for c in (*columns, CORRUPT))
+        reader = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
     return reader.csv(path)
 
 
@@ -82,11 +90,17 @@ def read_json(
     """Array files by default; ``lines`` for one object per line, which can be split.
 
     Declared columns are read as VARIANT, so ``5`` and ``"5"`` both survive as written.
+    Without them every record is one VARIANT, column ``data``, and nothing is guessed. What
+    does not parse comes with its text in CORRUPT.
     """
-    reader = spark.read.option("multiLine", not lines)
+    reader = spark.read.option("multiLine", not lines).option("columnNameOfCorruptRecord", CORRUPT)
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` VARIANT" for c in columns))
-    return reader.json(path)
+        fields = [f"`{c}` VARIANT" for c in columns]
+        return reader.schema(", ".join([*fields, f"{CORRUPT} STRING"])).json(path)
+    whole = reader.option("singleVariantColumn", "data").schema(f"data VARIANT, {CORRUPT} STRING").json(path)
+    is_array = F.coalesce(F.schema_of_variant("data").startswith("ARRAY"), F.lit(False))
+    items = F.when(is_array, F.expr("try_variant_get(data, '$', 'array<variant>')")).otherwise(F.array("data"))
+    return whole.select(F.explode_outer(items).alias("data"), CORRUPT)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -98,7 +112,7 @@ def read_raw(spark: SparkSession, root: str, file: RawFile) -> DataFrame | None:
     path = f"{root.rstrip('/')}/{file.path}"
     try:
         if file.path.endswith(".csv"):
-            return read_csv(spark, path, file.columns)
+            return read_csv(spark, path, file.columns, file.multi_line)
         if file.path.endswith((".json", ".jsonl")):
             return read_json(spark, path, file.columns, lines=file.path.endswith(".jsonl"))
         return read_parquet(spark, path)

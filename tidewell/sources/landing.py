@@ -10,11 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import moment
-from tidewell.sources.files import RAW_FILES, RawFile, read_raw
+from tidewell.sources.files import CORRUPT, RAW_FILES, RawFile, read_raw
 
 
 def as_object(df: DataFrame) -> Column:
-    """The whole row as one semi-structured object; NULL fields are left out."""
+    """The whole row as one semi-structured object; NULL fields are left out.
+
+    A record read as one VARIANT is that object already; a broken one is its text in CORRUPT.
+    """
+    if df.columns == ["data", CORRUPT]:
+        broken = F.parse_json(F.to_json(F.struct(F.col(CORRUPT))))
+        return F.when(F.col(CORRUPT).isNull(), F.col("data")).otherwise(broken)
     return F.parse_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
 
 
@@ -54,5 +60,17 @@ def field(*paths: str, as_type: str = "string") -> Column:
     """First of the given object fields that is present and fits the type, else NULL.
 
     The same target field has another name in each export, and ``5`` may come as ``"5"``.
+    A floating-point number becomes text without an exponent, as it would be written by hand.
     """
-    return F.coalesce(*[F.try_variant_get("data", f"$.{p}", as_type) for p in paths])
+
+    def one(path: str) -> Column:
+        value = F.try_variant_get("data", path, as_type)
+        if as_type != "string":
+            return value
+        kind = F.schema_of_variant(F.try_variant_get("data", path, "variant"))
+        exact = F.try_variant_get("data", path, "decimal(38,10)").cast("string")
+        plain = F.regexp_replace(exact, r"\.?0+$", "")
+        floating = value.rlike(r"^-?\d(\.\d+)?E[+-]?\d+$") & kind.isin("DOUBLE", "FLOAT")
+        return F.when(F.coalesce(floating, F.lit(False)), F.coalesce(plain, value)).otherwise(value)
+
+    return F.coalesce(*[one(f"$.{p}") for p in paths])

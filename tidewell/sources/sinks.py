@@ -2,30 +2,48 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _refuse_own_input(df: DataFrame, path: str) -> None:
-    """Spark would delete the files before reading them."""
-    target = urlparse(path).path.rstrip("/") + "/"
-    if any(urlparse(name).path.startswith(target) for name in df.inputFiles()):
-        raise ValueError(f"{path} is read by the query that would replace it")
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``; the old one goes last."""
+    target, fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, f"{new}-old"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(fresh, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot put {new} in the place of {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace the table at ``path`` and return it as stored."""
-    _refuse_own_input(df, path)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replace the table at ``path`` and return it as stored.
+
+    The new table is written beside the old one and takes its place when it is complete, so
+    a build that fails leaves the old table as it was, and a query may read the table it replaces.
+    """
+    path = path.rstrip("/")
+    new = f"{path}__{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(new)
+    _swap(df.sparkSession, new, path)
     # with the schema given, a partitioned table without rows can be read back, too
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def full_refresh_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """The same for a catalog table."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    """Replace a catalog table, whatever the session's partition overwrite mode.
+
+    The catalog drops the old table first; readers that must never miss it read a path.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
