@@ -12,22 +12,29 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewell.llm.text import pieces
+from tidewell.llm.text import flat, pieces, span_hashes, words
 
-#: Words a worker remembers before it starts over.
-CACHE_WORDS = 400_000
+#: Words, and parts of words, that a worker remembers before it starts over.
+CACHE_WORDS, CACHE_PARTS = 900_000, 500_000
+#: Bytes of texts handled together.
+TOGETHER = 1 << 21
 
-_CONTROL = re.compile("[\x1c-\x1f]")
+#: Fixed value: how this vocabulary splits lower-cased text, as published with it.
+PART_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: Characters whose lower case, or whose being white space, depends on who asks; and special strings.
+_DELICATE = re.compile("[\x00-\x1f\x7f-\xa0Σİŉǰΐΰ]|<\\|")
 
 
 def binary_lengths(n: int, most: int) -> list[int]:
@@ -35,48 +42,97 @@ def binary_lengths(n: int, most: int) -> list[int]:
     return [most] * (n // most) + [1 << b for b in range(most.bit_length() - 2, -1, -1) if n % most >> b & 1]
 
 
+class IdTable:
+    """Lists of ids in one array, by number."""
+
+    def __init__(self) -> None:
+        self.ids, self.starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of these numbers one after the other, and their sizes."""
+        begin = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - begin
+        shift = np.repeat(begin - np.cumsum(sizes) + sizes, sizes)
+        return self.ids[shift + np.arange(len(shift))], sizes
+
+
 class WordEncoder:
-    """Ids of texts, word by word. The vocabulary drops white space, so words stand on their own."""
+    """Ids of texts, word by word. The vocabulary drops white space, so words stand on their own.
+
+    A word is split into its parts (letters, a digit, other signs), which come up far more often;
+    only parts not met before go through the library, and words that lower-casing or normalising
+    could change in another way than the library does.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.place: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
-        self.starts: list[int] = [0]
-
-    def _learn(self, new: list[str]) -> None:
-        for word, met in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            ids = met.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.place[word] = len(self.starts) - 1
-            self.starts.append(self.used)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        split = [t.split() if t and not _CONTROL.search(t) else None for t in texts]
-        met = {w for words in split if words for w in words}
-        new = [w for w in met if w not in self.place]
-        if len(self.place) + len(new) > CACHE_WORDS and self.place:
-            self.place, self.used, self.starts, new = {}, 0, [0], list(met)
+        self.pattern = regex.compile(PART_PATTERN)
+        size = self.library.get_vocab_size()
+        self.closes = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.words: dict[int, int] = {}
+        self.parts: dict[str, int] = {}
+        self.word_ids, self.part_ids = IdTable(), IdTable()
+
+    def _split(self, word: str) -> list[str]:
+        if _DELICATE.search(word) or not (word.isascii() or unicodedata.is_normalized("NFC", word)):
+            return ["\0" + word]
+        return self.pattern.findall(word.lower())
+
+    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+        split = [self._split(w.decode()) for w in words]
+        if len(self.parts) > CACHE_PARTS:
+            self.parts, self.part_ids = {}, IdTable()
+        new = [p for p in {p for parts in split for p in parts} if p not in self.parts]
+        plain = [p for p in new if p[0] != "\0"]
+        if plain:  # all at once: the last token of each part is marked
+            ids = np.array(self.library.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+            self._enter(plain, ids, np.diff(np.flatnonzero(np.r_[True, self.closes[ids]])))
+        odd = [p for p in new if p[0] == "\0"]
+        if odd:
+            met = [e.ids for e in self.library.encode_batch_fast([p[1:] for p in odd], add_special_tokens=False)]
+            self._enter(odd, np.array([i for ids in met for i in ids], "<u4"), np.array([len(ids) for ids in met]))
+        numbers = np.array([self.parts[p] for parts in split for p in parts], np.int64)
+        ids, sizes = self.part_ids.get(numbers)
+        sums = np.r_[0, np.cumsum(sizes)]
+        ends = np.r_[0, np.cumsum([len(parts) for parts in split])]
+        self.words.update(zip(hashes, range(len(self.word_ids), len(self.word_ids) + len(words))))
+        self.word_ids.add(ids, np.diff(sums[ends]))
+
+    def _enter(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        if len(sizes) != len(parts):
+            raise ValueError("the vocabulary does not mark the last token of a word")
+        self.parts.update(zip(parts, range(len(self.part_ids), len(self.part_ids) + len(parts))))
+        self.part_ids.add(ids, sizes)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each text has."""
+        data, offsets = flat(column)
+        starts, ends, counts = words(data, offsets)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(column), np.int64)
+        distinct, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.word_ids = {}, IdTable()
+        hashes = distinct.tolist()
+        numbers = [self.words.get(h, -1) for h in hashes]
+        new = [i for i, n in enumerate(numbers) if n < 0]
         if new:
-            self._learn(new)
-        starts = np.array(self.starts)
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:  # empty, or separators that the library does not take for white space
-                ids = self.library.encode(text, add_special_tokens=False).ids if text else []
-                out.append(np.array(ids, "<u4"))
-                continue
-            own = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            begin, sizes = starts[own], starts[own + 1] - starts[own]
-            ends = np.cumsum(sizes)
-            shift = np.repeat(begin - ends + sizes, sizes)
-            out.append(self.ids[shift + np.arange(len(shift))])
-        return out
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn([hashes[i] for i in new], [raw[a:b] for a, b in spans])
+            for i in new:
+                numbers[i] = self.words[hashes[i]]
+        ids, sizes = self.word_ids.get(np.array(numbers, np.int64)[back])
+        sums = np.r_[0, np.cumsum(sizes)]
+        return ids, np.diff(sums[np.r_[0, np.cumsum(counts)]])
 
 
 @lru_cache(maxsize=2)
@@ -103,26 +159,32 @@ def pack(
     if most < 1 or most & (most - 1):
         raise ValueError("the longest sequence must be a power of two")
     kind = documents.schema[key].dataType.simpleString()
-    fields = "start long, length long, ids array<int>, ids_crc32 long, doc_tokens long"
-    names = [f.split()[0] for f in fields.split(", ")]
+    fields = f"start long, length long, {'ids array<int>, ' if with_ids else ''}ids_crc32 long, doc_tokens long"
+    names = [key, *(f.split()[0] for f in fields.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         for batch in batches:
-            for part in pieces(batch, text):
-                rows: list[tuple] = []
-                row_of: list[int] = []
-                for i, ids in enumerate(own.encode(part.column(text).to_pylist())):
-                    ids = np.append(ids, np.array(closing_id, "<u4"))
-                    raw, at = memoryview(ids.tobytes()), 0
-                    for size in binary_lengths(len(ids), most):
-                        kept = ids[at : at + size].astype(np.int32) if with_ids else None
-                        rows.append((at, size, kept, zlib.crc32(raw[4 * at : 4 * (at + size)]), len(ids)))
-                        row_of.append(i)
-                        at += size
-                types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
-                columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-                yield pa.RecordBatch.from_arrays([part.column(key).take(pa.array(row_of, pa.int64())), *columns], names=[key, *names])
+            for part in pieces(batch, text, TOGETHER):
+                ids, counts = own.encode(part.column(text))
+                ids, counts = np.insert(ids, np.cumsum(counts), closing_id), counts + 1
+                split = [binary_lengths(n, most) for n in counts.tolist()]
+                length = np.array([size for sizes in split for size in sizes], np.int64)
+                row = np.repeat(np.arange(len(split)), [len(sizes) for sizes in split])
+                end = np.cumsum(length)
+                start = end - length - (np.cumsum(counts) - counts)[row]
+                raw = memoryview(ids.tobytes())
+                sums = [zlib.crc32(raw[4 * (b - n) : 4 * b]) for b, n in zip(end.tolist(), length.tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, end].astype(np.int32)), pa.array(ids.view(np.int32)))
+                columns = [
+                    part.column(key).take(pa.array(row)),
+                    pa.array(start),
+                    pa.array(length),
+                    *([lists] if with_ids else []),
+                    pa.array(sums, pa.int64()),
+                    pa.array(counts[row]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     found = documents.select(key, text).mapInArrow(run, f"{key} {kind}, {fields}")
     return found.select(
