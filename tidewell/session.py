@@ -77,10 +77,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     This cuts the lineage: later jobs, and tasks repeated after a lost executor, read the
-    same stored rows instead of recomputing them.
+    same stored rows instead of recomputing them. Outside a ``staging`` block the rows stay
+    until ``drop_staged``, as a frame that reads them may be used at any time.
     """
     spark = df.sparkSession
     folder = _scopes[-1] if _scopes else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove what this application has staged; frames that read it are of no use afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
