@@ -279,6 +279,19 @@ def test_keys_hold(tables):
     }
 
 
+def test_build_ends_with_its_checks(tables):
+    assert {(r.table_name, r.key_name) for r in tables["key_violations"].collect()} == {
+        ("dim_product", "PRODUCT_ID_KEY"), ("dim_product", "PRODUCT_ID"),
+    }
+    assert {r.src_file: r.bad_rows for r in tables["bad_records"].collect()} == dict.fromkeys(
+        ["users_store.csv", "users_website.csv", "orders_store.csv", "orders_website.csv", "orders_ota.csv",
+         "inventory_store.csv", "inventory_partner.csv", "inventory_ota.json"], 0
+    )
+    assert {r.SOURCE: r.currency_mismatches for r in tables["parse_flags"].collect()} == {"STORE": 0, "WEBSITE": 0, "OTA": 1}
+    assert {r.key_name: r.orphan_rows for r in tables["orphan_keys"].collect()}["PERSON_KEY"] == 2
+    assert "AUX" in {r.currency for r in tables["currencies"].collect() if r.unknown_code}
+
+
 def test_rebuild_gives_the_same(spark, raw, tables, tmp_path):
     again = pipeline.build(spark, raw, str(tmp_path), Settings(as_of=AS_OF))
     for name in pipeline.GOLD:

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from tidewell.session import stage
 
@@ -46,6 +46,9 @@ def _all_set(names: list[str]) -> Column:
 
 
 def _fits_broadcast(table: DataFrame, rows: int, size: int) -> bool:
+    """Whether rows and bytes are within bounds; values of unknown size are never broadcast."""
+    if any(isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)) for f in table.schema.fields):
+        return False
     width = F.lit(8 * len(table.columns))
     for f in table.schema.fields:
         if isinstance(f.dataType, (StringType, BinaryType)):

@@ -7,11 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators import quality
 from tidewell.plans import gold, silver
 from tidewell.session import staging, use_utc
 from tidewell.settings import Settings
 from tidewell.sources.files import RAW_FILES, RawFile
-from tidewell.sources.landing import land_entity
+from tidewell.sources.landing import append_all, land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh
 
 BRONZE = ("raw_users", "raw_orders", "raw_inventory")
@@ -89,6 +90,23 @@ def build_gold(tables: dict[str, DataFrame], out: str, settings: Settings) -> di
     return dict(zip(GOLD, (persons, products, channels, fact, stock, bridge)))
 
 
+QUALITY = ("key_violations", "orphan_keys", "bad_records", "parse_flags", "currencies")
+
+
+def build_quality(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """What the checks find in a finished build, stored beside it. Nothing is refused."""
+    landed = append_all(tables[n] for n in BRONZE)
+    parsed = tables["vw_orders_clean"].sparkSession.read.parquet(f"{out}/silver/parsed_orders")
+    found = {
+        "key_violations": quality.all_key_violations(tables, gold.TABLE_KEYS),
+        "orphan_keys": quality.orphan_keys(tables["fact_orders"], "fact_orders", ["PERSON_KEY", "PRODUCT_ID", "CHANNEL_ID"]),
+        "bad_records": quality.bad_records(landed),
+        "parse_flags": quality.parse_flags(parsed),
+        "currencies": quality.currency_report(tables["vw_orders_clean"]),
+    }
+    return {name: full_refresh(df, f"{out}/quality/{name}") for name, df in found.items()}
+
+
 def build(
     spark: SparkSession,
     source_root: str,
@@ -97,9 +115,10 @@ def build(
     files: tuple[RawFile, ...] = RAW_FILES,
     extra_customers: Iterable[DataFrame] = (),
 ) -> dict[str, DataFrame]:
-    """Run every layer and return all stored tables by name."""
+    """Run every layer and the checks, and return all stored tables by name."""
     use_utc(spark)
     with staging(spark):
         bronze = build_bronze(spark, source_root, out, settings, files)
         views = build_silver(bronze, out, settings, extra_customers)
-        return {**bronze, **views, **build_gold(views, out, settings)}
+        tables = {**bronze, **views, **build_gold(views, out, settings)}
+        return {**tables, **build_quality(tables, out)}
