@@ -258,6 +258,11 @@ def test_order_keys_follow_the_join_rules(spark, tables):
     ]
 
 
+def test_every_source_id_finds_its_person(tables):
+    ids = by(tables["person_source_ids"], "SRC_SYSTEM", "SRC_USER_ID")
+    assert len(ids) == 9 and ids[("STORE", "a5")].PERSON_KEY == ids[("WEBSITE", "m1")].PERSON_KEY
+
+
 def test_facts_keep_the_row_count(tables):
     assert tables["fact_orders"].count() == tables["vw_orders_clean"].count()
     assert tables["fact_inventory_snapshot"].count() == tables["vw_inventory_unified"].count()

@@ -214,3 +214,8 @@ def bridge_person_identity(customers: DataFrame, settings: Settings) -> DataFram
         "MATCH_CONFIDENCE",
         moment(settings.as_of).alias("LOADED_AT"),
     )
+
+
+def person_source_ids(records: DataFrame) -> DataFrame:
+    """Every id a person has had in a source; the bridge holds the latest of each source only."""
+    return records.where("SRC_USER_ID IS NOT NULL").select("PERSON_KEY", "SRC_SYSTEM", "SRC_USER_ID").distinct()

@@ -121,4 +121,7 @@ def build(
         bronze = build_bronze(spark, source_root, out, settings, files)
         views = build_silver(bronze, out, settings, extra_customers)
         tables = {**bronze, **views, **build_gold(views, out, settings)}
+        records = spark.read.parquet(f"{out}/silver/customer_records")
+        ids = full_refresh(gold.person_source_ids(records), f"{out}/gold/person_source_ids")
+        tables["person_source_ids"] = ids
         return {**tables, **build_quality(tables, out)}

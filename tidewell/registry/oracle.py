@@ -323,6 +323,7 @@ def all_oracles() -> dict[str, str]:
   SELECT 'ORD_' || CASE WHEN length(rn) > 6 THEN rn ELSE lpad(rn, 6, '0') END AS ORDER_KEY,
     * EXCLUDE (rn, SOURCE) FROM n"""
     sql["fact_inventory_snapshot"] = f"WITH {SNAPSHOT} SELECT * FROM snapshot"
+    sql["person_source_ids"] = f"WITH {CUSTOMERS} SELECT DISTINCT PERSON_KEY, SRC_SYSTEM, SRC_USER_ID FROM customers"
     sql["bridge_person_identity"] = f"""WITH {CUSTOMERS}
   SELECT PERSON_KEY, SRC_SYSTEM, SRC_USER_ID AS SRC_CUSTOMER_ID, MATCH_CONFIDENCE,
     TIMESTAMP '2001-08-02' AS LOADED_AT FROM customers"""

@@ -157,6 +157,11 @@ def fact_inventory_snapshot(t: Tables) -> DataFrame:
     return t.snapshot()
 
 
+@register
+def person_source_ids(t: Tables) -> DataFrame:
+    return gold.person_source_ids(t.customers())
+
+
 @register
 def bridge_person_identity(t: Tables) -> DataFrame:
     return gold.bridge_person_identity(t.customers(), t.order_settings())
