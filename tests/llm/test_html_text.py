@@ -32,6 +32,10 @@ JUNK = "zxcv qwer tyui asdf ghjk bnmp"
         # nothing decided inside the article
         (f"<nav><a>a b</a></nav><article><h1>Be.</h1><p>{JUNK}</p></article><footer>{MORE}</footer>", f"Be.\n{JUNK}"),
         (f'<div title="a > b" hidden><p>{MORE}</p></div><p data-x=\'<p>\'>{LONG}</p>', LONG),
+        # names that say what is beside a part
+        (f"<div class='content with-sidebar overflow-hidden'><div class='entry-header'><p>{MORE}</p></div><p data-id='menu' title=' hidden class=ad'>{LONG}</p></div>"
+         f"<div class='site-header'><p>{MORE}</p></div><div class='hidden'><p>{MORE}</p></div>", f"{MORE}\n{LONG}"),
+        (f"<div class='commentList'><p>{MORE}</p></div><article class='comment'><p>{MORE}</p></article><article class='promo'><p>{LONG}</p></article>", LONG),
         (f"<article><p>{LONG}<br>next <b>bold</b> and <a href=x>link</a> in it</p></article>", f"{LONG} next bold and link in it"),
     ],
 )

@@ -45,12 +45,17 @@ STOP_WORDS = frozenset(
 HINTS = frozenset(
     """
     ad ads adv advert adverts advertisement advertising banner bottombar breadcrumb breadcrumbs comment comments
-    consent cookie cookies copyright disclaimer disqus dropdown footer form gdpr header hidden legal login masthead
-    menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager paginate pagination
-    popup promo promoted promotion related reply replies respond responses search share sharing sidebar signin signup
-    social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets
+    consent cookie cookies copyright disclaimer discussion disqus dropdown feedback footer form gdpr header hidden
+    legal login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager
+    paginate pagination popup promo promoted promotion recommendations recommended related reply replies respond
+    responses search share sharing sidebar signin signup social sponsor sponsored subscribe subscription tags toolbar
+    topbar trending widget widgets
     """.split()
 )
+#: A name with one of these says what stands around or beside the part, not what it is.
+ABOUT = frozenset("has with without no not overflow".split())
+#: A header is the site's, not a text's, if its name has no other word than these.
+SITE = frozenset("bar container global header inner main nav site sticky top wrapper".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status".split())
 OUTSIDE = frozenset("aside button dialog footer form menu nav option select head label legend fieldset datalist".split())
 BLOCKS = frozenset(
@@ -83,7 +88,7 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -116,10 +121,13 @@ def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
         low = value.lower().strip()
         if key in ("class", "id") and name not in ("html", "body", "main"):
             for one in value.split():
-                parts = [p.lower() for p in _NAME_PART.findall(one)]
-                title = in_main and "header" in parts
-                if not title and HINTS.intersection(parts) and not (name == "article" and key == "class" and "comment" not in "".join(parts)):
-                    outside = True
+                parts = {p.lower() for p in _NAME_PART.findall(one)}
+                found = HINTS & parts
+                if "header" in found and (in_main or not parts <= SITE):
+                    found = found - {"header"}
+                if name == "article":
+                    found = found & {"comment", "comments", "reply", "replies"}
+                outside |= bool(found) and not parts & ABOUT
         elif key == "role":
             outside |= low in ROLES
             main |= low in ("main", "article")
