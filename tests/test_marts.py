@@ -100,3 +100,15 @@ def test_quality_reports(spark):
     money = frame(spark, [("AUD", 1), ("HKY", 2), (None, 3)], "CURRENCY string, GROSS_AMOUNT int")
     flags = {r.currency: r.unknown_code for r in quality.currency_report(money).collect()}
     assert flags == {"AUD": False, "HKY": True, None: True}
+
+
+def test_recent_orders_beyond_the_newest(spark):
+    """None of the newest orders finds its customer, so all orders are looked up."""
+    t = datetime(2024, 1, 1)
+    rows = [(t + timedelta(minutes=i), str(i), "p" if i < 5 else f"gone{i}", "a", i) for i in range(60)]
+    rows += [(t + timedelta(minutes=4), "4", "q", "a", 9)]  # a tie: the larger key first
+    fact = spark.createDataFrame(rows, "ORDER_TS timestamp_ntz, ORDER_ID_SRC string, PERSON_KEY string, PRODUCT_ID string, GROSS_AMOUNT int")
+    persons = spark.createDataFrame([("p", "Pia"), ("q", "Quy")], "PERSON_KEY string, FULL_NAME string")
+    products = spark.createDataFrame([("a", "A")], "PRODUCT_ID string, PRODUCT_NAME string")
+    found = [(r.FULL_NAME, r.GROSS_AMOUNT) for r in marts.recent_orders(fact, persons, products, 3).collect()]
+    assert found == [("Quy", 9), ("Pia", 4), ("Pia", 3)]
