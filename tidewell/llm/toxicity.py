@@ -137,7 +137,8 @@ def learn(
                 yield pa.RecordBatch.from_arrays([part.column("label"), lists], names=["label", "buckets"])
 
     sample = texts.join(F.broadcast(chosen), "id").select("label", "text")
-    got = sample.mapInArrow(find, "label int, buckets array<int>").toArrow()
+    # a repeated key could bring more rows than labels were chosen
+    got = sample.mapInArrow(find, "label int, buckets array<int>").limit(most_rows).toArrow()
     known = got.column("label").to_numpy()
     if not len(known):
         return None
