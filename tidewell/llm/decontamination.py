@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm import worker
 from tidewell.llm.text import LOWER, flat, mixed, pieces, span_hashes, words
 from tidewell.llm.toxicity import BREAKS
 
@@ -161,6 +162,7 @@ def contaminated(
         own = Items.of(pa.array(block, pa.string()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker.alone()
             names = pa.array(block, pa.string())
             for batch in batches:
                 for part in pieces(batch, text):

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tidewell.llm import worker
 from tidewell.llm.text import ASCII_SPACE, LOWER, flat, pieces, words
 from tidewell.operators.identity import connected_components
 from tidewell.session import stage
@@ -77,6 +78,7 @@ def fingerprints(documents: DataFrame, *, width: int, key: str = "doc_id", text:
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.alone()
         for batch in batches:
             for part in pieces(batch, text):
                 found = fingerprints_of(part.column(text), width).view(np.int64)

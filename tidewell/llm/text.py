@@ -18,6 +18,7 @@ PIECE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3 * 0x9E3779B1 | 1
 _M64 = (1 << 64) - 1
+_USUAL_BITS = 21
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -72,8 +73,7 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII_SPACE
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
 
-@lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers_of(bits: int) -> tuple[np.ndarray, np.ndarray]:
     def run(base: int) -> np.ndarray:
         out = np.full(1 << bits, base, dtype=np.uint64)
         out[0] = 1
@@ -82,6 +82,9 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return run(_BASE & _M64), run(pow(_BASE & _M64, -1, 1 << 64))
 
 
+_usual_powers = lru_cache(maxsize=1)(_powers_of)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads close values apart."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -90,10 +93,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span; equal bytes hash alike wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = _powers(max(16, int(len(data) + 1).bit_length()))
+    """A 64-bit hash of each span; equal bytes hash alike wherever they stand. Starts ascend."""
+    out = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(data), PIECE_BYTES):
+        low, high = np.searchsorted(starts, [at, at + PIECE_BYTES])
+        if low < high:
+            stop = int(ends[low:high].max())
+            out[low:high] = _hashes(data[at:stop], starts[low:high] - at, ends[low:high] - at)
+    return out
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    bits = int(len(data)).bit_length()
+    power, inverse = _usual_powers(_USUAL_BITS) if bits <= _USUAL_BITS else _powers_of(bits)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * inverse[starts]
