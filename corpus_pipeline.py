@@ -21,6 +21,7 @@ from tidewell.llm.decontamination import contaminated
 from tidewell.llm.packing import pack
 from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.suffix_dedup import remove_repeats
+from tidewell.llm.worker import small_batches
 from tidewell.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,6 +33,7 @@ SHINGLE_WORDS, MOST_BITS = 4, 4
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a known language; lang becomes the language found."""
+    small_batches(spark)
     model = language.learn(docs, public_tokenizers.path("piece_bpe_32k.model"), F.lit(True), per_language=400)
     found = language.identify(docs.select(*COLUMNS), model, keep=COLUMNS)
     known = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN))
@@ -40,6 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group, once; rows with a null id stay."""
+    small_batches(spark)
     groups = stage(near_duplicates(docs, width=SHINGLE_WORDS, distance=MOST_BITS), "near-duplicates")
     dropped = stage(groups.where("doc_id > component").select("doc_id").distinct(), "near-duplicates-dropped")
     kept = docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
@@ -51,6 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that an earlier document has; whole characters only."""
+    small_batches(spark)
     cut = remove_repeats(docs, carry=("lang", "source"), whole_characters=True)
     text = F.decode("kept", "UTF-8")
     return cut.where(F.octet_length("kept") > 0).select(
@@ -60,6 +64,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     leaked = stage(contaminated(docs, benchmark).select("doc_id").distinct(), "leaked")
     return docs.select(*COLUMNS).join(leaked, "doc_id", "left_anti").select(*COLUMNS)
@@ -67,6 +72,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length, each a sequence of its own."""
+    small_batches(spark)
     packed = pack(docs, public_tokenizers.path("word_bpe_49k.json"), most=4096, closing_id=2)
     return packed.select("doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -17,12 +17,13 @@ from tidewell.llm.suffix_dedup import remove_repeats
 from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.url_filter import first_segment, host_of, judge, path_of
 from tidewell.llm.vector_search import top_k
+from tidewell.llm.worker import small_batches
 
 TOKEN_LIMIT = 1024
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _remainder(key: str, of: int) -> Column:

@@ -1,4 +1,4 @@
-"""What a Python worker keeps between tasks: the memory of one operator, and no more.
+"""The memory of Python workers: what they keep between tasks, and how much they get at a time.
 
 Spark uses a worker again for later stages. An operator that remembers words between its tasks
 keeps them here; another operator's tasks in the same worker give that memory back first.
@@ -12,6 +12,10 @@ from collections.abc import Callable
 from typing import Any
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Bytes of rows that a task hands to its Python worker at a time.
+BATCH_BYTES = 4 << 20
 
 _kept: dict[str, Any] = {}
 
@@ -39,3 +43,9 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
         alone()
         _kept[name] = make()
     return _kept[name]
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand rows over by BATCH_BYTES: the usual ten thousand rows may be long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return spark
