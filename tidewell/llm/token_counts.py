@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models
 
+from tidewell.llm import worker
 from tidewell.llm.text import pieces
 
 #: Fixed value: the pre-tokenization pattern of this vocabulary, as published with it.
@@ -285,9 +286,8 @@ class PrefixCounter:
         return np.concatenate(parts)
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
-    return PrefixCounter(path)
+    return worker.kept(f"token counts {path}", lambda: PrefixCounter(path))
 
 
 def count_tokens(
