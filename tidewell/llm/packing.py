@@ -10,24 +10,26 @@ encoded whole; repeated rows are packed each on its own; other columns are not c
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
+from tidewell.llm import worker
 from tidewell.llm.text import flat, pieces, span_hashes, words
+from tidewell.llm.token_counts import byte_alphabet
 
 #: Words, and parts of words, that a worker remembers before it starts over.
-CACHE_WORDS, CACHE_PARTS = 900_000, 500_000
+CACHE_WORDS, CACHE_PARTS = 500_000, 300_000
 #: Bytes of texts handled together.
 TOGETHER = 1 << 21
 
@@ -68,49 +70,61 @@ class WordEncoder:
 
     A word is split into its parts (letters, a digit, other signs), which come up far more often;
     only parts not met before go through the library, and words that lower-casing or normalising
-    could change in another way than the library does.
+    could change in another way than the library does. New words are split all at once.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.pattern = regex.compile(PART_PATTERN)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        # the library's merges alone, for parts that are lower-cased and split already
+        self.bare = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=model["end_of_word_suffix"]))
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.alphabet = {b: c for b, c in byte_alphabet().items() if b != ord(" ")}
+        self.pattern = regex.compile(PART_PATTERN + "| ")
         size = self.library.get_vocab_size()
         self.closes = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[int, int] = {}
-        self.parts: dict[str, int] = {}
+        self.parts: dict[str, int] = {" ": 0}  # what parts one word from the next has no ids
         self.word_ids, self.part_ids = IdTable(), IdTable()
-
-    def _split(self, word: str) -> list[str]:
-        if _DELICATE.search(word) or not (word.isascii() or unicodedata.is_normalized("NFC", word)):
-            return ["\0" + word]
-        return self.pattern.findall(word.lower())
+        self.part_ids.add(np.zeros(0, "<u4"), np.zeros(1, np.int64))
 
     def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        split = [self._split(w.decode()) for w in words]
+        text, odd = b" ".join(words).decode(), []
+        if _DELICATE.search(text) or not unicodedata.is_normalized("NFC", text):
+            every = text.split(" ")
+            is_odd = [bool(_DELICATE.search(w)) or not unicodedata.is_normalized("NFC", w) for w in every]
+            odd = [w for w, o in zip(every, is_odd) if o]
+            text = " ".join(w for w, o in zip(every, is_odd) if not o)
+            hashes = [h for h, o in zip(hashes, is_odd) if not o] + [h for h, o in zip(hashes, is_odd) if o]
+        plain = len(words) - len(odd)
         if len(self.parts) > CACHE_PARTS:
-            self.parts, self.part_ids = {}, IdTable()
-        new = [p for p in {p for parts in split for p in parts} if p not in self.parts]
-        plain = [p for p in new if p[0] != "\0"]
-        if plain:  # all at once: the last token of each part is marked
-            ids = np.array(self.library.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
-            self._enter(plain, ids, np.diff(np.flatnonzero(np.r_[True, self.closes[ids]])))
-        odd = [p for p in new if p[0] == "\0"]
+            self.parts, self.part_ids = {" ": 0}, IdTable()
+            self.part_ids.add(np.zeros(0, "<u4"), np.zeros(1, np.int64))
+        parts = self.pattern.findall(text.lower()) if plain else []
+        new = [p for p in set(parts) if p not in self.parts]
+        if new:  # all at once: the last token of each part is marked
+            spelled = " ".join(new).encode().decode("latin-1").translate(self.alphabet)
+            ids = np.array(self.bare.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+            sizes = np.diff(np.flatnonzero(np.r_[True, self.closes[ids]]))
+            if len(sizes) != len(new):
+                raise ValueError("the vocabulary does not mark the last token of a word")
+            self.parts.update(zip(new, range(len(self.part_ids), len(self.part_ids) + len(new))))
+            self.part_ids.add(ids, sizes)
+        if plain:
+            numbers = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
+            ids, sizes = self.part_ids.get(numbers)
+            ends = np.r_[0, np.flatnonzero(numbers == 0), len(parts)]
+            self._enter(hashes[:plain], ids, np.diff(np.r_[0, np.cumsum(sizes)][ends]))
         if odd:
-            met = [e.ids for e in self.library.encode_batch_fast([p[1:] for p in odd], add_special_tokens=False)]
-            self._enter(odd, np.array([i for ids in met for i in ids], "<u4"), np.array([len(ids) for ids in met]))
-        numbers = np.array([self.parts[p] for parts in split for p in parts], np.int64)
-        ids, sizes = self.part_ids.get(numbers)
-        sums = np.r_[0, np.cumsum(sizes)]
-        ends = np.r_[0, np.cumsum([len(parts) for parts in split])]
-        self.words.update(zip(hashes, range(len(self.word_ids), len(self.word_ids) + len(words))))
-        self.word_ids.add(ids, np.diff(sums[ends]))
+            met = [e.ids for e in self.library.encode_batch_fast(odd, add_special_tokens=False)]
+            self._enter(hashes[plain:], np.array([i for ids in met for i in ids], "<u4"), np.array([len(ids) for ids in met]))
 
-    def _enter(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        if len(sizes) != len(parts):
-            raise ValueError("the vocabulary does not mark the last token of a word")
-        self.parts.update(zip(parts, range(len(self.part_ids), len(self.part_ids) + len(parts))))
-        self.part_ids.add(ids, sizes)
+    def _enter(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words.update(zip(hashes, range(len(self.word_ids), len(self.word_ids) + len(hashes))))
+        self.word_ids.add(ids, sizes)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
@@ -135,9 +149,8 @@ class WordEncoder:
         return ids, np.diff(sums[np.r_[0, np.cumsum(counts)]])
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return worker.kept(f"packing {path}", lambda: WordEncoder(path))
 
 
 def pack(
