@@ -1,9 +1,11 @@
 """Benchmark leaks against an alignment at every offset."""
 
+import itertools
 import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,44 @@ def test_against_all_offsets(spark, monkeypatch, block):
     assert found(spark, docs, items) == plain(docs, items)
 
 
+def by_definition(docs, items, share):
+    """Pairs with a window that agrees enough, at any offset."""
+    out = set()
+    for key, text in docs:
+        d = tokens(text)
+        for item, t in items:
+            b = tokens(t)
+            w = min(WINDOW, len(b))
+            for base in range(-len(b) + 1, len(d)) if len(b) >= LEAST_TOKENS else ():
+                same = [0 <= base + i < len(d) and d[base + i] == x for i, x in enumerate(b)]
+                if any(sum(same[i : i + w]) >= math.ceil(share * w - 1e-9) for i in range(len(b) - w + 1)):
+                    out.add((key, item))
+    return out
+
+
+@pytest.mark.parametrize("share", [0.8, 0.7])
+def test_every_permitted_difference_is_found(share):
+    """All sets of tokens that may differ, inside the text and cut by its edges; no seed is asked for."""
+    for n in range(LEAST_TOKENS, 16):
+        item = [f"w{n}x{i}" for i in range(n)]
+        width = min(n, WINDOW)
+        texts = []
+        for gaps in itertools.combinations(range(width), width - math.ceil(share * width - 1e-9)):
+            changed = ["other" if i in gaps else x for i, x in enumerate(item)]
+            texts += [" ".join(["before", *changed, "after"]), " ".join(changed).replace("other", " ").strip() if gaps else ""]
+            kept = [i for i in range(n) if i not in gaps]
+            texts.append(" ".join(changed[kept[0] : kept[-1] + 1]))
+        docs, items = list(enumerate(texts)), [(0, " ".join(item))]
+        own = decontamination.Items.of(pa.array([items[0][1]]), share)
+        got = {(r[0], r[1]) for r in own.verified(*decontamination.tokens(pa.array(texts)), share)}
+        assert got == by_definition(docs, items, share)
+
+
+def test_one_changed_word_of_a_short_item(spark):
+    got = found(spark, [(1, "so who wrote that red book then")], [(1, "Who wrote the red book?")])
+    assert got == [(1, 1, 1, 4, 5)]
+
+
 def test_empty_tables(spark):
     assert found(spark, [], [(1, "a b c d e f g")]) == []
     assert found(spark, [(1, "a b c d e f g")], []) == []

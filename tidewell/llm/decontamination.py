@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed is a fixed mask over a run of tokens; the positions it leaves out may differ. Seeds of the
-test items and of the training texts that hash alike are hits. Around each hit the whole item is
+test items and of the training texts that hash alike are hits. Every set of positions that may
+differ in an item's run has a mask: where MASKS leave one uncovered, as in short items, it has its own. Around each hit the whole item is
 laid over the text at that offset and compared token by token: a text is contaminated if some run
 of WINDOW item tokens (all of a shorter item) agrees in at least the required share.
 
@@ -11,15 +12,17 @@ same wherever they stand.
 
 Cases: tokens are runs of letters and digits, ASCII letters in lower case, so that punctuation and
 white space do not matter; null and empty texts and items have none; items of fewer than
-LEAST_TOKENS tokens are not searched for, as they would meet everywhere; items of fewer tokens
-than a mask is wide are found when all their tokens agree; repeated rows and items give repeated
+LEAST_TOKENS tokens are not searched for, as they would meet everywhere; repeated rows and items give repeated
 pairs; a null key stays. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +63,28 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mixed(out + np.uint64(len(mask)))
 
 
+def least_agreeing(width: int, share: float) -> int:
+    """How many tokens of a run of ``width`` have to agree."""
+    return math.ceil(share * width - 1e-9)
+
+
+@lru_cache(maxsize=None)
+def own_masks(width: int, share: float) -> tuple[tuple[str, int], ...]:
+    """(mask, its place in the run) for each set of positions of a run that may differ and that no mask of MASKS leaves out.
+
+    Masks begin and end with a 1, so that a run which the text's edge cuts is found as well.
+    """
+    out = []
+    for gaps in combinations(range(width), width - max(1, least_agreeing(width, share))):
+        run = "".join("0" if i in gaps else "1" for i in range(width))
+        covered = any(
+            all(run[at + i] == "1" for i, c in enumerate(mask) if c == "1") for mask in MASKS for at in range(width - len(mask) + 1)
+        )
+        if not covered:
+            out.append((run.strip("0"), run.index("1")))
+    return tuple(out)
+
+
 @dataclass
 class Items:
     """Distinct test items of one block, and their seeds in order of hash."""
@@ -69,19 +94,25 @@ class Items:
     masks: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]  # mask, seed hashes, item, place in the item
 
     @staticmethod
-    def of(column: pa.Array) -> Items:
+    def of(column: pa.Array, share: float) -> Items:
         hashes, offsets = tokens(column)
         sizes = np.diff(offsets)
         item = np.repeat(np.arange(len(sizes)), sizes)
-        widest = max(map(len, MASKS))
-        short = sorted({int(n) for n in sizes if LEAST_TOKENS <= n < widest})
+        wanted: dict[str, list[tuple[int, int]]] = {mask: [] for mask in MASKS}  # (width of the run, place in it)
+        for width in sorted({min(int(n), WINDOW) for n in sizes if n >= LEAST_TOKENS}):
+            for mask, at in own_masks(width, share):
+                wanted.setdefault(mask, []).append((width, at))
         masks = []
-        for mask in [*MASKS, *("1" * n for n in short if "1" * n not in MASKS)]:
+        for mask, runs in wanted.items():
             found = seeds(hashes, mask)
             place = np.arange(len(found))
-            good = (item[place] == item[place + len(mask) - 1]) & (sizes[item[place]] >= LEAST_TOKENS)
-            if mask not in MASKS:  # for items of just this size
-                good &= sizes[item[place]] == len(mask)
+            within, size = place - offsets[item[place]], sizes[item[place]]
+            good = (item[place] == item[place + len(mask) - 1]) & (size >= LEAST_TOKENS)
+            if mask not in MASKS:  # for runs of just this width
+                ours = np.zeros(len(found), bool)
+                for width, at in runs:
+                    ours |= (np.minimum(size, WINDOW) == width) & (within >= at) & (within - at + width <= size)
+                good &= ours
             found, place = found[good], place[good]
             order = np.argsort(found, kind="stable")
             place = place[order]
@@ -159,7 +190,7 @@ def contaminated(
     numbers = "first_token long, n_agreeing long, n_item_tokens long"
 
     def search(block: list[str]) -> DataFrame:
-        own = Items.of(pa.array(block, pa.string()))
+        own = Items.of(pa.array(block, pa.string()), share)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             worker.alone()
