@@ -121,6 +121,19 @@ def test_machine_learns_pairs():
     assert np.abs(machine.factors).max() > 0.1
 
 
+def test_machine_learns_a_partner_without_effect_of_its_own():
+    """A word as often in toxic texts as any other, but in all of them beside an insult."""
+    rng = random.Random(3)
+    kinds = [("insult group", 1)] * 48 + [("group", 0)] * 352 + [("insult", 1)] * 166 + [("insult", 0)] * 386
+    kinds += [("slur", 1)] * 986 + [("", 0)] * 8062
+    texts = [" ".join([words, *(f"w{rng.randint(0, 40)}" for _ in range(8))]) for words, _ in kinds]
+    labels = np.array([label for _, label in kinds])
+    row, bucket = toxicity.terms(pa.array(texts))
+    machine = toxicity.fit(np.split(bucket, np.searchsorted(row, np.arange(1, len(texts)))), labels)
+    both, one, other = machine.score(pa.array(["insult w1 group", "insult w1", "w1 group"]))
+    assert labels.sum() == 1200 and both > one + 0.1 and other < 0.3
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, "bad " * 5000), (3, "bad"), (None, "bad"), (4, "fine"), (5, "bad day")], "doc_id long, text string"

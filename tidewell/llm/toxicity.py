@@ -3,8 +3,8 @@
 A text is the set of its terms' hash buckets. The score is the logistic function of a bias, a
 weight per bucket, and for every pair of buckets present the inner product of their factors, so
 that words which are harmless alone can count together. Buckets enter the machine if they are
-found more often with one label than with the other than chance explains; the others have weight
-and factors zero. It is fitted by gradient descent on a bounded sample of labelled rows.
+found more often with one label than with the other than chance explains, in all texts or in those
+that hold a bucket which does so in all; the others have weight and factors zero. It is fitted by gradient descent on a bounded sample of labelled rows.
 
 Cases: a null or empty text has the score of the bias alone; texts of any length are scored whole;
 if there is nothing to learn from, all scores are 0; rows with a null label or key are not learnt
@@ -25,7 +25,8 @@ from tidewell.llm.text import LOWER, flat, pieces, span_hashes, words
 
 BUCKET_BITS = 20
 FACTORS = 8
-#: Buckets that enter: at most so many, with a difference of at least so many standard errors.
+#: Buckets that enter by themselves: at most so many, with a difference of at least so many standard
+#: errors. As many more enter as their partners, with a difference that chance gives to no pair.
 MOST_BUCKETS = 1024
 LEAST_EVIDENCE = 4.0
 STEPS, RATE, DECAY = 250, 0.05, 1e-4
@@ -67,6 +68,38 @@ class FactorisationMachine:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
+def _evidence(seen: np.ndarray, with_label: np.ndarray, n: int, share: float) -> np.ndarray:
+    """Standard errors by which buckets in ``seen`` of n texts differ from the share of the label among them."""
+    spread = np.sqrt(np.maximum(seen * share * (1 - share) * (n - seen) / max(n - 1, 1), 1e-9))
+    return np.where(seen >= 3, np.abs(with_label - seen * share) / spread, 0)
+
+
+def partners(strong: np.ndarray, flat_buckets: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Buckets that tell the label in the texts that hold one of the strong ones."""
+    seen = np.bincount(flat_buckets, minlength=1 << BUCKET_BITS)
+    often = seen[flat_buckets] >= 3
+    names, at = np.unique(flat_buckets[often], return_inverse=True)
+    owner = owner[often]
+    ends = np.searchsorted(owner, np.arange(len(labels)), side="right")
+    sizes = np.diff(np.r_[0, ends])
+    by_bucket = np.argsort(at, kind="stable")
+    heads = np.searchsorted(at[by_bucket], np.arange(len(names) + 1))
+    best, tried = np.zeros(len(names)), 0
+    for i in np.searchsorted(names, strong):
+        own = owner[by_bucket[heads[i] : heads[i + 1]]]
+        size, label = sizes[own], labels[own]
+        beside = at[np.arange(size.sum()) + np.repeat(ends[own] - np.cumsum(size), size)]
+        both = np.bincount(beside, minlength=len(names))
+        toxic = np.bincount(beside[np.repeat(label > 0, size)], minlength=len(names))
+        near = np.flatnonzero(both >= 3)
+        tried += len(near)
+        best[near] = np.maximum(best[near], _evidence(both[near], toxic[near], len(own), label.mean()))
+    best[np.isin(names, strong)] = 0
+    first = np.argsort(-best, kind="stable")[:MOST_BUCKETS]
+    least = max(LEAST_EVIDENCE, np.sqrt(2 * np.log(max(tried, 1))))
+    return names[first[best[first] >= least]]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> FactorisationMachine:
     """The machine of texts given as buckets, and their labels 0 and 1."""
     n, positive = len(labels), int(labels.sum())
@@ -75,10 +108,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> FactorisationMachine:
     seen = np.bincount(flat_buckets, minlength=1 << BUCKET_BITS)
     with_label = np.bincount(flat_buckets, labels[owner].astype(float), minlength=1 << BUCKET_BITS)
     share = positive / max(n, 1)
-    spread = np.sqrt(np.maximum(seen * share * (1 - share) * (n - seen) / max(n - 1, 1), 1e-9))
-    evidence = np.where(seen >= 3, np.abs(with_label - seen * share) / spread, 0)
+    evidence = _evidence(seen, with_label, n, share)
     best = np.argsort(-evidence, kind="stable")[:MOST_BUCKETS]
-    buckets = np.sort(best[evidence[best] >= LEAST_EVIDENCE])
+    buckets = best[evidence[best] >= LEAST_EVIDENCE]
+    buckets = np.sort(np.r_[buckets, partners(buckets, flat_buckets, owner, labels)])
     at = np.searchsorted(buckets, flat_buckets)
     known = np.isin(flat_buckets, buckets)
     x = np.zeros((n, len(buckets)), np.float32)
