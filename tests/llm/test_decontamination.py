@@ -18,7 +18,7 @@ def tokens(text):
 
 
 def plain(docs, items, share=0.8):
-    """Best offset of each pair with a seed in common and a window that agrees enough."""
+    """Best offset of each pair with a window that agrees enough."""
     out = []
     for key, text in docs:
         d = tokens(text)
@@ -28,14 +28,8 @@ def plain(docs, items, share=0.8):
                 continue
             for base in range(-len(b) + 1, len(d)):
                 same = [0 <= base + i < len(d) and d[base + i] == x for i, x in enumerate(b)]
-                masks = list(MASKS) + (["1" * len(b)] if len(b) < max(map(len, MASKS)) else [])
-                seed = any(
-                    all(same[i + k] for k, c in enumerate(m) if c == "1") and base + i >= 0 and base + i + len(m) <= len(d)
-                    for m in masks
-                    for i in range(len(b) - len(m) + 1)
-                )
                 w = min(WINDOW, len(b))
-                if seed and any(sum(same[i : i + w]) >= math.ceil(share * w - 1e-9) for i in range(len(b) - w + 1)):
+                if any(sum(same[i : i + w]) >= math.ceil(share * w - 1e-9) for i in range(len(b) - w + 1)):
                     best = max(best or (-1, 0), (sum(same), -base))
             if best:
                 out.append((key, item, -best[1], best[0], len(b)))
