@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language, toxicity
+from tidewell.llm import byte_bpe, language, toxicity
 from tidewell.llm.decontamination import contaminated
 from tidewell.llm.html_text import extract
 from tidewell.llm.packing import pack
@@ -161,9 +161,23 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_read(spark, folder, "documents"), tokenizer, most=4096, closing_id=2, with_ids=False)
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = _read(spark, folder, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, most_words=1 << 16)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_html_text, op2_toxicity, op3_suffix_dedup, op4_simhash, op5_language, op6_url_filter, op7_decontamination, op8_token_counts, op9_top_k, op10_packing,
+        op13_byte_bpe,
     )
     return {q.__name__: q for q in made}
 
