@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import byte_bpe, language, toxicity
+from tidewell.llm.centroid_clusters import cluster
 from tidewell.llm.decontamination import contaminated
 from tidewell.llm.html_text import extract
 from tidewell.llm.packing import pack
@@ -16,8 +18,11 @@ from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.suffix_dedup import remove_repeats
 from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.url_filter import first_segment, host_of, judge, path_of
+from tidewell.llm.vector_codes import compress
 from tidewell.llm.vector_search import top_k
 from tidewell.llm.worker import small_batches
+from tidewell.operators.lookup import lookup
+from tidewell.session import stage
 
 TOKEN_LIMIT = 1024
 
@@ -161,6 +166,106 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_read(spark, folder, "documents"), tokenizer, most=4096, closing_id=2, with_ids=False)
 
 
+def _digest(numbers: list[int]) -> str:
+    return hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest()
+
+
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = compress(_read(spark, folder, "embeddings"), parts=4, entries=256, rounds=4, scale=1024, keep=("label",))
+    hex_codes = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    rows = stage(coded.select("vec_id", "label", hex_codes.alias("code"), "error"), "codes")
+    label = F.coalesce(F.concat(F.lit("="), F.col("label").cast("string")), F.lit(""))  # keeps null joinable
+    per_label = stage(rows.groupBy(label.alias("key")).agg(F.sum("error").alias("label_error")), "label-errors")
+    summed = lookup(rows, per_label, {"key": label}, {"label_error": "label_error"})
+    digest = F.lit(_digest([int(x) for book in books for entry in book for x in entry]))
+    return summed.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def _op11_sql() -> str:
+    """The rounds written out one after the other."""
+
+    def assigned(round_: int) -> str:
+        apart = "list_inner_product(w, w) - 2 * list_inner_product(w, c.c) + list_inner_product(c.c, c.c)"
+        return f"""a{round_} AS MATERIALIZED (
+  SELECT r, p, any_value(w) AS w, min({{'d': CAST({apart} AS BIGINT), 'e': e}}) AS best
+  FROM parts JOIN c{round_} c USING (p) GROUP BY r, p
+)"""
+
+    def improved(round_: int) -> str:
+        return f"""c{round_ + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, old.c) AS c FROM c{round_} old LEFT JOIN (
+    SELECT p, e, list(x ORDER BY i) AS c FROM (
+      SELECT p, best.e AS e, i, floor(sum(w[i]) / count(*)) AS x FROM a{round_}, range(1, 17) g(i) GROUP BY ALL
+    ) GROUP BY p, e) m USING (p, e)
+)"""
+
+    rounds = ",\n".join(f"{assigned(i)},\n{improved(i)}" for i in range(4))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS MATERIALIZED (
+  SELECT r, CAST(p AS INTEGER) AS p, v[16 * p + 1 : 16 * p + 16] AS w FROM k, range(4) g(p)
+), c0 AS MATERIALIZED (
+  SELECT p, e, w AS c FROM parts JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM k) USING (r) WHERE e < 256
+), {rounds},
+{assigned(4)}, books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) AS codebooks_sha256
+  FROM c4
+), coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a4 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN k USING (r), books
+"""
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found, centroids = cluster(_read(spark, folder, "embeddings"), clusters=40, rounds=5, dims=64, scale=256, salt="2:")
+    rows = stage(found, "clusters")
+    inertia = {r["cluster"]: int(r["sum"]) for r in rows.groupBy("cluster").agg(F.sum("distance").alias("sum")).collect()}
+    total = sum(inertia.values())
+    about = [(c, i, total, _digest(centroids[c].tolist())) for c, i in inertia.items()]
+    table = spark.createDataFrame(about, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    joined = rows.join(F.broadcast(table), "cluster")  # a row per centroid
+    return joined.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op12_sql() -> str:
+    """The rounds written out one after the other."""
+
+    def assigned(round_: int) -> str:
+        apart = "list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c)"
+        return f"""a{round_} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': CAST({apart} AS BIGINT), 'e': e}}) AS best FROM k, c{round_} GROUP BY r
+)"""
+
+    def improved(round_: int) -> str:
+        return f"""c{round_ + 1} AS MATERIALIZED (
+  SELECT e, coalesce(m.c, old.c) AS c FROM c{round_} old LEFT JOIN (
+    SELECT e, list(x ORDER BY i) AS c FROM (
+      SELECT best.e AS e, i, floor(sum(v[i]) / count(*)) AS x FROM a{round_}, range(1, 65) g(i) GROUP BY ALL
+    ) GROUP BY e) m USING (e)
+)"""
+
+    rounds = ",\n".join(f"{assigned(i)},\n{improved(i)}" for i in range(5))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT e, v AS c FROM (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS e FROM k WHERE vec_id IS NOT NULL)
+  WHERE e < 40
+), {rounds},
+{assigned(5)}
+SELECT vec_id, CAST(best.e AS INTEGER) AS cluster, best.d AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.e) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON e = best.e
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = _read(spark, folder, "documents").select("doc_id", "text")
@@ -177,10 +282,15 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_html_text, op2_toxicity, op3_suffix_dedup, op4_simhash, op5_language, op6_url_filter, op7_decontamination, op8_token_counts, op9_top_k, op10_packing,
-        op13_byte_bpe,
+        op11_vector_codes, op12_centroid_clusters, op13_byte_bpe,
     )
     return {q.__name__: q for q in made}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_url_filter": OP6_SQL, "op9_top_k": OP9_SQL}
+    return {
+        "op6_url_filter": OP6_SQL,
+        "op9_top_k": OP9_SQL,
+        "op11_vector_codes": _op11_sql(),
+        "op12_centroid_clusters": _op12_sql(),
+    }
