@@ -469,6 +469,7 @@ def all_oracles() -> dict[str, str]:
     c_custkey || '.0' AS tel FROM customer"""
     sql["json_source"] = """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(props->>'$.k' AS INTEGER) END AS k,
     CASE WHEN event_id % 2 <> 0 THEN 'none' END AS text FROM events"""
+    sql["json_array_split"] = """SELECT event_id, user_id, event_type, '}],"' || chr(92) || props AS text FROM events"""
     sql["full_refresh_sink"] = "SELECT c_custkey AS id, c_name AS name FROM customer"
     sql["snapshot_append"] = f"""WITH {STOCK}, days AS (
     SELECT unnest([{NOW}, {NOW} + INTERVAL 1 DAY]) AS t)

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import parsing, scalars
@@ -24,6 +24,7 @@ from tidewell.registry.raw_exports import EXPORT_FILES, write_exports
 from tidewell.session import shared_folder
 from tidewell.settings import FRESHNESS_FLOORS, Settings
 from tidewell.sources.files import CORRUPT, RawFile, read_csv, read_json
+from tidewell.sources.json_arrays import read_json_array
 from tidewell.sources.landing import append_all, field, land, land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh
 
@@ -550,6 +551,35 @@ def json_source(t: Tables) -> DataFrame:
     )
 
 
+@register
+def json_array_split(t: Tables) -> DataFrame:
+    """Events written as two large JSON arrays, with braces and quotes in their texts, and read in pieces."""
+    path = _new_folder(t, "json-arrays")
+    records = t.read("events").select(
+        (F.col("event_id") % 2).alias("file"),
+        F.col("event_id").alias("place"),
+        F.to_json(
+            F.struct(
+                "event_id",
+                F.struct("user_id", F.struct("event_type").alias("of")).alias("inner"),
+                F.concat(F.lit('}],"\\'), "props").alias("text"),
+            )
+        ).alias("value"),
+    )
+    first = Window.partitionBy("file").orderBy("place")
+    lines = records.withColumn("value", F.concat(F.when(F.row_number().over(first) == 1, "[").otherwise(","), "value"))
+    ends = records.groupBy("file").agg((F.max("place") + 1).alias("place"), F.lit("]").alias("value"))
+    placed = lines.unionByName(ends).repartition(2, "file").sortWithinPartitions("file", "place")
+    placed.select("file", "value").write.partitionBy("file").text(path)
+    rows = read_json_array(t.spark, path, ("event_id", "inner", "text"))
+    return rows.selectExpr(
+        "variant_get(event_id, '$', 'bigint') AS event_id",
+        "variant_get(inner, '$.user_id', 'bigint') AS user_id",
+        "variant_get(inner, '$.of.event_type', 'string') AS event_type",
+        "variant_get(text, '$', 'string') AS text",
+    )
+
+
 @register
 def full_refresh_sink(t: Tables) -> DataFrame:
     """A table replaced by a second build holds the second build only."""

@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.sources.corrupt import CORRUPT
+from tidewell.sources.json_arrays import read_json_array
+
 
 @dataclass(frozen=True)
 class RawFile:
@@ -25,8 +28,8 @@ class RawFile:
         return self.path.rsplit("/", 1)[-1]
 
 
-#: A record that does not parse keeps its text in this column, and in the landed object.
-CORRUPT = "_corrupt_record"
+#: Array files beyond this size are read by many tasks.
+WHOLE_ARRAY_BYTES = 64 * 1024 * 1024
 
 # The exports and their headers.
 RAW_FILES = (
@@ -87,7 +90,7 @@ def read_csv(
 def read_json(
     spark: SparkSession, path: str, columns: tuple[str, ...] = (), lines: bool = False
 ) -> DataFrame:
-    """Array files by default; ``lines`` for one object per line, which can be split.
+    """Array files by default, one task each; ``lines`` for one object per line, which can be split.
 
     Declared columns are read as VARIANT, so ``5`` and ``"5"`` both survive as written.
     Without them every record is one VARIANT, column ``data``, and nothing is guessed. What
@@ -107,14 +110,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _bytes_of(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files of a folder; their content is not read."""
+    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+
+
 def read_raw(spark: SparkSession, root: str, file: RawFile) -> DataFrame | None:
     """The rows of one export; None when an optional export is absent."""
     path = f"{root.rstrip('/')}/{file.path}"
     try:
         if file.path.endswith(".csv"):
             return read_csv(spark, path, file.columns, file.multi_line)
-        if file.path.endswith((".json", ".jsonl")):
-            return read_json(spark, path, file.columns, lines=file.path.endswith(".jsonl"))
+        if file.path.endswith(".jsonl"):
+            return read_json(spark, path, file.columns, lines=True)
+        if file.path.endswith(".json"):
+            large = _bytes_of(spark, path) > WHOLE_ARRAY_BYTES
+            return read_json_array(spark, path, file.columns) if large else read_json(spark, path, file.columns)
         return read_parquet(spark, path)
     except AnalysisException as e:
         if file.optional and e.getCondition() == "PATH_NOT_FOUND":
