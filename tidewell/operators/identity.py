@@ -93,6 +93,19 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
     return broken.isEmpty()
 
 
+def identifier_pairs(records: DataFrame, email: str, phone: str) -> DataFrame:
+    """``(a, b)``: identifiers that stand in one record."""
+    e, p = F.col(email), F.col(phone)
+    named = records.where(e.isNotNull() & p.isNotNull())
+    return named.select(_email_node(e).alias("a"), _phone_node(p).alias("b")).distinct()
+
+
+def identifiers(records: DataFrame, email: str, phone: str) -> DataFrame:
+    """``node``: every e-mail and phone of the records."""
+    both = F.array(_email_node(F.col(email)), _phone_node(F.col(phone)))
+    return records.select(F.explode(both).alias("node")).where("node IS NOT NULL").distinct()
+
+
 def transitive_keys(
     records: DataFrame,
     email: str = "EMAIL",
@@ -109,13 +122,27 @@ def transitive_keys(
     Nodes are identifiers, not records: copies of one e-mail / phone pair collapse to a single
     edge before anything else happens, and a record needs just one lookup at the end.
     """
-    e, p = F.col(email), F.col(phone)
-    pairs = (
-        records.where(e.isNotNull() & p.isNotNull())
-        .select(_email_node(e).alias("a"), _phone_node(p).alias("b"))
-        .distinct()
-    )
+    pairs = identifier_pairs(records, email, phone)
     components = stage(connected_components(pairs, broadcast_rows=broadcast_rows), "components")
+    return component_keys(
+        records, components, email, phone, source, user_id, out, record, broadcast_rows=broadcast_rows
+    )
+
+
+def component_keys(
+    records: DataFrame,
+    components: DataFrame,
+    email: str = "EMAIL",
+    phone: str = "PHONE",
+    source: str = "SRC_SYSTEM",
+    user_id: str = "SRC_USER_ID",
+    out: str = "PERSON_KEY",
+    record: str | None = None,
+    *,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Add the person key of each record, given ``(node, root)`` of the identifiers that have one."""
+    e, p = F.col(email), F.col(phone)
     best = _best_identifier(e, p, F.col(source), F.col(user_id), F.col(record) if record else F.lit(None))
     rooted = lookup(
         records.withColumn("__best", best),

@@ -26,6 +26,7 @@ from tidewell.functions.scalars import (
 )
 from tidewell.operators.lookup import Lookup, lookups
 from tidewell.operators.numbering import number_rows
+from tidewell.operators.stable_keys import with_stable_numbers
 from tidewell.settings import (
     CATEGORY_DEFAULT,
     CATEGORY_PREFIXES,
@@ -33,6 +34,7 @@ from tidewell.settings import (
     CHANNEL_TYPES,
     Settings,
 )
+from tidewell.sources.gate import Gate
 
 # Keys each table promises to keep unique and filled.
 TABLE_KEYS = {
@@ -42,8 +44,19 @@ TABLE_KEYS = {
 }
 
 
-def with_surrogate(df: DataFrame, business_key: str, name: str) -> DataFrame:
-    """Dense number in business-key order; a NULL key stays without a number."""
+def table_gate(name: str, allowed: dict[str, int]) -> Gate:
+    """What rows of a gold table must fulfil to be stored in it."""
+    rules = {"time filled": F.col("ORDER_TS").isNull(), "amount filled": F.col("GROSS_AMOUNT").isNull()}
+    return Gate(rules if name == "fact_orders" else {}, tuple(TABLE_KEYS.get(name, ())), allowed)
+
+
+def with_surrogate(df: DataFrame, business_key: str, name: str, key_map: str | None = None) -> DataFrame:
+    """Dense number in business-key order; a NULL key stays without a number.
+
+    With a key map, a folder that earlier builds have filled, known keys keep their numbers.
+    """
+    if key_map is not None:
+        return with_stable_numbers(df, business_key, name, key_map)
     numbered = number_rows(df, [business_key], name)
     return numbered.withColumn(name, F.when(F.col(business_key).isNotNull(), F.col(name)))
 
@@ -108,16 +121,18 @@ def channel_rows(orders: DataFrame, inventory: DataFrame, customers: DataFrame)
     )
 
 
-def dim_person(customers: DataFrame) -> DataFrame:
-    return with_surrogate(person_rows(customers), "PERSON_KEY", "PERSON_ID")
+def dim_person(customers: DataFrame, key_map: str | None = None) -> DataFrame:
+    return with_surrogate(person_rows(customers), "PERSON_KEY", "PERSON_ID", key_map)
 
 
-def dim_product(orders: DataFrame, inventory: DataFrame) -> DataFrame:
-    return with_surrogate(product_rows(orders, inventory), "PRODUCT_ID", "PRODUCT_ID_KEY")
+def dim_product(orders: DataFrame, inventory: DataFrame, key_map: str | None = None) -> DataFrame:
+    return with_surrogate(product_rows(orders, inventory), "PRODUCT_ID", "PRODUCT_ID_KEY", key_map)
 
 
-def dim_channel(orders: DataFrame, inventory: DataFrame, customers: DataFrame) -> DataFrame:
-    return with_surrogate(channel_rows(orders, inventory, customers), "CHANNEL_ID", "CHANNEL_KEY")
+def dim_channel(
+    orders: DataFrame, inventory: DataFrame, customers: DataFrame, key_map: str | None = None
+) -> DataFrame:
+    return with_surrogate(channel_rows(orders, inventory, customers), "CHANNEL_ID", "CHANNEL_KEY", key_map)
 
 
 # --- facts and bridge --------------------------------------------------------------------

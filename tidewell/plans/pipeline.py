@@ -12,6 +12,7 @@ from tidewell.plans import gold, silver
 from tidewell.session import staging, use_utc
 from tidewell.settings import Settings
 from tidewell.sources.files import RAW_FILES, RawFile
+from tidewell.sources.gate import gated_refresh
 from tidewell.sources.landing import append_all, land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh
 
@@ -70,11 +71,17 @@ def build_gold(tables: dict[str, DataFrame], out: str, settings: Settings) -> di
     customers, orders, inventory = (tables[n] for n in SILVER)
 
     def put(name: str, df: DataFrame, **kw) -> DataFrame:
-        return full_refresh(df, f"{out}/gold/{name}", **kw)
+        if settings.quality_limits is None:
+            return full_refresh(df, f"{out}/gold/{name}", **kw)
+        gate = gold.table_gate(name, settings.quality_limits.get(name, {}))
+        return gated_refresh(df, f"{out}/gold/{name}", gate, f"{out}/quarantine/{name}", **kw)
 
-    persons = put("dim_person", gold.dim_person(customers))
-    products = put("dim_product", gold.dim_product(orders, inventory))
-    channels = put("dim_channel", gold.dim_channel(orders, inventory, customers))
+    def keys(name: str) -> str | None:
+        return f"{out}/keys/{name}" if settings.stable_keys else None
+
+    persons = put("dim_person", gold.dim_person(customers, keys("dim_person")))
+    products = put("dim_product", gold.dim_product(orders, inventory, keys("dim_product")))
+    channels = put("dim_channel", gold.dim_channel(orders, inventory, customers, keys("dim_channel")))
     fact = gold.fact_orders(orders, persons, products, channels, settings)
     # rows are numbered in time order, so each task writes to few folders; sorted times within
     # a month let the reader skip row groups
@@ -94,7 +101,7 @@ QUALITY = ("key_violations", "orphan_keys", "bad_records", "parse_flags", "curre
 
 
 def build_quality(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """What the checks find in a finished build, stored beside it. Nothing is refused."""
+    """What the checks find in a finished build, stored beside it. Gates refuse rows, this does not."""
     landed = append_all(tables[n] for n in BRONZE)
     parsed = tables["vw_orders_clean"].sparkSession.read.parquet(f"{out}/silver/parsed_orders")
     found = {

@@ -317,6 +317,9 @@ def all_oracles() -> dict[str, str]:
   SELECT *, row_number() OVER (ORDER BY CHANNEL_ID) AS CHANNEL_KEY FROM channels"""
     sql["surrogate_key_distributed"] = """SELECT o_orderdate, o_orderkey,
     row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders"""
+    sql["stable_surrogate_keys"] = f"""WITH {CUSTOMERS},
+  known AS (SELECT PERSON_KEY, max(SRC_SYSTEM = 'STORE') AS first FROM customers GROUP BY 1)
+  SELECT PERSON_KEY, row_number() OVER (ORDER BY first DESC, PERSON_KEY) AS PERSON_ID FROM known"""
     sql["fact_orders"] = f"""WITH {KEYED_ORDERS}, n AS (
     SELECT CAST(row_number() OVER (ORDER BY ORDER_TS ASC NULLS LAST, ORDER_ID_SRC ASC NULLS LAST, SOURCE ASC NULLS LAST)
       AS VARCHAR) AS rn, * FROM keyed)
@@ -448,12 +451,20 @@ def all_oracles() -> dict[str, str]:
   SELECT SRC_SYSTEM, SRC_USER_ID, sha256(coalesce(root, e, p, {own})) AS PERSON_KEY
   FROM contacts LEFT JOIN roots ON node = coalesce(e, p)"""
 
+    sql["identity_incremental"] = sql["identity_components"]
+
     # quality
     sql["key_violations"] = """SELECT 'lineitem' AS table_name, 'LINE' AS key_name,
     l_orderkey || '/' || l_linenumber AS key_value, count(*) AS row_count
   FROM lineitem GROUP BY 3 HAVING count(*) > 1
   UNION ALL SELECT 'dim_product', 'PRODUCT_ID', NULL, 1
   WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))"""
+    sql["quality_gate"] = """WITH lines AS (
+    SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem),
+  judged AS (SELECT *, array_to_string(list_filter([CASE WHEN l_linenumber = 7 THEN 'LINE filled' END,
+      CASE WHEN copies > 1 AND l_linenumber <> 7 THEN 'LINE unique' END,
+      CASE WHEN l_quantity > 45 THEN 'quantity' END], lambda x: x IS NOT NULL), ', ') AS rules FROM lines)
+  SELECT rules, count(*) AS row_count, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM judged GROUP BY 1"""
     sql["orphan_keys"] = f"""WITH {KEYED_ORDERS}
   SELECT 'fact_orders' AS table_name, 'PERSON_KEY' AS key_name, count(*) FILTER (PERSON_KEY IS NULL) AS orphan_rows,
     count(*) AS row_count FROM keyed

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import parsing, scalars
 from tidewell.operators import quality
 from tidewell.operators.identity import one_pass_key, transitive_keys
+from tidewell.operators.identity_store import IdentityStore
 from tidewell.operators.numbering import number_rows
 from tidewell.plans import gold, marts, pipeline, silver
 from tidewell.registry.contract import (
@@ -24,6 +26,7 @@ from tidewell.registry.raw_exports import EXPORT_FILES, write_exports
 from tidewell.session import shared_folder
 from tidewell.settings import FRESHNESS_FLOORS, Settings
 from tidewell.sources.files import CORRUPT, RawFile, read_csv, read_json
+from tidewell.sources.gate import Gate, QualityError, gated_refresh
 from tidewell.sources.json_arrays import read_json_array
 from tidewell.sources.landing import append_all, field, land, land_entity
 from tidewell.sources.sinks import append_snapshot, full_refresh
@@ -148,6 +151,14 @@ def surrogate_key_distributed(t: Tables) -> DataFrame:
     return number_rows(orders, ["o_orderdate", "o_orderkey"], "rn")
 
 
+@register
+def stable_surrogate_keys(t: Tables) -> DataFrame:
+    """Person numbers after two builds; the first one knew the customers of one source only."""
+    key_map, customers = _new_folder(t, "person-keys"), t.silver_customers()
+    gold.dim_person(customers.where("SRC_SYSTEM = 'STORE'"), key_map)
+    return gold.dim_person(customers, key_map).select("PERSON_KEY", "PERSON_ID")
+
+
 @register
 def fact_orders(t: Tables) -> DataFrame:
     return gold.fact_orders(t.silver_orders(), t.persons(), t.products(), t.channels(), t.order_settings())
@@ -464,6 +475,16 @@ def identity_components(t: Tables) -> DataFrame:
     return transitive_keys(records).select("SRC_SYSTEM", "SRC_USER_ID", "PERSON_KEY")
 
 
+@register
+def identity_incremental(t: Tables) -> DataFrame:
+    """The same people when the customers come in three batches."""
+    records = t.stored("contacts", lambda: _contacts(t))
+    store = IdentityStore(_new_folder(t, "identity"))
+    for batch in range(3):
+        store.add(records.where(F.col("SRC_USER_ID").cast("long") % 3 == batch), batch)
+    return store.keys(records).select("SRC_SYSTEM", "SRC_USER_ID", "PERSON_KEY")
+
+
 # --- quality -----------------------------------------------------------------------------
 
 
@@ -476,6 +497,24 @@ def key_violations(t: Tables) -> DataFrame:
     return quality.all_key_violations(tables, keys)
 
 
+@register
+def quality_gate(t: Tables) -> DataFrame:
+    """Order lines written through a gate: those that pass, and those it holds back by the rules they break."""
+    lines = t.read("lineitem").selectExpr(
+        "CASE WHEN l_linenumber <> 7 THEN concat(l_orderkey, '/', l_linenumber) END AS LINE", "l_quantity"
+    )
+    gate = Gate({"quantity": F.col("l_quantity") > 45}, unique=("LINE",), allowed={})
+    folder = _new_folder(t, "gated")
+    try:  # the first build is refused and leaves no table, only what was found
+        gated_refresh(lines, f"{folder}/lines", gate, f"{folder}/refused")
+    except QualityError as refused:
+        gate = replace(gate, allowed=refused.found)
+    kept = gated_refresh(lines, f"{folder}/lines", gate, f"{folder}/quarantine")
+    held = t.spark.read.parquet(f"{folder}/quarantine").withColumn("rules", F.array_join(F.array_sort("broken_rules"), ", "))
+    rows = kept.withColumn("rules", F.lit("")).unionByName(held.drop("broken_rules"))
+    return rows.groupBy("rules").agg(F.count("*").alias("row_count"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+
+
 @register
 def orphan_keys(t: Tables) -> DataFrame:
     fact = t.keyed_orders("persons", "products", "channels")

@@ -58,6 +58,9 @@ class Settings:
     default_currency: str = "AUD"
     local_zones: dict[str, str] = field(default_factory=dict)  # source -> zone of local times
     append_snapshots: bool = False
+    stable_keys: bool = False  # surrogate keys stay from build to build
+    # gold table -> rule -> rows that may break it; given, gold tables are written through gates
+    quality_limits: dict[str, dict[str, int]] | None = None
 
     def __post_init__(self) -> None:
         for name, allowed in (

@@ -1,4 +1,4 @@
-"""Table writers: full refresh, and daily snapshots that add up."""
+"""Table writers: full refresh, daily snapshots that add up, and tables that grow batch by batch."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
     """Put the finished folder ``new`` in the place of ``path``; the old one goes last."""
     target, fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, f"{new}-old"))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -32,11 +32,39 @@ def full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     path = path.rstrip("/")
     new = f"{path}__{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(new)
-    _swap(df.sparkSession, new, path)
+    swap_in(df.sparkSession, new, path)
     # with the schema given, a partitioned table without rows can be read back, too
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches of the table at ``path``, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def put_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Store the rows of one batch; running the same batch again replaces it.
+
+    The batch is written to a hidden folder and renamed, so that readers see all of it or none.
+    """
+    path = path.rstrip("/")
+    new = f"{path}/_new-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    swap_in(df.sparkSession, new, f"{path}/batch={batch}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The rows of all batches (numbered below ``before``) with their ``batch``; none if there is no table."""
+    rows = [n for n in stored_batches(spark, path) if before is None or n < before]
+    if not rows:
+        return spark.createDataFrame([], f"{schema}, batch int")
+    folders = [f"{path.rstrip('/')}/batch={n}" for n in rows]
+    return spark.read.schema(f"{schema}, batch int").option("basePath", path).parquet(*folders)
+
+
 def full_refresh_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Replace a catalog table, whatever the session's partition overwrite mode.
 
