@@ -4,15 +4,16 @@ A vocabulary is a rank file: every piece of bytes has a rank, which is its id. A
 words by the vocabulary's pattern. A word starts as the array of its bytes, each the piece of one
 byte, and is folded: each step looks the rank of every two neighbours up in a literal map and merges
 those of the lowest rank, wherever they stand, until no two neighbours have a rank. While a word is
-folded a piece is one symbol, the code point of its id above ``FIRST_SYMBOL``, so that a merge of two
-pieces is one ``replace``, which goes from left to right as the merges do. Merging a rank everywhere
+folded a piece is one symbol, a character that stands for its id, so that a merge of two pieces is
+one ``replace``, which goes from left to right as the merges do. Merging a rank everywhere
 at once is the same as merging it place by place, as no merge makes a pair of a lower rank than its
 own; ``read_ranks`` proves that for a file by folding every piece.
 
 Words repeat, so the distinct words of all texts are counted and the ``most_words`` most frequent of
-them folded once; their symbols reach the texts as a literal table with two places for each word.
-What the table does not have (rarer words, words of over ``LONGEST_WORD`` bytes, words without a free
-place) is folded where it stands. No text is shuffled, only the counts of distinct words are.
+them folded once; their ids reach the texts as a literal map. Literals are set as session variables,
+which Spark replaces by their values when it plans. What the map does not have (rarer words, words of
+over ``LONGEST_WORD`` bytes) is folded where it stands. No text is shuffled, only the counts of
+distinct words are.
 
 Decoding looks the bytes of every id up in a literal array and concatenates them.
 
@@ -25,8 +26,10 @@ as the word, so a random word of 100,000 letters takes minutes while a repetitiv
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import re
+import uuid
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -38,16 +41,17 @@ from pyspark.sql import functions as F
 
 from tidewell.session import stage
 
-#: Code point of the symbol of id 0.
-FIRST_SYMBOL = 0x10000
+#: Symbols are characters from here on; those of small vocabularies end before the surrogates.
+FIRST_SYMBOL, FIRST_SYMBOL_OF_MANY, SURROGATES = 0x100, 0x10000, 0xD800
 #: Buckets of the literal rank map: a lookup goes through the pairs of one bucket.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 16
+#: Pieces of a word up to which it is cheaper to take neighbours one by one.
+SHORT = 64
 #: Bytes of the longest word that may enter the table of frequent words.
 LONGEST_WORD = 64
 #: Counts of words are binned by this many bins a doubling to find the least count that enters.
 BINS = 8
-#: Between literals that are joined to one string; a word that holds it stays out of the table.
-_CUT = "\x1f"
+_RANKS = "ARRAY<MAP<STRING, INT>>"
 
 
 @dataclass(frozen=True)
@@ -89,18 +93,28 @@ def _parts(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, int] | None:
     return first, second
 
 
-def _symbol(identifier: int) -> str:
-    return chr(FIRST_SYMBOL + identifier)
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
 
 
-def _literals(values: list[str]) -> Column:
-    """An array literal; joined to one string, as Spark folds the split when it plans."""
-    return F.split(F.lit(_CUT.join(values)), _CUT)
+def _variable(spark: SparkSession, name: str, table: DataFrame, kind: str) -> Column:
+    """The one value of ``table`` as a literal: Spark puts a session variable's value in its place."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {kind}")
+    table.createOrReplaceTempView(name)
+    spark.sql(f"SET VARIABLE {name} = (SELECT value FROM {name})")
+    spark.catalog.dropTempView(name)
+    return F.expr(f"session.{name}")
+
+
+def _literal(spark: SparkSession, text: str, parsed: Column, kind: str) -> Column:
+    """The literal that ``parsed`` makes of the column ``text``. It is named by its value: a literal is set anew by itself only."""
+    name = f"literal_{hashlib.sha256(f'{kind} {text}'.encode()).hexdigest()[:24]}"
+    return _variable(spark, name, spark.createDataFrame([(text,)], "text string").select(parsed.alias("value")), kind)
+
+
+def _texts(spark: SparkSession, values: list[str]) -> Column:
+    return _literal(spark, "\n".join(values), F.split("text", "\n"), "ARRAY<STRING>")
 
 
 # --- words ---------------------------------------------------------------------------------
@@ -141,7 +155,8 @@ def _java_patterns(spark: SparkSession, pattern: str) -> tuple[str, str]:
 def words_of(spark: SparkSession, text: Column, pattern: str) -> Column:
     """The words of a text in order; none of a null text."""
     plain, wide = _java_patterns(spark, pattern)
-    found = F.when(text.rlike(r"\p{Cn}"), F.regexp_extract_all(text, F.lit(wide), F.lit(0)))
+    unknown = (F.octet_length(text) > F.length(text)) & text.rlike(r"\p{Cn}")
+    found = F.when(unknown, F.regexp_extract_all(text, F.lit(wide), F.lit(0)))
     return F.coalesce(found.otherwise(F.regexp_extract_all(text, F.lit(plain), F.lit(0))), F.array().cast("array<string>"))
 
 
@@ -156,7 +171,7 @@ class Folding:
     parts: Column  # by id: the two symbols it is merged from
     symbols: Column  # by id: its symbol
     single: str  # the symbols of the 256 bytes
-    pieces: Column  # by id: its bytes, as the characters of the same codes
+    first: int  # code point of the symbol of id 0
 
     def rank(self, pair: Column) -> Column:
         return F.element_at(F.get(self.ranks, F.pmod(F.crc32(pair.cast("binary")), F.lit(BUCKETS)).cast("int")), pair)
@@ -167,10 +182,11 @@ class Folding:
         start = F.translate(latin, "".join(map(chr, range(256))), self.single)
 
         def step(state: Column) -> Column:
-            least = _let(
-                F.split(state["left"], ""),
-                lambda now: F.array_min(F.zip_with(now, F.slice(now, 2, F.size(now)), lambda a, b: self.rank(F.concat(a, b)))),
-            )
+            left = state["left"]
+            places = F.sequence(F.lit(1), F.greatest(F.length(left) - 1, F.lit(1)))
+            of_short = F.transform(places, lambda place: self.rank(F.substring(left, place, F.lit(2))))
+            neighbours = F.regexp_extract_all(left, F.lit("(?s)(?=(..))"), F.lit(1))
+            least = F.array_min(F.when(F.length(left) <= SHORT, of_short).otherwise(F.transform(neighbours, self.rank)))
             merged = lambda rank: F.replace(state["left"], F.get(self.parts, rank), F.get(self.symbols, rank))
             return _let(least, lambda rank: F.struct(F.coalesce(merged(rank), state["left"]).alias("left"), rank.isNotNull().alias("open")))
 
@@ -181,84 +197,90 @@ class Folding:
             lambda state: state["left"],
         )
 
+    def ids(self, word: Column) -> Column:
+        """The ids of a word's pieces."""
+        return F.transform(F.split(self.fold(word), ""), lambda symbol: F.ascii(symbol) - self.first)
+
 
-def folding(path: str) -> Folding:
+def folding(spark: SparkSession, path: str) -> Folding:
     known = read_ranks(path)
+    first = FIRST_SYMBOL if FIRST_SYMBOL + len(known.pieces) <= SURROGATES else FIRST_SYMBOL_OF_MANY
+    symbols = [chr(first + i) for i in range(len(known.pieces))]
+    pairs = [symbols[p[0]] + symbols[p[1]] if p else "" for p in known.parts]
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    pairs = [_symbol(p[0]) + _symbol(p[1]) if p else "" for p in known.parts]
     for identifier, pair in enumerate(pairs):
         if pair:
             buckets[zlib.crc32(pair.encode()) % BUCKETS][pair] = identifier
     return Folding(
-        ranks=F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>"),
-        parts=_literals(pairs),
-        symbols=_literals([_symbol(i) for i in range(len(pairs))]),
-        single="".join(_symbol(known.pieces.index(bytes([b]))) for b in range(256)),
-        pieces=F.from_json(F.lit(json.dumps([p.decode("latin-1") for p in known.pieces])), "array<string>"),
+        ranks=_literal(spark, json.dumps(buckets), F.from_json("text", _RANKS), _RANKS),
+        parts=_texts(spark, pairs),
+        symbols=_texts(spark, symbols),
+        single="".join(symbols[known.pieces.index(bytes([b]))] for b in range(256)),
+        first=first,
     )
 
 
+def _pieces(spark: SparkSession, path: str) -> Column:
+    """By id: the bytes of a piece, as the characters of the same codes."""
+    pieces = json.dumps([p.decode("latin-1") for p in read_ranks(path).pieces])
+    return _literal(spark, pieces, F.from_json("text", "array<string>"), "ARRAY<STRING>")
+
+
 # --- frequent words ------------------------------------------------------------------------
 
 
-def _places(word: Column, slots: int) -> tuple[Column, Column]:
-    mixed = F.xxhash64(word)
-    return F.pmod(mixed, F.lit(slots)).cast("int"), F.pmod(F.shiftright(mixed, 32), F.lit(slots)).cast("int")
+def _bucket(word: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
 
 
-def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tuple[Column, Column, int]:
-    """Words and symbols by place, and the number of places: at most ``most_words`` words, the most frequent.
+def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tuple[Column, int]:
+    """Buckets of a map from words to ids, and how many there are: the most frequent words, ``most_words`` at most.
 
     ``words`` has one column of arrays. Words of a count that not all fit in with stay out.
     """
+    spark = words.sparkSession
     counted = stage(words.select(F.explode(words.columns[0]).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
-    fits = (F.octet_length("word") <= LONGEST_WORD) & ~F.contains("word", F.lit(_CUT))
     level = F.floor(F.log2("n") * BINS).cast("int").alias("level")
-    levels = counted.where(fits).groupBy(level).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    fitting = counted.where(F.octet_length("word") <= LONGEST_WORD).select("word", level)
     least, room = None, most_words
-    for row in levels:
+    for row in fitting.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
         room -= row["n"]
         if room < 0:
             break
         least = row["level"]
-    slots = 2 * most_words
-    keys, values = [""] * slots, [""] * slots
-    if least is not None:
-        first, second = _places(F.col("word"), slots)
-        chosen = counted.where(fits).withColumn("level", level).where(F.col("level") >= least)
-        for row in chosen.select("word", vocabulary.fold(F.col("word")).alias("symbols"), first.alias("a"), second.alias("b")).sort(
-            F.desc("n"), "word"
-        ).collect():
-            place = next((p for p in (row["a"], row["b"]) if not keys[p]), None)
-            if place is not None:
-                keys[place], values[place] = row["word"], row["symbols"]
-    return _literals(keys), _literals(values), slots
+    chosen = fitting.where(F.col("level") >= least if least is not None else F.lit(False))
+    # at most most_words short words from here on, told by the counts above
+    buckets = 2 * most_words
+    folded = stage(chosen.repartition(F.xxhash64("word")).select("word", vocabulary.ids(F.col("word")).alias("ids")), "folded-words")
+    entries = F.collect_list(F.struct("word", "ids")).alias("entries")
+    filled = folded.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(entries)
+    in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
+    every = spark.range(buckets).join(filled, "id", "left")
+    table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
+    return _variable(spark, f"words_{uuid.uuid4().hex}", table, "ARRAY<MAP<STRING, ARRAY<INT>>>"), buckets
 
 
 # --- texts ---------------------------------------------------------------------------------
 
 
 def encode(
-    df: DataFrame, path: str, pattern: str, *, text: str = "text", ids: str = "ids", most_words: int = 1 << 16
+    df: DataFrame, path: str, pattern: str, *, text: str = "text", ids: str = "ids", most_words: int = 1 << 18
 ) -> DataFrame:
     """``df`` with the ids of its texts, an array of integers."""
-    spark, vocabulary = df.sparkSession, folding(path)
+    spark, vocabulary = df.sparkSession, folding(df.sparkSession, path)
     words = words_of(spark, F.col(text), pattern)
-    keys, values, slots = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
+    known, buckets = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
 
-    def symbols(word: Column) -> Column:
-        first, second = _places(word, slots)
-        known = F.when(F.get(keys, first) == word, F.get(values, first)).when(F.get(keys, second) == word, F.get(values, second))
-        return F.coalesce(known, vocabulary.fold(word))
+    def ids_of(word: Column) -> Column:
+        return F.coalesce(F.element_at(F.get(known, _bucket(word, buckets)), word), vocabulary.ids(word))
 
-    all_symbols = F.array_join(F.transform(words, symbols), "")
-    identifiers = F.transform(F.filter(F.split(all_symbols, ""), lambda s: s != ""), lambda s: F.ascii(s) - FIRST_SYMBOL)
-    return df.withColumn(ids, identifiers)
+    return df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
 
 
-def decode(ids: Column, path: str) -> Column:
+def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     """The bytes of the pieces with these ids, one after the other."""
-    vocabulary = folding(path)
-    latin = F.transform(ids, lambda i: F.get(vocabulary.pieces, i))
-    whole = F.when(~F.exists(latin, lambda piece: piece.isNull()), F.array_join(latin, ""))
-    return F.encode(whole, "ISO-8859-1")
+    pieces = _pieces(spark, path)
+    unknown = "\u0100"  # not the character of a byte
+    whole = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "", unknown)
+    known = _let(whole, lambda latin: F.when(~F.contains(latin, F.lit(unknown)), latin))
+    return F.encode(known, "ISO-8859-1")

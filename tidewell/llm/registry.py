@@ -269,13 +269,14 @@ FROM a5 JOIN c5 ON e = best.e
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = _read(spark, folder, "documents").select("doc_id", "text")
-    encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, most_words=1 << 16)
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, most_words=1 << 18)
+    listed = F.to_json("ids")  # [1,2,3]
+    joined = F.substring(listed, F.lit(2), F.length(listed) - 2)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+        F.sha2(byte_bpe.decode(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"),
     )
 
 
