@@ -73,3 +73,23 @@ def test_pieces(spark, library):
         assert {r.doc_tokens for r in own} == {len(expected)}
     assert sum(r.length for r in docs[3]) == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for k, t in rows if k == 3)
     assert pack(df.limit(0), PATH, with_ids=False).collect() == []
+
+
+def test_words_of_one_hash_keep_their_own_ids(library):
+    from test_text import alike
+
+    rows, own = list(alike()), WordEncoder(PATH)
+    for texts_in in (rows, rows[::-1], [rows[0]], [rows[1]], ["x ".join(rows)]):
+        ids, counts = own.encode(pa.array(texts_in))
+        expected = [e.ids for e in library.encode_batch(texts_in, add_special_tokens=False)]
+        assert ids.tolist() == [i for e in expected for i in e] and counts.tolist() == [len(e) for e in expected]
+
+
+def test_memory_of_words_is_bounded(monkeypatch, library):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 2000)
+    own, rng = WordEncoder(PATH), random.Random(9)
+    for _ in range(30):
+        text = " ".join("".join(rng.choices("abc1", k=rng.randint(1, 30))) for _ in range(50))
+        ids, _ = own.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own.held < 2000 + 2000 and sum(map(len, own.words)) == own.held

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tidewell.llm import text
-from tidewell.llm.text import flat, pieces, span_hashes, words
+from tidewell.llm.text import distinct_spans, flat, pieces, span_hashes, words
 
 
 def test_words_and_hashes(monkeypatch):
@@ -33,3 +33,27 @@ def test_pieces_hold_whole_rows():
     assert all(len(p) == 1 or sum(len(x or "") for x in p) <= 10 for p in cut)
     assert list(pieces(batch.slice(0, 0), "t")) == []
     assert np.array_equal(flat(pa.array([], pa.string()))[1], [0])
+
+
+def alike() -> tuple[str, str]:
+    """Two strings that every polynomial hash modulo a power of two takes as one."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_distinct_spans_are_told_apart_by_their_bytes(monkeypatch):
+    rng = random.Random(2)
+    usual = " ".join("".join(rng.choice("ab") for _ in range(rng.randint(1, 4))) for _ in range(300))
+    first, second = alike()
+    for text_in in (usual, f"{usual} {first} a {first}", f"a {first} {second} a {second} ab", "", "a"):
+        data, offsets = flat(pa.array([text_in]))
+        starts, ends, _ = words(data, offsets)
+        for size in (50, 1 << 20):
+            monkeypatch.setattr(text, "PIECE_BYTES", size)
+            firsts, back = distinct_spans(data, starts, ends)
+            expected = text_in.split()
+            assert [expected[i] for i in firsts[back]] == expected and len(firsts) == len(set(expected))
+    data, offsets = flat(pa.array([" ".join(alike())]))
+    assert len(set(span_hashes(data, *words(data, offsets)[:2]).tolist())) == 1  # the case is a real one

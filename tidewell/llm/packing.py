@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tidewell.llm import worker
-from tidewell.llm.text import flat, pieces, span_hashes, words
+from tidewell.llm.text import distinct_spans, flat, pieces, words
 from tidewell.llm.token_counts import byte_alphabet
 
 #: Words, and parts of words, that a worker remembers before it starts over.
 CACHE_WORDS, CACHE_PARTS = 500_000, 300_000
+#: Bytes of these words.
+CACHE_BYTES = 16 << 20
 #: Bytes of texts handled together.
 TOGETHER = 1 << 21
 
@@ -86,22 +88,23 @@ class WordEncoder:
         self.pattern = regex.compile(PART_PATTERN + "| ")
         size = self.library.get_vocab_size()
         self.closes = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words: dict[int, int] = {}
+        self.words: dict[bytes, int] = {}
+        self.held = self.part_bytes = 0  # bytes of the words and parts remembered
         self.parts: dict[str, int] = {" ": 0}  # what parts one word from the next has no ids
         self.word_ids, self.part_ids = IdTable(), IdTable()
         self.part_ids.add(np.zeros(0, "<u4"), np.zeros(1, np.int64))
 
-    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        text, odd = b" ".join(words).decode(), []
+    def _learn(self, words: list[bytes]) -> None:
+        text, odd, keys = b" ".join(words).decode(), [], words
         if _DELICATE.search(text) or not unicodedata.is_normalized("NFC", text):
             every = text.split(" ")
             is_odd = [bool(_DELICATE.search(w)) or not unicodedata.is_normalized("NFC", w) for w in every]
             odd = [w for w, o in zip(every, is_odd) if o]
             text = " ".join(w for w, o in zip(every, is_odd) if not o)
-            hashes = [h for h, o in zip(hashes, is_odd) if not o] + [h for h, o in zip(hashes, is_odd) if o]
+            keys = [k for k, o in zip(words, is_odd) if not o] + [k for k, o in zip(words, is_odd) if o]
         plain = len(words) - len(odd)
-        if len(self.parts) > CACHE_PARTS:
-            self.parts, self.part_ids = {" ": 0}, IdTable()
+        if len(self.parts) > CACHE_PARTS or self.part_bytes > CACHE_BYTES:
+            self.parts, self.part_ids, self.part_bytes = {" ": 0}, IdTable(), 0
             self.part_ids.add(np.zeros(0, "<u4"), np.zeros(1, np.int64))
         parts = self.pattern.findall(text.lower()) if plain else []
         new = [p for p in set(parts) if p not in self.parts]
@@ -113,17 +116,19 @@ class WordEncoder:
                 raise ValueError("the vocabulary does not mark the last token of a word")
             self.parts.update(zip(new, range(len(self.part_ids), len(self.part_ids) + len(new))))
             self.part_ids.add(ids, sizes)
+            self.part_bytes += len(spelled)
         if plain:
             numbers = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
             ids, sizes = self.part_ids.get(numbers)
             ends = np.r_[0, np.flatnonzero(numbers == 0), len(parts)]
-            self._enter(hashes[:plain], ids, np.diff(np.r_[0, np.cumsum(sizes)][ends]))
+            self._enter(keys[:plain], ids, np.diff(np.r_[0, np.cumsum(sizes)][ends]))
         if odd:
             met = [e.ids for e in self.library.encode_batch_fast(odd, add_special_tokens=False)]
-            self._enter(hashes[plain:], np.array([i for ids in met for i in ids], "<u4"), np.array([len(ids) for ids in met]))
+            self._enter(keys[plain:], np.array([i for ids in met for i in ids], "<u4"), np.array([len(ids) for ids in met]))
 
-    def _enter(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.words.update(zip(hashes, range(len(self.word_ids), len(self.word_ids) + len(hashes))))
+    def _enter(self, keys: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words.update(zip(keys, range(len(self.word_ids), len(self.word_ids) + len(keys))))
+        self.held += sum(map(len, keys))
         self.word_ids.add(ids, sizes)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -132,18 +137,15 @@ class WordEncoder:
         starts, ends, counts = words(data, offsets)
         if not len(starts):
             return np.zeros(0, "<u4"), np.zeros(len(column), np.int64)
-        distinct, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.word_ids = {}, IdTable()
-        hashes = distinct.tolist()
-        numbers = [self.words.get(h, -1) for h in hashes]
-        new = [i for i, n in enumerate(numbers) if n < 0]
+        first, back = distinct_spans(data, starts, ends)
+        if len(self.words) > CACHE_WORDS or self.held > CACHE_BYTES:
+            self.words, self.word_ids, self.held = {}, IdTable(), 0
+        raw = data.tobytes()
+        distinct = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        new = [word for word in distinct if word not in self.words]
         if new:
-            raw = data.tobytes()
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._learn([hashes[i] for i in new], [raw[a:b] for a, b in spans])
-            for i in new:
-                numbers[i] = self.words[hashes[i]]
+            self._learn(new)
+        numbers = [self.words[word] for word in distinct]
         ids, sizes = self.word_ids.get(np.array(numbers, np.int64)[back])
         sums = np.r_[0, np.cumsum(sizes)]
         return ids, np.diff(sums[np.r_[0, np.cumsum(counts)]])

@@ -103,6 +103,29 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one span of each distinct string, and which of those each span equals.
+
+    Spans of one hash are compared byte by byte; where any differ, all are told apart by their bytes.
+    """
+    _, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    twin = first[back]
+    again = np.flatnonzero(twin != np.arange(len(twin)))
+    sizes = (ends - starts)[again]
+    same = bool((sizes == (ends - starts)[twin[again]]).all())
+    cuts = np.searchsorted(np.cumsum(sizes), np.arange(PIECE_BYTES, int(sizes.sum()) + PIECE_BYTES, PIECE_BYTES))
+    for part in np.split(np.arange(len(again)), cuts) if same else ():
+        at = np.arange(int(sizes[part].sum())) - np.repeat(np.cumsum(sizes[part]) - sizes[part], sizes[part])
+        here, there = (np.repeat(starts[rows], sizes[part]) + at for rows in (again[part], twin[again[part]]))
+        same = same and bool((data[here] == data[there]).all())
+    if same:
+        return first, back
+    known: dict[bytes, int] = {}
+    numbers = [known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(starts.tolist(), ends.tolist())]
+    _, first, back = np.unique(np.array(numbers, np.int64), return_index=True, return_inverse=True)
+    return first, back
+
+
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     bits = int(len(data)).bit_length()
     power, inverse = _usual_powers(_USUAL_BITS) if bits <= _USUAL_BITS else _powers_of(bits)
