@@ -48,9 +48,54 @@ def test_forward_sums_all_segmentations():
     for w, scores in zip(words, model.word_scores(words)):
         for i in range(2):
             assert scores[i] == pytest.approx(math.log(by_segmentation(w, model.chance[:, i], index)))
-    long = "ab" * 40  # in parts of UNIT characters
-    whole = sum(model.word_scores([long[i : i + language.UNIT]])[0] for i in range(0, len(long), language.UNIT))
-    assert np.allclose(model.word_scores([long])[0], whole)
+
+
+def by_prefixes(word, chance, index):
+    """The logarithm of the sum over all segmentations, by plain sums over prefixes."""
+    sums = [1.0]
+    for end in range(1, len(word) + 1):
+        of = [(sums[end - n], index.get(word[end - n : end])) for n in range(1, end + 1) if end - n >= len(sums) - 40]
+        sums.append(math.fsum(s * chance[i] for s, i in of if i is not None) + (sums[-1] * chance[-1] if word[end - 1] not in index else 0))
+    return math.log(sums[-1])
+
+
+@pytest.mark.parametrize("unit", [1, 3, 7, 32])
+def test_long_runs_lose_no_segmentation(monkeypatch, unit):
+    pieces = ["a", "b", "ab", "ba", "abab", "c", "bcabcab"]
+    model = language.fit(pieces, {"x": Counter({"ababa": 5, "bcabcaba": 2}), "y": Counter({"bcbc": 4, "q": 1})})
+    monkeypatch.setattr(language, "UNIT", unit)
+    rng = random.Random(unit)
+    words = ["".join(rng.choices("abcabcq", k=n)) for n in (1, 5, 31, 32, 33, 64, 80, 80, 2)]
+    index = {p: i for i, p in enumerate(pieces)}
+    for w, scores in zip(words, model.word_scores(words)):
+        assert scores == pytest.approx([by_prefixes(w, model.chance[:, i], index) for i in range(2)])
+    endless = model.word_scores(["ab" * 2000])[0]
+    assert np.isfinite(endless).all() and endless[0] < model.word_scores(["ab" * 1000])[0][0]
+
+
+def test_whole_vocabulary_is_used():
+    pieces = language.public_pieces(PIECES)
+    assert max(map(len, pieces)) > 10
+    model = language.fit(pieces, {"en": Counter({"international": 5, "the": 9}), "de": Counter({"der": 9})})
+    index = {p: i for i, p in enumerate(pieces)}
+    for word in ("international", "strasse", "pneumonoultramicroscopicsilicovolcanoconiosis" * 2, "żółć日本"):
+        for i, score in enumerate(model.word_scores([word])[0]):
+            assert score == pytest.approx(by_prefixes(word, model.chance[:, i], index))
+
+
+def test_letters_are_those_of_category_l():
+    assert language.words_of("½ ² ① Ⅻ a1b_c ǅ ʰ ª 日本 é") == ["a", "b", "c", "ǆ", "ʰ", "ª", "日本", "é"]
+
+
+def test_languages_of_very_many_rows(spark):
+    row = spark.range(1).select(language._likely(F.lit((1 << 30) - 1), F.lit(10**10), 400).alias("a"), language._likely(F.lit(0), F.lit(10**10), 400).alias("b"))
+    assert tuple(row.first()) == (False, True)
+
+
+def test_a_language_of_long_texts_is_learnt(spark):
+    rows = [(i, "the dog and the cat " * (10_000 if i < 3 else 1), "en" if i < 3 else "xx") for i in range(6)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES, F.lit(True))
+    assert model.languages == ["en", "xx"]
 
 
 def test_expectation_raises_the_likelihood():
@@ -76,7 +121,7 @@ def test_language_held_out(spark, data):
 
 
 def test_language_odd_rows(spark):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !! 34", "en"), (4, "the cat", None), (None, "der Hund", "de"), (5, "the dog " * 3000, "en")]
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !! ½ ② 34", "en"), (4, "the cat", None), (None, "der Hund", "de"), (5, "the dog " * 3000, "en")]
     rows += [(6, "der die das", "de"), (6, "der die das", "de"), (7, "q" * 500, "de"), (8, "Żółć 日本", "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
     model = language.learn(df, PIECES, F.lit(True))

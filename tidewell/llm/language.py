@@ -6,15 +6,17 @@ of the product of the pieces' probabilities: a forward pass over the word's char
 probabilities are fitted by expectation maximisation with the matching backward pass. A text's
 score is the sum over its words of the log probabilities; languages start out equal.
 
-Cases: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing
-can be learnt; texts of any length are read whole; runs of letters beyond UNIT characters are
-scored in parts of UNIT; equal scores go to the first language by name; repeated rows are kept;
+A run of letters is scored in parts of UNIT, each of which starts from the sums that the one before
+ended with, so no segmentation is lost at their borders. Only in learning do the parts of longer runs
+count by themselves.
+
+Cases: a text that is null or has no letter (general category L) is ``und`` with score 0, as is every
+text if nothing can be learnt; texts of any length are read whole; equal scores go to the first language by name; repeated rows are kept;
 a null key is never learnt from and not held out. Other columns are not carried over.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -22,28 +24,26 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import worker
 from tidewell.llm.text import pieces
+from tidewell.operators.lookup import lookup
 from tidewell.session import stage
 
 UNIT = 32
-#: Pieces of the vocabulary that are used: letters only, and of no more characters than this.
-LONGEST_PIECE = 5
 ROUNDS = 4
 SMOOTHING = 0.05
 #: Probability of a character that no piece has.
 UNKNOWN = 1e-7
-#: Words a worker remembers before it starts over, and words scored at a time.
-CACHE_WORDS = 200_000
+#: Words, and their letters, that a worker remembers before it starts over, and words scored at a time.
+CACHE_WORDS, CACHE_LETTERS = 200_000, 4_000_000
 BLOCK = 20_000
-#: Texts beyond this size are not learnt from.
-LEARN_BYTES = 100_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:
@@ -54,7 +54,7 @@ def public_pieces(path: str) -> list[str]:
     """The letters-only pieces of a sentencepiece vocabulary, lower-cased, without their word marks."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {model.id_to_piece(i).removeprefix("▁").lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in found if len(p) <= LONGEST_PIECE and _LETTERS.fullmatch(p))
+    return sorted(p for p in found if _LETTERS.fullmatch(p))
 
 
 def _units(words: list[str]) -> tuple[list[str], np.ndarray]:
@@ -69,9 +69,10 @@ def _units(words: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 class Lattice:
-    """Which pieces end where, in many words at once (longest first)."""
+    """Which pieces end where, in many words at once (longest first), beyond the first ``lead`` characters."""
 
-    def __init__(self, vocabulary: Vocabulary, words: list[str]):
+    def __init__(self, vocabulary: Vocabulary, words: list[str], lead: int = 0):
+        self.lead = lead
         self.lengths = np.array([len(w) for w in words])
         width = int(self.lengths[0]) if len(words) else 0
         codes = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32).reshape(-1, width)
@@ -83,7 +84,9 @@ class Lattice:
         for t in range(1, width + 1):
             active = int(np.searchsorted(-self.lengths, -t, side="right"))
             here = []
-            for size in range(1, min(t, LONGEST_PIECE) + 1):
+            for size in vocabulary.lengths if t > lead else ():
+                if size > t:
+                    break
                 ids = vocabulary.find(rolled[t, :active] - rolled[t - size, :active] * vocabulary.power[size])
                 if size == 1:
                     ids = np.where(ids < 0, vocabulary.size, ids)
@@ -92,10 +95,13 @@ class Lattice:
                     here.append((size, rows, ids[rows]))
             self.arcs.append(here)
 
-    def forward(self, chance: np.ndarray) -> np.ndarray:
-        """The probability of each prefix of each word in each language: (place, word, language)."""
+    def forward(self, chance: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+        """The probability of each prefix of each word in each language: (place, word, language).
+
+        ``start`` has those of the first ``lead`` characters, from none on.
+        """
         out = np.zeros((self.width + 1, len(self.lengths), chance.shape[1]))
-        out[0] = 1
+        out[: self.lead + 1] = 1 if start is None else start
         for t, arcs in enumerate(self.arcs, 1):
             for size, rows, ids in arcs:
                 out[t, rows] += out[t - size, rows] * chance[ids]
@@ -125,7 +131,8 @@ class Vocabulary:
 
     def __init__(self, pieces_in: list[str]):
         self.size = len(pieces_in)
-        self.power = np.cumprod(np.r_[np.uint64(1), np.full(LONGEST_PIECE, self.base, np.uint64)], dtype=np.uint64)
+        self.lengths = sorted({1, *map(len, pieces_in)})
+        self.power = np.cumprod(np.r_[np.uint64(1), np.full(self.lengths[-1], self.base, np.uint64)], dtype=np.uint64)
         codes = np.zeros(len(pieces_in), np.uint64)
         for i, p in enumerate(pieces_in):
             h = 0
@@ -156,11 +163,30 @@ class LanguageModel:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         out = np.zeros((len(words), len(self.languages)))
-        for at in range(0, len(words), BLOCK):
-            units, origin = _units(words[at : at + BLOCK])
-            lattice = Lattice(self.vocabulary, units)
-            total = lattice.forward(self.chance)[lattice.lengths, np.arange(len(units))]
-            np.add.at(out, origin + at, np.log(total))
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        for at in range(0, len(order), BLOCK):
+            rows = order[at : at + BLOCK]
+            out[rows] = self._block_scores([words[i] for i in rows])
+        return out
+
+    def _block_scores(self, words: list[str]) -> np.ndarray:
+        """The same of a block, longest first: part by part, each from the last prefixes of the one before."""
+        out, start = np.zeros((len(words), len(self.languages))), None
+        back = self.vocabulary.lengths[-1] - 1
+        sizes = np.array([len(w) for w in words])
+        for begin in range(0, len(words[0]), UNIT):
+            left, more = (int(np.searchsorted(-sizes, -size)) for size in (begin, begin + UNIT))  # longer than that
+            lead = min(begin, back)
+            lattice = Lattice(self.vocabulary, [w[begin - lead : begin + UNIT] for w in words[:left]], lead)
+            ahead = lattice.forward(self.chance, start)
+            ends = np.arange(more, left)
+            out[ends] += np.log(ahead[lattice.lengths[ends], ends])
+            if more:  # what goes on: scaled, so that the sums of long runs stay numbers
+                stop = lead + UNIT
+                start = ahead[stop - min(begin + UNIT, back) : stop + 1, :more]
+                scale = start.max(axis=0)
+                start = start / scale
+                out[:more] += np.log(scale)
         return out
 
 
@@ -190,16 +216,18 @@ class Scorer:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.place: dict[str, int] = {}
+        self.held = 0
         self.scores = np.zeros((0, len(model.languages)))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         split = [words_of(t) if t else [] for t in texts]
         met = {w for words in split for w in words}
         new = [w for w in met if w not in self.place]
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self.place, self.scores, new = {}, self.scores[:0], list(met)
+        if len(self.place) + len(new) > CACHE_WORDS or self.held > CACHE_LETTERS:
+            self.place, self.held, self.scores, new = {}, 0, self.scores[:0], list(met)
         if new:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.held += sum(map(len, new))
             self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
         names, scores = [], []
         for words in split:
@@ -219,6 +247,11 @@ def _scorer(model: LanguageModel) -> Scorer:
     return worker.kept(f"language {model.name}", lambda: Scorer(model))
 
 
+def _likely(hashed: Column, rows: Column, wanted: int) -> Column:
+    """Whether a hash below 2**30 is among about twice the ``wanted`` smallest of that many rows."""
+    return hashed.cast("double") * rows < float(2 * wanted * (1 << 30))
+
+
 def learn(
     documents: DataFrame,
     vocabulary: str,
@@ -231,16 +264,19 @@ def learn(
 ) -> LanguageModel | None:
     """Fit on a bounded sample: at most ``per_language`` rows of each language where ``learn_from`` holds.
 
-    The sample is the rows with the smallest hashes of their keys. Tasks count its words; the
-    driver gets those counts, whose number the sample bounds.
+    The sample is the rows with the smallest hashes of their keys, of those whose text has a letter.
+    Tasks count its words; the driver gets those counts, whose number the sample bounds.
     """
-    usable = documents.where(learn_from & F.col(language).isNotNull() & F.col(key).isNotNull())
+    usable = documents.where(
+        learn_from & F.col(language).isNotNull() & F.col(key).isNotNull() & F.col(text).rlike(r"\p{L}")
+    )
     ids = usable.select(
         F.col(key).alias("id"), F.col(language).alias("language"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("hash")
     )
     # twice the rows wanted pass by their hash alone, so a language of most rows is no large group
-    rows = F.broadcast(ids.groupBy("language").agg(F.count("*").alias("n")))  # a model has few languages
-    likely = ids.join(rows, "language").where(F.col("hash") * F.col("n") < 2 * per_language * (1 << 30))
+    rows = stage(ids.groupBy("language").agg(F.count("*").alias("n")), "languages")
+    counted = lookup(ids, rows, {"language": F.col("language")}, {"n": "n"}, how="inner")
+    likely = counted.where(_likely(F.col("hash"), F.col("n"), per_language))
     by_hash = Window.partitionBy("language").orderBy("hash", "id")
     chosen = (
         likely.withColumn("at", F.row_number().over(by_hash))
@@ -254,14 +290,12 @@ def learn(
             for part in pieces(batch, "text"):
                 found: dict[str, Counter] = {}
                 for name, t in zip(part.column("language").to_pylist(), part.column("text").to_pylist()):
-                    found.setdefault(name, Counter()).update(words_of(t))
+                    found.setdefault(name, Counter()).update(m[0] for m in _LETTERS.finditer(t.lower()))
                 rows = [(x, w, n) for x, c in found.items() for w, n in c.items()]
                 types = [("language", pa.string()), ("word", pa.string()), ("n", pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], names=[c for c, _ in types])
 
-    sample = usable.select(F.col(key).alias("id"), F.col(language).alias("language"), F.col(text).alias("text")).where(
-        F.col("text").isNotNull() & (F.octet_length("text") <= LEARN_BYTES)
-    )
+    sample = usable.select(F.col(key).alias("id"), F.col(language).alias("language"), F.col(text).alias("text"))
     chosen = stage(chosen, "language-sample")
     # a repeated key could bring more rows than were chosen
     sample = sample.join(F.broadcast(chosen), "id", "left_semi").limit(chosen.count())
