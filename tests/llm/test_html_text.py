@@ -1,8 +1,12 @@
 """Main text of pages."""
 
+import re
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.llm import html_text
 from tidewell.llm.html_text import extract, main_text
 
 LONG = "This is a paragraph of the text that is long enough for the rules, as it has many of the words that are in every text."
@@ -36,6 +40,16 @@ JUNK = "zxcv qwer tyui asdf ghjk bnmp"
         (f"<div class='content with-sidebar overflow-hidden'><div class='entry-header'><p>{MORE}</p></div><p data-id='menu' title=' hidden class=ad'>{LONG}</p></div>"
          f"<div class='site-header'><p>{MORE}</p></div><div class='hidden'><p>{MORE}</p></div>", f"{MORE}\n{LONG}"),
         (f"<div class='commentList'><p>{MORE}</p></div><article class='comment'><p>{MORE}</p></article><article class='promo'><p>{LONG}</p></article>", LONG),
+        # elements of other languages that close themselves, and elements with names of their own
+        (f"<article><p>{LONG}</p><svg class='i'/><p>{MORE}</p><math /><p>{JUNK}</p><svg><title>no</title></svg></article>", f"{LONG}\n{MORE}\n{JUNK}"),
+        (f"<object-viewer><p>{LONG}</p></object-viewer><title-block>{MORE}</title-block><script-x><p>{LONG}</p></script-x>", f"{LONG}\n{MORE}\n{LONG}"),
+        # a name alone does not make a part that holds most of the text stand outside, unless it is that of comments
+        (f"<div class='post category-search'><p>{LONG}</p><p>{MORE}</p></div><div class='search'><p>{MORE}</p></div>", f"{LONG}\n{MORE}"),
+        (f"<div class='category-legal'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<p>{LONG}</p><div class='comments'><p>{MORE}</p><p>{MORE}</p><p>{MORE}</p></div>", LONG),
+        (f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p><p><a href=y>Other texts</a></p></article>", f"Title\n{LONG}"),
+        # nothing that tells itself main text, on a page without marks
+        (f"<nav><a>a b</a></nav><div class='ad'>{JUNK}</div><div><h1>Be.</h1><p>{JUNK}</p><p><a href=x>All</a></p></div><div>x</div><footer>{MORE}</footer>", f"Be.\n{JUNK}"),
         (f"<article><p>{LONG}<br>next <b>bold</b> and <a href=x>link</a> in it</p></article>", f"{LONG} next bold and link in it"),
     ],
 )
@@ -43,6 +57,23 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+def test_stop_words_decide(monkeypatch):
+    """Without marks the text with stop words is main text, and a longer one among links is not."""
+    listing = ("Zxcv qwer tyui asdf ghjk bnmp " * 8).strip()
+    page = f"<div><h2>B</h2><p>{LONG}</p></div><div><ul><li><a href=x>{listing}</a></ul><p>{listing}</p></div>"
+    assert main_text(page) == f"B\n{LONG}"
+    monkeypatch.setattr(html_text, "STOP_WORDS", frozenset())
+    assert main_text(page) != f"B\n{LONG}"
+
+
+def test_marks_are_not_the_answer(data):
+    """Without its marks nearly every page gives the same text."""
+    pages = [p or "" for p in pq.read_table(f"{data}/pages.parquet").column("html").to_pylist()]
+    bare = [re.sub(r"<(/?)(article|main)\b", r"<\1div", p, flags=re.I) for p in pages]
+    same = sum(main_text(a) == main_text(b) for a, b in zip(pages, bare))
+    assert same >= 0.95 * len(pages) > 0
+
+
 def test_long_and_broken_pages():
     assert main_text(f"<p>{LONG}</p>" * 20_000) == "\n".join([LONG] * 20_000)
     assert main_text("<" * 50_000) is not None

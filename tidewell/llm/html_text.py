@@ -5,7 +5,10 @@ enough stop words and length is main text; text that is mostly links, or stands
 that the page marks as menu, footer, advert, form, comment or the like, is not; what is too short
 or has too few stop words to tell is left open. Second pass: an open block takes the label of its
 nearest decided neighbours, before or after it. Nearness is first the number of elements to leave
-and enter on the way, then the number of blocks between, and a tie is main text. A page that marks
+and enter on the way, then the number of blocks between, and a tie is main text. If the first pass
+finds no main text on a page, the open blocks of the element that directly holds most of their text
+are. An element that only its name puts outside, but that holds most of the page's main text, is not
+outside, unless the name is that of comments. A page that marks
 its main part (article, main) is read there alone: blocks outside are no main text, and open
 blocks inside take labels from inside; if none is decided there, they are main text.
 
@@ -52,6 +55,8 @@ HINTS = frozenset(
     topbar trending widget widgets
     """.split()
 )
+#: Of these, those that a name never has for another reason than what the part is.
+FIRM = frozenset("comment comments discussion disqus replies reply respond responses".split())
 #: A name with one of these says what stands around or beside the part, not what it is.
 ABOUT = frozenset("has with without no not overflow".split())
 #: A header is the site's, not a text's, if its name has no other word than these.
@@ -83,7 +88,8 @@ DENSE, MILD = 0.3, 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|textarea|iframe|object|canvas|noframes|title)\b[^>]*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/])[^>]*/>"
+    r"|<(?P<raw>script|style|noscript|template|svg|math|textarea|iframe|object|canvas|noframes|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
     re.S | re.I,
@@ -99,6 +105,7 @@ class Element:
     number: int
     outside: bool
     main: int  # the number of the main part it is in, or 0
+    doubtful: tuple[int, ...] = ()  # elements around it that only their names put outside
 
 
 @dataclass
@@ -106,16 +113,19 @@ class Block:
     path: tuple[int, ...]
     outside: bool
     main: int
+    doubtful: tuple[int, ...]
+    title: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     label: bool | None = None
 
 
-def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
-    """Whether an opening tag says that its content is outside the main text, or is the main part."""
+def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """Whether an opening tag says that its content is outside the main text, does so by a mere name, or is the main part."""
+    doubtful = False
     outside, main = name in OUTSIDE or (name == "header" and not in_main), name in ("article", "main")
     if not rest or rest.isspace():
-        return outside, main and not outside
+        return outside, False, main and not outside
     for m in _ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         low = value.lower().strip()
@@ -127,7 +137,9 @@ def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
                     found = found - {"header"}
                 if name == "article":
                     found = found & {"comment", "comments", "reply", "replies"}
-                outside |= bool(found) and not parts & ABOUT
+                if found and not parts & ABOUT:
+                    outside |= bool(found & FIRM)
+                    doubtful = True
         elif key == "role":
             outside |= low in ROLES
             main |= low in ("main", "article")
@@ -137,7 +149,7 @@ def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
             outside = True
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", low):
             outside = True
-    return outside, main and not outside
+    return outside, doubtful and not outside, main and not outside and not doubtful
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -156,7 +168,7 @@ def blocks_of(page: str) -> list[Block]:
             if text.isspace():
                 return
             top = stack[-1]
-            block = Block(tuple(e.number for e in stack), top.outside, top.main)
+            block = Block(tuple(e.number for e in stack), top.outside, top.main, top.doubtful, top.name == "h1")
             out.append(block)
         block.parts.append(text)
         if linked:
@@ -192,13 +204,13 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[i].name != "p" and name not in ("td", "th", "tr", "dt", "dd", "li") or stack[i].name in ("table", "ul", "ol", "dl"):
                     break
             top = stack[-1]
-            outside, main = _marks(name, m["rest"], bool(top.main))
+            outside, by_name, main = _marks(name, m["rest"], bool(top.main))
             numbers += 1
-            if main and not top.main and not top.outside:
+            main = main and not top.outside and not top.doubtful
+            if main and not top.main:
                 mains += 1
-            stack.append(
-                Element(name, numbers, top.outside or outside, top.main or (mains if main and not top.outside else 0))
-            )
+            doubtful = (*top.doubtful, numbers) if by_name else top.doubtful
+            stack.append(Element(name, numbers, top.outside or outside, top.main or (mains if main else 0), doubtful))
     add(page[at:])
     return out
 
@@ -206,8 +218,10 @@ def blocks_of(page: str) -> list[Block]:
 def _decide(block: Block, text: str) -> bool | None:
     """The first pass: main text, not main text, or open."""
     size = len(text)
-    if block.outside or block.linked > LINKED * len("".join(text.split())):
+    if block.outside:
         return False
+    if block.linked > LINKED * len("".join(text.split())):
+        return None if block.title and block.main else False
     if size < MEDIUM:
         return None
     words = _WORD.findall(text.lower())
@@ -241,6 +255,26 @@ def _inherit(blocks: list[Block], default: bool) -> None:
             b.label = not min(found)[2] if found else default
 
 
+def _believe_names(kept: list[tuple[Block, str]]) -> None:
+    """Put elements outside that only their names put there, but those that hold most of the main text."""
+    told = [(b, len(t)) for b, t in kept if b.label]
+    for b, _ in kept:
+        for number in b.doubtful:
+            if 2 * sum(n for x, n in told if number in x.doubtful) <= sum(n for _, n in told):
+                b.outside, b.label = True, False
+
+
+def _largest_part(blocks: list[Block], sizes: list[int]) -> None:
+    """On a page where nothing told itself main text, the open blocks of the element that directly holds most of them are."""
+    held: dict[tuple[int, ...], int] = {}
+    for b, size in zip(blocks, sizes):
+        if b.label is None:
+            held[b.path[:-1]] = held.get(b.path[:-1], 0) + size
+    for b in blocks:
+        if b.label is None and b.path[:-1] == max(held, key=held.__getitem__):
+            b.label = True
+
+
 def main_text(page: str | None) -> str:
     """The blocks of main text, white space in each turned into one space, one line each."""
     if not page:
@@ -250,6 +284,7 @@ def main_text(page: str | None) -> str:
     kept = [(b, t) for b, t in zip(blocks, texts) if t]
     for b, t in kept:
         b.label = _decide(b, t)
+    _believe_names(kept)
     parts: dict[int, list[Block]] = {}
     for b, _ in kept:
         parts.setdefault(b.main, []).append(b)
@@ -261,6 +296,8 @@ def main_text(page: str | None) -> str:
             for b in bs:
                 b.label = False
         else:
+            if not any(b.label for b in bs):
+                _largest_part(bs, [len(t) for b, t in kept if not b.main])
             _inherit(bs, default=True)
     return "\n".join(t for b, t in kept if b.label)
 
