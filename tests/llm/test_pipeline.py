@@ -122,3 +122,29 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_that_repeat_an_id(spark, tmp_path):
+    """Each text of a repeated id is judged by its own group; of equal ones in one group one stays."""
+    rng = random.Random(12)
+    a, b, c, d = (sentence(rng, ENGLISH, 200) for _ in range(4))
+    near = a.replace(" the ", " thee ", 1)
+    rows = [(5, a), (5, near), (5, b), (3, b), (7, c), (7, c), (7, d), (2, d), (9, near), (None, a), (None, a), (11, sentence(rng, ENGLISH, 90))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    fp = {t: plain_fingerprint(t) for t in (a, near)}
+    assert bin(fp[a] ^ fp[near]).count("1") <= corpus_pipeline.MOST_BITS
+    found = corpus_pipeline.drop_near_duplicates(spark, docs.withColumn("fp", docs.doc_id).repartition(3), "")
+    assert found.columns == corpus_pipeline.COLUMNS
+    kept = [(5, min(a, near)), (3, b), (7, c), (2, d), (None, a), (None, a), (11, rows[-1][1])]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted(kept, key=repr)
+
+
+def test_inner_tables_go(spark, folder, tmp_path):
+    spark.conf.set("spark.tidewell.staging.dir", str(tmp_path))
+    try:
+        assert corpus_pipeline.run(spark, folder[0]).count() > 0
+        (application,) = tmp_path.iterdir()
+        assert {p.name.split("-")[0] for p in application.iterdir()} == {"pipeline"}
+        assert len(list(application.iterdir())) == len(corpus_pipeline.STAGES) - 1
+    finally:
+        spark.conf.unset("spark.tidewell.staging.dir")

@@ -73,18 +73,21 @@ def fingerprints_of(column: pa.Array, width: int) -> np.ndarray:
     return np.packbits(majority, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-def fingerprints(documents: DataFrame, *, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp) for every row; fp is the fingerprint as a signed long."""
-    kind = documents.schema[key].dataType.simpleString()
+def fingerprints(
+    documents: DataFrame, *, width: int, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(key, ``keep``, fp) for every row; fp is the fingerprint as a signed long."""
+    columns = [key, *(c for c in keep if c != key)]
+    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.alone()
         for batch in batches:
             for part in pieces(batch, text):
                 found = fingerprints_of(part.column(text), width).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(found)], names=[key, "fp"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, columns), pa.array(found)], names=[*columns, "fp"])
 
-    return documents.select(key, text).mapInArrow(run, f"{key} {kind}, fp long")
+    return documents.select(*dict.fromkeys([*columns, text])).mapInArrow(run, f"{schema}, fp long")
 
 
 class Ring:
