@@ -63,3 +63,17 @@ def test_a_cluster_must_name_its_folder():
 
     with pytest.raises(RuntimeError, match=STAGING_KEY):
         shared_folder(Session())
+
+
+def test_a_result_may_outlive_its_block(spark):
+    with staging(spark):
+        with staging(spark):
+            inner, result = stage(spark.range(3), "inner"), stage(spark.range(4), "result", outlive=True)
+        with pytest.raises(Exception, match="does not exist|NOT_EXIST"):
+            inner.count()
+        assert result.count() == 4
+    with pytest.raises(Exception, match="does not exist|NOT_EXIST"):
+        result.count()
+    with staging(spark):
+        kept = stage(spark.range(5), "kept", outlive=True)
+    assert kept.count() == 5

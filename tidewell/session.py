@@ -73,15 +73,17 @@ def staging(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *, outlive: bool = False) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     This cuts the lineage: later jobs, and tasks repeated after a lost executor, read the
     same stored rows instead of recomputing them. Outside a ``staging`` block the rows stay
-    until ``drop_staged``, as a frame that reads them may be used at any time.
+    until ``drop_staged``, as a frame that reads them may be used at any time. With ``outlive``
+    they stay when the innermost block ends: the result of work whose other tables go.
     """
     spark = df.sparkSession
-    folder = _scopes[-1] if _scopes else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    scopes = _scopes[:-1] if outlive else _scopes
+    folder = scopes[-1] if scopes else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
