@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns the columns of documents, with its decisions
 taken: language (documents in no known language go), near-duplicates (the smallest id of a group
 stays), repeated passages (cut out of the texts), benchmark leaks (documents that hold a test item
-go). The last stage returns the packed pieces. Stages rely on distinct ids: rows that repeat an id
-are judged by it together.
+go). The last stage returns the packed pieces. Rows that repeat an id are told apart by their texts'
+fingerprints when near-duplicates are dropped; benchmark leaks drop every row of an id.
 
 Cases: a null text is in no language; a document of which nothing is left after its repeated
 passages are cut goes; rows with a null id pass the filters they are not caught by.
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from tidewell.llm import language
 from tidewell.llm.decontamination import contaminated
 from tidewell.llm.packing import pack
-from tidewell.llm.simhash import near_duplicates
+from tidewell.llm.simhash import fingerprints, near_duplicates
 from tidewell.llm.suffix_dedup import remove_repeats
 from tidewell.llm.worker import small_batches
-from tidewell.session import stage
+from tidewell.session import stage, staging
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document is in no known language if the best one is less likely than this.
@@ -41,15 +41,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group, once; rows with a null id stay."""
+    """Keep the document with the smallest id of each group, once; rows with a null id stay.
+
+    Where an id is repeated each of its fingerprints is judged by its own group, and of the rows of
+    one id in one group the one with the smallest text stays.
+    """
     small_batches(spark)
     groups = stage(near_duplicates(docs, width=SHINGLE_WORDS, distance=MOST_BITS), "near-duplicates")
-    dropped = stage(groups.where("doc_id > component").select("doc_id").distinct(), "near-duplicates-dropped")
-    kept = docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    rows = docs.select(*COLUMNS)
+    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = stage(repeated, "repeated-ids")
+    dropped = groups.where("doc_id > component").select("doc_id").distinct()
     if repeated.isEmpty():
-        return kept
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionAll(kept.where("doc_id IS NULL"))
+        return rows.join(stage(dropped, "near-duplicates-dropped"), "doc_id", "left_anti").select(*COLUMNS)
+    single = rows.join(stage(dropped.union(repeated).distinct(), "near-duplicates-dropped"), "doc_id", "left_anti")
+    again = fingerprints(rows.join(repeated, "doc_id", "left_semi"), width=SHINGLE_WORDS, keep=tuple(COLUMNS))
+    judged = groups.join(repeated, "doc_id", "left_semi").where("doc_id <= component").distinct()
+    smallest = F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")
+    kept = again.join(judged, ["doc_id", "fp"]).groupBy("doc_id", "component").agg(smallest).select("doc_id", "row.*")
+    return single.select(*COLUMNS).unionByName(kept)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -90,8 +100,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what one keeps is stored and read again by the next."""
+    """All stages over the documents; what one keeps is stored and read again by the next.
+
+    The tables a stage made on its way go when its result is stored.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        with staging(spark):
+            docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}", outlive=True)
     return STAGES[-1][1](spark, docs, sf_dir)
