@@ -269,7 +269,7 @@ FROM a5 JOIN c5 ON e = best.e
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = _read(spark, folder, "documents").select("doc_id", "text")
-    encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, most_words=1 << 18)
+    encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, most_words=1 << 19)
     listed = F.to_json("ids")  # [1,2,3]
     joined = F.substring(listed, F.lit(2), F.length(listed) - 2)
     return encoded.select(
