@@ -155,7 +155,7 @@ def _java_patterns(spark: SparkSession, pattern: str) -> tuple[str, str]:
 def words_of(spark: SparkSession, text: Column, pattern: str) -> Column:
     """The words of a text in order; none of a null text."""
     plain, wide = _java_patterns(spark, pattern)
-    unknown = (F.octet_length(text) > F.length(text)) & text.rlike(r"\p{Cn}")
+    unknown = (F.octet_length(text) > F.length(text)) & text.rlike(r"[\x{370}-\x{10FFFF}]") & text.rlike(r"\p{Cn}")
     found = F.when(unknown, F.regexp_extract_all(text, F.lit(wide), F.lit(0)))
     return F.coalesce(found.otherwise(F.regexp_extract_all(text, F.lit(plain), F.lit(0))), F.array().cast("array<string>"))
 
@@ -233,10 +233,10 @@ def _bucket(word: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
 
 
-def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tuple[Column, int]:
-    """Buckets of a map from words to ids, and how many there are: the most frequent words, ``most_words`` at most.
+def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tuple[str, int]:
+    """The variable that holds buckets of a map from words to ids, and how many buckets there are.
 
-    ``words`` has one column of arrays. Words of a count that not all fit in with stay out.
+    The map has the most frequent words, ``most_words`` at most. ``words`` has one column of arrays. Words of a count that not all fit in with stay out.
     """
     spark = words.sparkSession
     counted = stage(words.select(F.explode(words.columns[0]).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
@@ -257,7 +257,9 @@ def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tu
     in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
     every = spark.range(buckets).join(filled, "id", "left")
     table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
-    return _variable(spark, f"words_{uuid.uuid4().hex}", table, "ARRAY<MAP<STRING, ARRAY<INT>>>"), buckets
+    name = f"words_{uuid.uuid4().hex}"
+    _variable(spark, name, table, "ARRAY<MAP<STRING, ARRAY<INT>>>")
+    return name, buckets
 
 
 # --- texts ---------------------------------------------------------------------------------
@@ -269,12 +271,15 @@ def encode(
     """``df`` with the ids of its texts, an array of integers."""
     spark, vocabulary = df.sparkSession, folding(df.sparkSession, path)
     words = words_of(spark, F.col(text), pattern)
-    known, buckets = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
+    name, buckets = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
+    known = F.expr(f"session.{name}")
 
     def ids_of(word: Column) -> Column:
         return F.coalesce(F.element_at(F.get(known, _bucket(word, buckets)), word), vocabulary.ids(word))
 
-    return df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
+    encoded = df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
+    spark.sql(f"DROP TEMPORARY VARIABLE {name}")  # the frame has its value
+    return encoded
 
 
 def decode(spark: SparkSession, ids: Column, path: str) -> Column:
