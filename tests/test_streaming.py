@@ -1,0 +1,105 @@
+"""Streams against builds from all files."""
+
+import os
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.plans import silver, stock_state, streaming
+from tidewell.settings import Settings
+from tidewell.sources.files import RawFile
+from tidewell.sources.landing import land_entity
+from tidewell.sources.sinks import stored_batches
+
+SETTINGS = Settings(as_of=datetime(2025, 10, 16, 12))
+FILES = (
+    RawFile("users", "STORE", "users/store.csv", ("crm_id", "name", "tel", "email_address", "created_local")),
+    RawFile("users", "WHATSAPP", "users/whatsapp.jsonl"),
+    RawFile("users", "OTHER", "users/none.jsonl", optional=True),
+    RawFile("orders", "STORE", "orders/store.csv", ("txn_id", "time_local", "crm_id", "sku", "units", "gross_amount_aud", "status")),
+    RawFile("inventory", "OTA", "inventory/ota.jsonl", ("productCode", "availability", "price", "currency", "lastUpdate")),
+)
+
+
+def drop(root, day):
+    """The files of one day."""
+    texts = {
+        "users/store.csv": f"crm_id,name,tel,email_address,created_local\n{day},ANN {day},6140000000{day}.0,a{day % 2}@x.org,2024-05-0{day} 10:00:00\nbroken\n",
+        "users/whatsapp.jsonl": f'{{"wa_id": "w{day}", "phone": 6140000000{day}, "last_seen": "2024-06-0{day} 10:00:00"}}\n{{"wa_id":\n',
+        "orders/store.csv": f'txn_id,time_local,crm_id,sku,units,gross_amount_aud,status\nt{day},2024-05-0{day} 10:00:00,{day},K-{day},2,"1,0{day}0.50",PAID\n',
+        "inventory/ota.jsonl": f'{{"productCode": "K-1", "availability": {day}, "price": "${day}.00", "currency": "aud", "lastUpdate": "2025-10-1{day}T14:40:06Z"}}\n',
+    }
+    for name, text in texts.items():
+        os.makedirs(f"{root}/{name}", exist_ok=True)
+        with open(f"{root}/{name}/part-{day}{os.path.splitext(name)[1]}", "w") as file:
+            file.write(text)
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def built(spark, root):
+    bronze = {e: land_entity(spark, root, e, SETTINGS.as_of, FILES) for e in ("users", "orders", "inventory")}
+    records, parsed = silver.customer_records(bronze["users"], SETTINGS), silver.parsed_orders(bronze["orders"], SETTINGS)
+    return {
+        "vw_customer_unified": silver.unify_customers(records, SETTINGS),
+        "vw_orders_clean": silver.clean_orders(parsed, silver.customer_references(records)),
+        "vw_inventory_unified": silver.unify_inventory(silver.parsed_inventory(bronze["inventory"], SETTINGS), SETTINGS),
+    }
+
+
+def test_arrivals_equal_a_build(spark, tmp_path):
+    root, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for day in (1, 2, 3):
+        drop(root, day)
+        streaming.take_in(spark, root, out, SETTINGS, FILES)
+        views = streaming.views(spark, out, SETTINGS, FILES)
+        expected = built(spark, root)
+        assert {n: rows(v) for n, v in views.items()} == {n: rows(v) for n, v in expected.items()}
+        assert len(rows(views["vw_orders_clean"])) == day
+    assert stored_batches(spark, f"{out}/stream/silver/users/STORE") == [0, 1, 2]
+
+    # a run that broke off after a batch was stored, but before it was noted as done, takes it in again
+    before = {n: rows(v) for n, v in views.items()}
+    for file in FILES:
+        for hidden in ("", "."):
+            for end in ("", ".crc"):
+                noted = f"{out}/stream/progress/{file.entity}/{file.src_system}/commits/{hidden}2{end}"
+                if os.path.exists(noted):
+                    os.remove(noted)
+    streaming.take_in(spark, root, out, SETTINGS, FILES)
+    assert {n: rows(v) for n, v in streaming.views(spark, out, SETTINGS, FILES).items()} == before
+    assert stored_batches(spark, f"{out}/stream/silver/users/STORE") == [0, 1, 2]
+
+
+def test_chains_need_the_store(spark, tmp_path):
+    with pytest.raises(ValueError, match="IdentityStore"):
+        streaming.take_in(spark, str(tmp_path), str(tmp_path), Settings(as_of=SETTINGS.as_of, identity_mode="transitive"), FILES)
+
+
+STOCK = "PRODUCT_ID string, AVAILABLE_QTY long, PRICE decimal(18,2), CURRENCY string, LAST_UPDATED_UTC timestamp_ntz, SRC_SYSTEM string, ROW_ID string"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stock_in_any_order(spark, tmp_path, seed):
+    rng, settings = random.Random(seed), Settings(as_of=SETTINGS.as_of, price_tolerance=1.0)
+    base = datetime(2025, 10, 16)
+    table = [
+        (rng.choice(["a", "b", "c", "", None]), rng.choice([1, 2, 2**60 + 1, None]), rng.choice([Decimal("1.00"), Decimal("2.01"), None]), "AUD",
+         rng.choice([None, base - timedelta(seconds=rng.choice([10, 1000, 200_000]))]), rng.choice(["STORE", "OTA", "", None]), rng.choice(["1", "2", None]))
+        for _ in range(120)
+    ]
+    df = spark.createDataFrame(table, STOCK)
+    out = f"{tmp_path}/out"
+    for part in range(2):
+        df.where(F.abs(F.xxhash64(*df.columns)) % 2 == part).repartition(3, F.rand(seed)).write.mode("append").parquet(f"{tmp_path}/in")
+        arriving = spark.readStream.schema(STOCK).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        stock_state.keep_stock(arriving, out, settings)
+    found = stock_state.current_stock(spark, out, settings)
+    expected = silver.unify_inventory(df, settings)
+    assert rows(found) == rows(expected.select(*found.columns))
+    assert len(stored_batches(spark, f"{out}/stock")) > 2

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.functions.parsing import email, phone_kept_plus
 from tidewell.functions.scalars import (
@@ -24,6 +25,7 @@ from tidewell.functions.scalars import (
     starts_with_choice,
     zero_pad,
 )
+from tidewell.operators.history import History
 from tidewell.operators.lookup import Lookup, lookups
 from tidewell.operators.numbering import number_rows
 from tidewell.operators.stable_keys import with_stable_numbers
@@ -221,6 +223,32 @@ def fact_inventory_snapshot(
     )
 
 
+#: Columns of the inventory snapshot that say when it was taken; the rest is its history.
+TAKEN = ("SNAPSHOT_TS", "SYNC_DELAY_SEC")
+_HISTORY = (
+    "PRODUCT_ID string, CHANNEL_ID string, AVAIL_QTY long, PRICE decimal(10,2), CURRENCY string,"
+    " LAST_UPDATED_UTC timestamp_ntz, STATUS string, CONFLICT_FLAG boolean, SOURCE_COVERAGE int"
+)
+
+
+def inventory_history(spark: SparkSession, path: str) -> History:
+    return History(path, StructType.fromDDL(_HISTORY))
+
+
+def record_inventory(history: History, snapshot: DataFrame, settings: Settings) -> None:
+    history.record(snapshot.drop(*TAKEN), settings.as_of.date())
+
+
+def inventory_as_of(spark: SparkSession, history: History, settings: Settings) -> DataFrame:
+    """The snapshot as it was taken on the day of ``as_of``, at that time."""
+    now = moment(settings.as_of)
+    rows = history.as_of(spark, settings.as_of.date())
+    delay = number(seconds_between(F.col("LAST_UPDATED_UTC"), now))
+    dated = rows.select("*", now.alias("SNAPSHOT_TS"), delay.alias("SYNC_DELAY_SEC"))
+    first = [f.split()[0] for f in _HISTORY.replace("(10,2)", "").split(", ")]
+    return dated.select("SNAPSHOT_TS", *first[:5], "SYNC_DELAY_SEC", *first[5:])
+
+
 def bridge_person_identity(customers: DataFrame, settings: Settings) -> DataFrame:
     return customers.select(
         "PERSON_KEY",

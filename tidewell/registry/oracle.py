@@ -524,4 +524,16 @@ def all_oracles() -> dict[str, str]:
     conflict AS CONFLICT_FLAG, sources AS SOURCE_COVERAGE
   FROM raw_latest JOIN spread USING (PRODUCT_ID)"""
     sql["raw_to_gold_daily_revenue"] = f"WITH {RAW_ORDERS} {_daily_revenue('raw_fact')}"
+    # the same results by stored state
+    sql["snapshot_history"] = sql["snapshot_append"]
+    sql["rollup_daily_revenue"] = sql["daily_revenue_exact"]
+    sql["rollup_status_mix"] = sql["status_mix"]
+    sql["distinct_sketches"] = f"""WITH {ORDERS}
+  SELECT lower(SOURCE) AS channel, count(DISTINCT PERSON_KEY) AS customers, true AS within_bound
+  FROM order_view WHERE PERSON_KEY IS NOT NULL GROUP BY 1"""
+    sql["bucketed_order_persons"] = f"""WITH {ORDERS}, {PERSONS}
+  SELECT LOCALE, count(*) AS orders, sum(GROSS_AMOUNT) AS amount FROM order_view JOIN persons USING (PERSON_KEY) GROUP BY 1"""
+    sql["streaming_customers"] = sql["raw_to_gold_customers"]
+    sql["streaming_fact_orders"] = sql["raw_to_gold_fact_orders"]
+    sql["streaming_inventory"] = sql["inventory_unified"]
     return sql

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import parsing, scalars
-from tidewell.operators import quality
+from tidewell.operators import quality, rollups
 from tidewell.operators.identity import one_pass_key, transitive_keys
 from tidewell.operators.identity_store import IdentityStore
 from tidewell.operators.numbering import number_rows
-from tidewell.plans import gold, marts, pipeline, silver
+from tidewell.operators.rollups import OrderRollup
+from tidewell.operators.sketches import add_sketches, distinct_estimates, error_bound
+from tidewell.plans import gold, marts, pipeline, silver, stock_state, streaming
 from tidewell.registry.contract import (
     EVENT_ORDERS_AS_OF,
     EVENTS_AS_OF,
@@ -25,6 +27,7 @@ from tidewell.registry.contract import (
 from tidewell.registry.raw_exports import EXPORT_FILES, write_exports
 from tidewell.session import shared_folder
 from tidewell.settings import FRESHNESS_FLOORS, Settings
+from tidewell.sources.bucketed import bucketed_refresh
 from tidewell.sources.files import CORRUPT, RawFile, read_csv, read_json
 from tidewell.sources.gate import Gate, QualityError, gated_refresh
 from tidewell.sources.json_arrays import read_json_array
@@ -640,6 +643,81 @@ def snapshot_append(t: Tables) -> DataFrame:
     )
 
 
+@register
+def snapshot_history(t: Tables) -> DataFrame:
+    """The same days, stored as intervals and read back day by day."""
+    days = [Settings(as_of=EVENTS_AS_OF + timedelta(days=n)) for n in (0, 1)]
+    history = gold.inventory_history(t.spark, _new_folder(t, "history"))
+    for settings in (*days, days[-1]):
+        snap = gold.fact_inventory_snapshot(t.silver_inventory(), t.products(), t.channels(), settings)
+        gold.record_inventory(history, snap, settings)
+    kept = append_all(gold.inventory_as_of(t.spark, history, settings) for settings in days)
+    return kept.groupBy(F.to_date("SNAPSHOT_TS").alias("SNAPSHOT_DATE")).agg(
+        F.count("*").alias("row_count"), F.sum("SYNC_DELAY_SEC").alias("delay"), F.max("SNAPSHOT_TS").alias("at")
+    )
+
+
+def _order_changes(t: Tables) -> DataFrame:
+    channel = F.lower("SOURCE").alias("CHANNEL_ID")
+    orders = t.silver_orders().select(F.col("ORDER_ID_SRC").alias("ORDER_ID"), "ORDER_TS", "STATUS", channel, "PRODUCT_ID", "GROSS_AMOUNT")
+    return orders.withColumn("DELETED", F.lit(False))
+
+
+def _order_rollup(t: Tables) -> DataFrame:
+    """Orders as they came, with some days, statuses and amounts that were corrected later, and some that were no orders."""
+    orders, number = _order_changes(t), F.col("ORDER_ID").cast("long")
+    rollup = OrderRollup(_new_folder(t, "rollup"))
+    first = orders.withColumns(
+        {
+            "ORDER_TS": F.when(number % 5 == 0, F.col("ORDER_TS") - F.expr("INTERVAL 40 DAYS")).otherwise(F.col("ORDER_TS")),
+            "STATUS": F.when(number % 7 == 0, "paid").otherwise(F.col("STATUS")),
+            "GROSS_AMOUNT": F.when(number % 11 == 0, 1).otherwise(F.col("GROSS_AMOUNT")),
+        }
+    )
+    wrong = orders.where(number % 13 == 0).withColumn("ORDER_ID", F.concat(F.lit("x"), "ORDER_ID"))
+    rollup.add(first.unionByName(wrong), 0)
+    rollup.add(orders.where((number % 5 == 0) | (number % 7 == 0)).unionByName(wrong.withColumn("DELETED", F.lit(True))), 1)
+    rollup.add(orders.where(number % 11 == 0), 2)
+    return rollup.rows(t.spark, str((ORDERS_AS_OF - timedelta(days=marts.WINDOW_DAYS)).date()))
+
+
+@register
+def rollup_daily_revenue(t: Tables) -> DataFrame:
+    """Revenue in cents per day from a rollup that took corrections in."""
+    return rollups.daily_revenue(_order_rollup(t))
+
+
+@register
+def rollup_status_mix(t: Tables) -> DataFrame:
+    return rollups.status_mix(_order_rollup(t))
+
+
+@register
+def distinct_sketches(t: Tables) -> DataFrame:
+    """Customers per channel by stored sketches of each day, beside the exact number."""
+    path, orders = _new_folder(t, "sketches"), t.silver_orders().where("PERSON_KEY IS NOT NULL")
+    channel, person = F.lower("SOURCE"), F.col("PERSON_KEY")
+    for batch in range(3):  # months come in three loads
+        load = orders.where(F.month("ORDER_TS") % 3 == batch)
+        add_sketches(load, path, batch, F.to_date("ORDER_TS"), channel, person)
+    exact = orders.groupBy(channel.alias("CHANNEL")).agg(F.count_distinct("PERSON_KEY").alias("customers"))
+    found = distinct_estimates(t.spark, path, ("CHANNEL",)).withColumnRenamed("CHANNEL", "c")
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    joined = exact.join(found, F.col("CHANNEL").eqNullSafe(F.col("c")))
+    within = off <= F.greatest(F.lit(1.0), F.col("customers") * error_bound())
+    return joined.select(F.col("CHANNEL").alias("channel"), "customers", within.alias("within_bound"))
+
+
+@register
+def bucketed_order_persons(t: Tables) -> DataFrame:
+    """Orders and people joined by their buckets."""
+    name = f"t_{uuid.uuid4().hex}"
+    fact = bucketed_refresh(t.silver_orders().where("PERSON_KEY IS NOT NULL"), f"{name}_orders", "PERSON_KEY", 8)
+    persons = bucketed_refresh(t.persons(), f"{name}_persons", "PERSON_KEY", 8)
+    joined = fact.join(persons.hint("merge"), "PERSON_KEY")
+    return joined.groupBy("LOCALE").agg(F.count("*").alias("orders"), F.sum("GROSS_AMOUNT").alias("amount"))
+
+
 # --- the whole build from raw exports ----------------------------------------------------
 
 RAW_AS_OF = ORDERS_AS_OF
@@ -707,3 +785,38 @@ def raw_to_gold_fact_inventory(t: Tables) -> DataFrame:
 @register
 def raw_to_gold_daily_revenue(t: Tables) -> DataFrame:
     return marts.daily_revenue(_raw_build(t)["fact_orders"], RAW_AS_OF)
+
+
+def _streamed(t: Tables) -> dict[str, DataFrame]:
+    """Silver views of the same exports taken in as streams; once per session."""
+    key = (t.spark.sparkContext.applicationId, t.folder, "streamed")
+    if key not in _built:
+        _raw_build(t)
+        out, settings = _new_folder(t, "stream"), Settings(as_of=RAW_AS_OF)
+        root = _built[(*key[:2], "exports")]["root"]
+        streaming.take_in(t.spark, root, out, settings, EXPORT_FILES)
+        streaming.take_in(t.spark, root, out, settings, EXPORT_FILES)  # nothing new
+        _built[key] = streaming.views(t.spark, out, settings, EXPORT_FILES)
+    return _built[key]
+
+
+@register
+def streaming_customers(t: Tables) -> DataFrame:
+    return _streamed(t)["vw_customer_unified"]
+
+
+@register
+def streaming_fact_orders(t: Tables) -> DataFrame:
+    settings = Settings(as_of=RAW_AS_OF)
+    return pipeline.build_gold(_streamed(t), _new_folder(t, "stream-gold"), settings)["fact_orders"]
+
+
+@register
+def streaming_inventory(t: Tables) -> DataFrame:
+    """The inventory kept as state while its rows arrive file by file, in no order."""
+    path, settings = _new_folder(t, "stock"), t.stock_settings()
+    stock = t.stock().withColumn("ROW_ID", F.lpad(F.col("ROW_ID").cast("string"), 20, "0"))
+    stock.repartition(6, F.xxhash64("ROW_ID")).write.parquet(f"{path}/in")
+    arriving = t.spark.readStream.schema(stock.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    stock_state.keep_stock(arriving, path, settings)
+    return stock_state.current_stock(t.spark, path, settings)

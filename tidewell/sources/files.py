@@ -73,14 +73,14 @@ RAW_FILES = (
 
 
 def read_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = (), multi_line: bool = False
+    spark: SparkSession, path: str, columns: tuple[str, ...] = (), multi_line: bool = False, stream: bool = False
 ) -> DataFrame:
     """All columns as text: guessing types would turn phone numbers into floats.
 
     A quote inside a quoted field is written twice. With declared columns, rows of another
-    width come with their text in CORRUPT.
+    width come with their text in CORRUPT. ``stream``: of a folder, as files are added; needs declared columns.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = (spark.readStream if stream else spark.read).option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns:
         schema = ", ".join(f"`{c}` STRING" for c in (*columns, CORRUPT))
         reader = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
@@ -88,15 +88,15 @@ def read_csv(
 
 
 def read_json(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = (), lines: bool = False
+    spark: SparkSession, path: str, columns: tuple[str, ...] = (), lines: bool = False, stream: bool = False
 ) -> DataFrame:
     """Array files by default, one task each; ``lines`` for one object per line, which can be split.
 
     Declared columns are read as VARIANT, so ``5`` and ``"5"`` both survive as written.
     Without them every record is one VARIANT, column ``data``, and nothing is guessed. What
-    does not parse comes with its text in CORRUPT.
+    does not parse comes with its text in CORRUPT. ``stream``: of a folder, as files are added.
     """
-    reader = spark.read.option("multiLine", not lines).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = (spark.readStream if stream else spark.read).option("multiLine", not lines).option("columnNameOfCorruptRecord", CORRUPT)
     if columns:
         fields = [f"`{c}` VARIANT" for c in columns]
         return reader.schema(", ".join([*fields, f"{CORRUPT} STRING"])).json(path)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 
 def swap_in(spark: SparkSession, new: str, path: str) -> None:
@@ -45,24 +46,31 @@ def stored_batches(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
 
 
-def put_batch(df: DataFrame, path: str, batch: int) -> None:
+def put_batch(df: DataFrame, path: str, batch: int, partition_by: tuple[str, ...] = ()) -> None:
     """Store the rows of one batch; running the same batch again replaces it.
 
     The batch is written to a hidden folder and renamed, so that readers see all of it or none.
     """
     path = path.rstrip("/")
     new = f"{path}/_new-{uuid.uuid4().hex}"
-    df.write.parquet(new)
+    df.write.partitionBy(*partition_by).parquet(new)
     swap_in(df.sparkSession, new, f"{path}/batch={batch}")
 
 
-def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+def drop_batch(spark: SparkSession, path: str, batch: int) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch={batch}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_batches(spark: SparkSession, path: str, schema: str | StructType, before: int | None = None) -> DataFrame:
     """The rows of all batches (numbered below ``before``) with their ``batch``; none if there is no table."""
-    rows = [n for n in stored_batches(spark, path) if before is None or n < before]
-    if not rows:
-        return spark.createDataFrame([], f"{schema}, batch int")
-    folders = [f"{path.rstrip('/')}/batch={n}" for n in rows]
-    return spark.read.schema(f"{schema}, batch int").option("basePath", path).parquet(*folders)
+    numbers = [n for n in stored_batches(spark, path) if before is None or n < before]
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+    fields.add("batch", IntegerType())
+    if not numbers:
+        return spark.createDataFrame([], fields)
+    folders = [f"{path.rstrip('/')}/batch={n}" for n in numbers]
+    return spark.read.schema(fields).option("basePath", path).parquet(*folders)
 
 
 def full_refresh_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
