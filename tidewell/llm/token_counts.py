@@ -17,8 +17,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -31,10 +29,13 @@ from tidewell.llm.text import pieces
 #: Fixed value: the pre-tokenization pattern of this vocabulary, as published with it.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CONTRACTIONS = ("'re", "'ve", "'ll")
-#: Longer words are solved one by one instead of as rows of a matrix.
-MATRIX_WIDTH = 32
-#: Entries a worker keeps of words, stretches and token pairs before it starts over.
+#: Words of up to so many bytes are rows of one matrix, or of another; longer ones are solved one by one.
+MATRIX_WIDTHS = (32, 256)
+#: Cells of a matrix.
+CELLS = 1 << 21
+#: Entries a worker keeps of words, stretches and token pairs before it starts over, and bytes of the first two.
 CACHE_ENTRIES = 300_000
+CACHE_BYTES = 64 << 20
 PAIR_ENTRIES = 4_000_000
 
 _STRETCH = re.compile(r"\s*\S+|\s+")
@@ -81,6 +82,51 @@ class PairCheck:
         return answer[back]
 
 
+class Spines:
+    """The same for single pairs, from the merges alone.
+
+    While a token is merged together, the piece at its edge is replaced by larger and larger ones: its
+    spine. A piece ends when the next one is merged. Two tokens do not stay apart if some piece at the
+    end of the left one and some piece at the beginning of the right one have a merge that comes before
+    both end; of equal merges the one further left comes first.
+    """
+
+    def __init__(self, merges: list[tuple[str, str]], vocabulary: dict[str, int]):
+        self.rank = {(vocabulary[a], vocabulary[b]): n for n, (a, b) in enumerate(merges)}
+        self.parts: dict[int, tuple[int, int, int]] = {}
+        for n, (a, b) in enumerate(merges):
+            self.parts.setdefault(vocabulary[a + b], (vocabulary[a], vocabulary[b], n))
+        self.spines: tuple[dict[int, list], dict[int, list]] = ({}, {})
+        self.known: dict[tuple[int, int], bool] = {}
+
+    def spine(self, token: int, side: int) -> list[tuple[int, float]]:
+        """(piece, merge that ends it) at the beginning (0) or end (1) of a token, the whole token first."""
+        found = self.spines[side].get(token)
+        if found is None:
+            found, piece, ends = [], token, float("inf")
+            while True:
+                found.append((piece, ends))
+                if piece not in self.parts:
+                    break
+                *parts, ends = self.parts[piece]
+                piece = parts[side]
+            self.spines[side][token] = found
+        return found
+
+    def apart(self, left: int, right: int) -> bool:
+        answer = self.known.get((left, right))
+        if answer is None:
+            if len(self.known) > CACHE_ENTRIES:
+                self.known.clear()
+            rank = self.rank.get
+            answer = self.known[left, right] = not any(
+                (merge := rank((a, b))) is not None and merge < ends_a and merge <= ends_b
+                for a, ends_a in self.spine(left, 1)
+                for b, ends_b in self.spine(right, 0)
+            )
+        return answer
+
+
 class PrefixCounter:
     """Counts of all prefixes of words, and the counts of whole stretches of text, kept per worker."""
 
@@ -101,6 +147,8 @@ class PrefixCounter:
             if all(c in back for c in token):
                 self.ids[bytes(back[c] for c in token)] = i
         self.pair_is_valid = PairCheck(bare, spelling)
+        self.alone_is_valid = Spines(merges, vocabulary)
+        self.suffixes: frozenset[bytes] = frozenset()
         met = bare.encode_batch_fast(spelling, add_special_tokens=False)
         self.stands_alone = np.array([e.ids == [i] for i, e in enumerate(met)])
         tokens = list(self.ids)
@@ -110,6 +158,7 @@ class PrefixCounter:
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[codes >> np.uint64(42)] = True
         self.longest = max(map(len, tokens))
+        self.held = 0  # bytes of the words, their counts, and the stretches
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, int] = {}
         self.pattern = regex.compile(WORD_PATTERN)
@@ -124,15 +173,19 @@ class PrefixCounter:
     def prefixes(self, words: list[bytes]) -> list[np.ndarray]:
         """For each word the token count of its first 1, 2, … bytes."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= MATRIX_WIDTH]
-        if short:
-            short.sort(key=lambda i: -len(words[i]))
-            counts = self._matrix([words[i] for i in short])
-            for row, i in enumerate(short):
-                out[i] = counts[row, 1 : len(words[i]) + 1]
-        for i, w in enumerate(words):
-            if len(w) > MATRIX_WIDTH:
-                out[i] = self._one(w)
+        order = sorted((i for i, w in enumerate(words) if w), key=lambda i: -len(words[i]))
+        sizes = np.array([len(words[i]) for i in order])
+        first = len(order)
+        for width in MATRIX_WIDTHS:
+            start = int(np.searchsorted(-sizes, -width))
+            for at in range(start, first, max(1, CELLS // width)):
+                rows = order[at : min(first, at + max(1, CELLS // width))]
+                counts = self._matrix([words[i] for i in rows])
+                for row, i in enumerate(rows):
+                    out[i] = counts[row, 1 : len(words[i]) + 1]
+            first = start
+        for i in order[:first]:
+            out[i] = self._one(words[i])
         return out
 
     def _matrix(self, words: list[bytes]) -> np.ndarray:
@@ -174,31 +227,36 @@ class PrefixCounter:
 
     def _one(self, word: bytes) -> np.ndarray:
         """The same for one long word."""
-        last, counts = [0] * (len(word) + 1), np.zeros(len(word) + 1, np.uint32)
+        if not self.suffixes:
+            self.suffixes = frozenset(t[i:] for t in self.ids for i in range(len(t)))
+        last, counts = [0] * (len(word) + 1), [0] * (len(word) + 1)
         for t in range(1, len(word) + 1):
-            for size in range(min(t, self.longest), 0, -1):
-                i = self.ids.get(word[t - size : t])
-                if i is None:
-                    continue
-                if self.stands_alone[i] if size == t else self._follows(last[t - size], i):
+            for size in range(1, t + 1):
+                piece = word[t - size : t]
+                if piece not in self.suffixes:
+                    break
+                i = self.ids.get(piece)
+                if i is not None and self.stands_alone[i] and (size == t or self.alone_is_valid.apart(last[t - size], i)):
                     last[t], counts[t] = i, counts[t - size] + 1
                     break
-        return counts[1:]
+        return np.array(counts[1:], np.uint32)
 
-    @lru_cache(maxsize=1 << 18)  # noqa: B019  one counter lives as long as its worker
-    def _follows(self, left: int, right: int) -> bool:
-        return bool(self.pair_is_valid(np.array([left]), np.array([right]))[0])
+    def _enter(self, words: list[str]) -> None:
+        """Enter the counts of all prefixes of new words."""
+        for word, counts in zip(words, self.prefixes([w.encode() for w in words])):
+            if word in CONTRACTIONS:  # cut after its first letter, it is two words
+                counts = np.array([1, 2, counts[2]], np.uint32)
+            self.words[word] = counts.astype("<u4").tobytes()
+            self.held += 5 * len(counts)
 
     def learn(self, stretches: list[str]) -> None:
         """Enter the counts of new stretches, and of all prefixes of their new words."""
-        if len(self.words) > CACHE_ENTRIES:
+        if len(self.words) > CACHE_ENTRIES or self.held > CACHE_BYTES:
             self.words.clear()
+            self.held = sum(map(len, self.stretches))
         found = [self.pattern.findall(s) for s in stretches]
-        new = [w for w in {w for words in found for w in words} if w not in self.words]
-        for word, counts in zip(new, self.prefixes([w.encode() for w in new])):
-            if word in CONTRACTIONS:  # cut after its first letter, it is two words
-                counts = np.array([1, 2, counts[2]], np.uint32)
-            self.words[word] = counts.astype("<u4").tobytes()
+        self._enter([w for w in {w for words in found for w in words} if w not in self.words])
+        self.held += sum(map(len, stretches))
         for s, words in zip(stretches, found):
             if any(t in s for t in self.special):
                 self.stretches[s] = len(self.whole_text.encode(s, add_special_tokens=False).ids)
@@ -213,8 +271,9 @@ class PrefixCounter:
         """Each stretch's tokens; those not met before are learnt together."""
         new = [s for s in set(stretches) if s not in self.stretches]
         if new:
-            if len(self.stretches) > CACHE_ENTRIES:
+            if len(self.stretches) > CACHE_ENTRIES or self.held > CACHE_BYTES:
                 self.stretches.clear()
+                self.held = sum(map(len, self.words.values()))
                 new = list(set(stretches))
             self.learn(new)
         return np.fromiter(map(self.stretches.__getitem__, stretches), np.int64, len(stretches))
@@ -228,11 +287,7 @@ class PrefixCounter:
         core = stretch.lstrip()
         blank = stretch[: len(stretch) - len(core)]
         out, done, before = [], 0, 0
-        missing = [w for w in [*self.pattern.findall(stretch), blank] if w and w not in self.words]
-        for word, counts in zip(missing, self.prefixes([w.encode() for w in missing])):
-            if word in CONTRACTIONS:
-                counts = np.array([1, 2, counts[2]], np.uint32)
-            self.words[word] = counts.astype("<u4").tobytes()
+        self._enter([w for w in dict.fromkeys([*self.pattern.findall(stretch), blank]) if w and w not in self.words])
         for word in self.pattern.findall(stretch):
             counts = np.frombuffer(self.words[word], "<u4").astype(np.int64)
             out.append(counts + done)
