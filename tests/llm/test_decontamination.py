@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontamination
-from tidewell.llm.decontamination import LEAST_TOKENS, MASKS, WINDOW, contaminated
+from tidewell.llm.decontamination import LEAST_TOKENS, WINDOW, contaminated
 
 
 def tokens(text):
@@ -25,6 +25,8 @@ def plain(docs, items, share=0.8):
         for item, t in items:
             b, best = tokens(t), None
             if len(b) < LEAST_TOKENS:
+                if b and b == d:
+                    out.append((key, item, 0, len(b), len(b)))
                 continue
             for base in range(-len(b) + 1, len(d)):
                 same = [0 <= base + i < len(d) and d[base + i] == x for i, x in enumerate(b)]
@@ -48,7 +50,7 @@ def test_against_all_offsets(spark, monkeypatch, block):
     rng = random.Random(2)
     word = lambda: rng.choice("the of and ing thor enat reed ä é ß onth tion".split()) + rng.choice(["", "er", "ly", "ed", "ing"])
     items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([3, 4, 5, 6, 8, 10, 12, 13, 14, 20, 30, 45])]
-    docs = [(None, items[9][1]), (1, None), (2, ""), (3, items[0][1]), (4, "one two")]
+    docs = [(None, items[9][1]), (1, None), (2, ""), (3, items[0][1]), (4, "one two"), (5, f" {items[1][1].upper()}! "), (6, f"{items[0][1]} and")]
     for i in range(60):
         t = tokens(rng.choice(items)[1])
         t = [x.decode() for x in t]

@@ -12,8 +12,8 @@ same wherever they stand.
 
 Cases: tokens are runs of letters and digits, ASCII letters in lower case, so that punctuation and
 white space do not matter; null and empty texts and items have none; items of fewer than
-LEAST_TOKENS tokens are not searched for, as they would meet everywhere; repeated rows and items give repeated
-pairs; a null key stays. Other columns are not read.
+LEAST_TOKENS tokens would meet everywhere, so they are found only as whole texts: in texts of just
+their tokens; repeated rows and items give repeated pairs; a null key stays. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -139,9 +139,18 @@ class Items:
                 out.append(np.unique(np.stack([row[start], item[pick], start - place[pick]], axis=1), axis=0))
         return np.unique(np.concatenate(out), axis=0)
 
+    def whole(self, hashes: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(text, item, tokens) of texts that are a short item."""
+        short: dict[bytes, list[int]] = {}
+        for i in np.flatnonzero((np.diff(self.offsets) > 0) & (np.diff(self.offsets) < LEAST_TOKENS)).tolist():
+            short.setdefault(self.hashes[self.offsets[i] : self.offsets[i + 1]].tobytes(), []).append(i)
+        sizes = np.diff(offsets)
+        few = np.flatnonzero((sizes > 0) & (sizes < LEAST_TOKENS)).tolist() if short else []
+        return [(t, i, int(sizes[t])) for t in few for i in short.get(hashes[offsets[t] : offsets[t + 1]].tobytes(), ())]
+
     def verified(self, hashes: np.ndarray, offsets: np.ndarray, share: float) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first token, tokens that agree, tokens of the item): the best offset of each pair that agrees enough."""
-        best: dict[tuple[int, int], tuple[int, int, int, int, int]] = {}
+        best = {(t, i): (t, i, 0, n, n) for t, i, n in self.whole(hashes, offsets)}
         every = self.hits(hashes, offsets)
         for at in range(0, len(every), 4096):
             text, item, base = every[at : at + 4096].T
