@@ -179,6 +179,14 @@ def test_machine_learns_a_partner_without_effect_of_its_own():
     assert labels.sum() == 1200 and both > one + 0.1 and other < 0.3
 
 
+def test_long_texts_are_learnt_from(spark):
+    rows = [(i, ("bad" if i % 2 else "good") + " day" * (80_000 if i % 2 else 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    machine = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels, F.lit(True))
+    bad, good = machine.score(pa.array(["bad day", "good day"]))
+    assert bad > 0.5 > good
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, "bad " * 5000), (3, "bad"), (None, "bad"), (4, "fine"), (5, "bad day")], "doc_id long, text string"

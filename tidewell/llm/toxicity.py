@@ -30,8 +30,6 @@ FACTORS = 8
 MOST_BUCKETS = 1024
 LEAST_EVIDENCE = 4.0
 STEPS, RATE, DECAY = 250, 0.05, 1e-4
-#: Texts beyond this size are not learnt from.
-LEARN_BYTES = 200_000
 
 #: ASCII that is neither letter nor digit ends a term.
 BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -153,13 +151,14 @@ def learn(
     """Fit on at most ``most_rows`` labelled rows where ``learn_from`` (of the key) holds.
 
     The sample is the rows with the smallest hashes of their keys, so it is bounded however many
-    labels there are. Tasks find its terms; the driver gets at most 2**BUCKET_BITS numbers a row.
+    labels there are; a row of it without a text is no example. Tasks find the terms of whole texts;
+    the driver gets at most 2**BUCKET_BITS numbers a row.
     """
     usable = labels.where(learn_from & F.col(label).isin(0, 1) & F.col(key).isNotNull())
     usable = usable.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"))
     chosen = usable.orderBy(F.xxhash64("id"), "id", "label").limit(most_rows)
     texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    texts = texts.where(F.col("text").isNotNull() & (F.octet_length("text") <= LEARN_BYTES))
+    texts = texts.where(F.col("text").isNotNull())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
