@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,22 @@ def test_against_all_products(spark, monkeypatch, shard, block):
     assert found(spark, rows) == plain(rows)
 
 
+@pytest.mark.parametrize("gathered", [1, 50, 1 << 22])
+def test_few_pairs_left(monkeypatch, gathered):
+    """Vectors in clear groups: bounds leave few pairs, whose products are gathered in parts."""
+    monkeypatch.setattr(vector_search, "GATHERED", gathered)
+    rng = np.random.default_rng(8)
+    centres = rng.integers(-3000, 3000, (60, 64))
+    vectors = np.repeat(centres, 20, axis=0) + rng.integers(-3, 4, (1200, 64))
+    rows, ids = np.arange(1200), rng.permutation(1200)
+    own = np.arange(0, 1200, 50)
+    q, found, scores = vector_search.best_of_shard(vectors[own], rows[own], vectors, rows, ids, 5)
+    for place, row in enumerate(own):
+        products = vectors @ vectors[row]
+        best = sorted((-int(products[i]), int(ids[i])) for i in rows if i != row)[:5]
+        assert list(zip((-scores[q == place]).tolist(), found[q == place].tolist())) == best
+
+
 def test_odd_rows(spark):
     rng = random.Random(4)
     rows = [(i, vector(rng, 8)) for i in range(0, 120, 5)]

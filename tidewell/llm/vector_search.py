@@ -30,6 +30,8 @@ SHARD_ROWS = 8192
 #: Segments of each resolution, and the share of pairs up to which only the survivors are computed.
 RESOLUTIONS = (4, 16)
 SPARSE = 0.05
+#: Components of pairs gathered at once.
+GATHERED = 1 << 22
 
 
 def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -50,6 +52,16 @@ def exact_products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return queries @ candidates.T
 
 
+def pair_products(left: np.ndarray, right: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of some pairs of rows, of which GATHERED components are held at a time."""
+    out = np.zeros(len(q), left.dtype)
+    step = max(1, GATHERED // max(1, left.shape[1]))
+    for at in range(0, len(q), step):
+        part = slice(at, at + step)
+        out[part] = np.einsum("pd,pd->p", left[q[part]], right[c[part]])
+    return out
+
+
 def best_of_shard(
     queries: np.ndarray, query_rows: np.ndarray, candidates: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +92,7 @@ def best_of_shard(
             alive &= bound >= floor[:, None]
         else:
             q, c = np.nonzero(alive)
-            bound = np.einsum("pd,pd->p", sq[q], sc[c]) + slack[q, 0]
+            bound = pair_products(sq, sc, q, c) + slack[q, 0]
             gone = bound < floor[q]
             alive[q[gone], c[gone]] = False
     if alive.mean() > SPARSE:
@@ -89,7 +101,7 @@ def best_of_shard(
         scores = scores[q, c]
     else:
         q, c = np.nonzero(alive)
-        scores = np.einsum("pd,pd->p", queries[q], candidates[c])
+        scores = pair_products(queries, candidates, q, c)
     keep = scores >= floor[q]
     q, c, scores = q[keep], c[keep], scores[keep]
     order = np.lexsort((c, -scores, q))
