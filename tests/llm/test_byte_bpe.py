@@ -59,10 +59,27 @@ def test_every_place_taken_and_none(spark):
     assert both(spark, rows, PATHS[0], most_words=1) == both(spark, rows, PATHS[0], most_words=1000) == known
 
 
+def test_smaller_maps_come_first(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "FEWER_WORDS", (1, 2))
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(["the", "a", "of", "zyx", "qua"], [9, 5, 3, 2, 1], k=30))) for i in range(20)]
+    assert both(spark, rows, PATHS[0], most_words=8) == expected(rows, PATHS[0])
+    counted = spark.createDataFrame([(["a"] * 5 + ["bc"] * 4 + ["d"] * 4,)], "words array<string>")
+    maps = byte_bpe.frequent_words(counted, byte_bpe.folding(spark, PATHS[0]), 8)
+    held = [{w for m in spark.range(1).select(F.expr(name)).first()[0] if m for w in m} for name, _ in maps]
+    assert held == [{"a"}, {"a", "bc"}, {"a", "bc", "d"}]
+
+
+def test_patterns_are_factored():
+    assert byte_bpe._factored(public_tokenizers.PATTERN).startswith("'(?:s|t|re|ve|m|ll|d)| ?")
+    for kept in (r"a|b", r"(?:ab|ac)+|ad", r"[a|b]+", "ab", r"\w+|\s+"):
+        assert byte_bpe._factored(kept) == kept
+
+
 def test_the_most_frequent_words_are_kept(spark):
     counted = spark.createDataFrame([(["a"] * 5 + ["bc"] * 4 + ["d"] * 4 + ["é" * 40] * 9,)], "words array<string>")
     for most, expected in ((1, {"a"}), (2, {"a"}), (3, {"a", "bc", "d"}), (9, {"a", "bc", "d"})):
-        known, buckets = byte_bpe.frequent_words(counted, byte_bpe.folding(spark, PATHS[0]), most)
+        ((known, buckets),) = byte_bpe.frequent_words(counted, byte_bpe.folding(spark, PATHS[0]), most)
         held = spark.range(1).select(F.expr(known).alias("k")).first()["k"]
         assert len(held) == buckets == 2 * most and {w for m in held if m for w in m} == expected
 

@@ -49,6 +49,8 @@ BUCKETS = 1 << 16
 SHORT = 64
 #: Bytes of the longest word that may enter the table of frequent words.
 LONGEST_WORD = 64
+#: Words of a smaller map, looked up first.
+FEWER_WORDS = (1 << 12,)
 #: Counts of words are binned by this many bins a doubling to find the least count that enters.
 BINS = 8
 _RANKS = "ARRAY<MAP<STRING, INT>>"
@@ -137,9 +139,22 @@ def _code_points(spark: SparkSession, category: str) -> str:
     return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
 
 
+def _factored(pattern: str) -> str:
+    """Leading alternatives of plain characters that begin alike, with what they share in front: tried once a place."""
+    if re.search(r"[(\[][^)\]]*[|]", pattern):  # not only alternatives of the whole
+        return pattern
+    parts = pattern.split("|")
+    plain = next((i for i, p in enumerate(parts) if not re.fullmatch(r"[\w' ]{2,}", p) or p[0] != parts[0][0]), len(parts))
+    if plain < 2:
+        return pattern
+    ends = "|".join(p[1:] for p in parts[:plain])
+    return "|".join([f"{parts[0][0]}(?:{ends})", *parts[plain:]])
+
+
 @lru_cache(maxsize=4)
 def _java_patterns(spark: SparkSession, pattern: str) -> tuple[str, str]:
     """The pattern for the JVM, and with the letters and numbers that the JVM does not know yet."""
+    pattern = _factored(pattern)
     more = {c: _code_points(spark, c) for c in (r"\p{L}", r"\p{N}") if c in pattern}
 
     def widened(part: str) -> str:
@@ -233,15 +248,29 @@ def _bucket(word: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
 
 
-def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tuple[str, int]:
-    """The variable that holds buckets of a map from words to ids, and how many buckets there are.
+def _word_map(spark: SparkSession, folded: DataFrame, buckets: int) -> str:
+    """The variable that holds a map from words to ids, in buckets by the words' hashes."""
+    entries = F.collect_list(F.struct("word", "ids")).alias("entries")
+    filled = folded.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(entries)
+    in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
+    every = spark.range(buckets).join(filled, "id", "left")
+    table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
+    name = f"words_{uuid.uuid4().hex}"
+    _variable(spark, name, table, "ARRAY<MAP<STRING, ARRAY<INT>>>")
+    return name
+
+
+def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> list[tuple[str, int]]:
+    """Variables that hold buckets of maps from words to ids, and how many buckets: the most frequent words.
 
-    The map has the most frequent words, ``most_words`` at most. ``words`` has one column of arrays. Words of a count that not all fit in with stay out.
+    The last map has ``most_words`` at most, those before it the FEWER_WORDS most frequent of them, as a
+    small map is quicker. ``words`` has one column of arrays. Words of a count that not all fit in with
+    stay out.
     """
     spark = words.sparkSession
     counted = stage(words.select(F.explode(words.columns[0]).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
     level = F.floor(F.log2("n") * BINS).cast("int").alias("level")
-    fitting = counted.where(F.octet_length("word") <= LONGEST_WORD).select("word", level)
+    fitting = counted.where(F.octet_length("word") <= LONGEST_WORD).select("word", "n", level)
     least, room = None, most_words
     for row in fitting.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
         room -= row["n"]
@@ -250,16 +279,13 @@ def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> tu
         least = row["level"]
     chosen = fitting.where(F.col("level") >= least if least is not None else F.lit(False))
     # at most most_words short words from here on, told by the counts above
-    buckets = 2 * most_words
-    folded = stage(chosen.repartition(F.xxhash64("word")).select("word", vocabulary.ids(F.col("word")).alias("ids")), "folded-words")
-    entries = F.collect_list(F.struct("word", "ids")).alias("entries")
-    filled = folded.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(entries)
-    in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
-    every = spark.range(buckets).join(filled, "id", "left")
-    table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
-    name = f"words_{uuid.uuid4().hex}"
-    _variable(spark, name, table, "ARRAY<MAP<STRING, ARRAY<INT>>>")
-    return name, buckets
+    ids = vocabulary.ids(F.col("word")).alias("ids")
+    folded = stage(chosen.repartition(F.xxhash64("word")).select("word", "n", ids), "folded-words")
+    found = []
+    for most in (*(n for n in FEWER_WORDS if n < most_words), most_words):
+        some = folded if most == most_words else folded.orderBy(F.desc("n"), "word").limit(most)
+        found.append((_word_map(spark, some, 2 * most), 2 * most))
+    return found
 
 
 # --- texts ---------------------------------------------------------------------------------
@@ -271,14 +297,15 @@ def encode(
     """``df`` with the ids of its texts, an array of integers."""
     spark, vocabulary = df.sparkSession, folding(df.sparkSession, path)
     words = words_of(spark, F.col(text), pattern)
-    name, buckets = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
-    known = F.expr(f"session.{name}")
+    maps = frequent_words(df.select(words.alias("words")), vocabulary, most_words)
 
     def ids_of(word: Column) -> Column:
-        return F.coalesce(F.element_at(F.get(known, _bucket(word, buckets)), word), vocabulary.ids(word))
+        known = [F.element_at(F.get(F.expr(f"session.{name}"), _bucket(word, buckets)), word) for name, buckets in maps]
+        return F.coalesce(*known, vocabulary.ids(word))
 
     encoded = df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
-    spark.sql(f"DROP TEMPORARY VARIABLE {name}")  # the frame has its value
+    for name, _ in maps:  # the frame has their values
+        spark.sql(f"DROP TEMPORARY VARIABLE {name}")
     return encoded
 
 
