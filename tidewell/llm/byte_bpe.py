@@ -30,7 +30,6 @@ import hashlib
 import json
 import re
 import uuid
-import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,6 +38,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm import worker
 from tidewell.session import stage
 
 #: Symbols are characters from here on; those of small vocabularies end before the surrogates.
@@ -50,10 +50,9 @@ SHORT = 64
 #: Bytes of the longest word that may enter the table of frequent words.
 LONGEST_WORD = 64
 #: Words of a smaller map, looked up first.
-FEWER_WORDS = (1 << 12,)
+FEWER_WORDS = (1 << 13,)
 #: Counts of words are binned by this many bins a doubling to find the least count that enters.
 BINS = 8
-_RANKS = "ARRAY<MAP<STRING, INT>>"
 
 
 @dataclass(frozen=True)
@@ -124,11 +123,11 @@ def _texts(spark: SparkSession, values: list[str]) -> Column:
 
 def _code_points(spark: SparkSession, category: str) -> str:
     """What the tokenizer's Unicode version has in a category and this JVM's has not, as ranges."""
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    every = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
     single = tiktoken.Encoding(
         "category", pat_str=category, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={}
     )
-    others = spark._jvm.java.util.regex.Pattern.compile(category).matcher("".join(map(chr, points))).replaceAll("")
+    others = spark._jvm.java.util.regex.Pattern.compile(category).matcher(every).replaceAll("")
     missing = [ord(c) for c in others if single.encode_ordinary(c)]
     ranges: list[list[int]] = []
     for point in missing:
@@ -189,7 +188,7 @@ class Folding:
     first: int  # code point of the symbol of id 0
 
     def rank(self, pair: Column) -> Column:
-        return F.element_at(F.get(self.ranks, F.pmod(F.crc32(pair.cast("binary")), F.lit(BUCKETS)).cast("int")), pair)
+        return F.element_at(F.get(self.ranks, _bucket(pair, BUCKETS)), pair)
 
     def fold(self, word: Column) -> Column:
         """The symbols of a word's pieces."""
@@ -222,12 +221,10 @@ def folding(spark: SparkSession, path: str) -> Folding:
     first = FIRST_SYMBOL if FIRST_SYMBOL + len(known.pieces) <= SURROGATES else FIRST_SYMBOL_OF_MANY
     symbols = [chr(first + i) for i in range(len(known.pieces))]
     pairs = [symbols[p[0]] + symbols[p[1]] if p else "" for p in known.parts]
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for identifier, pair in enumerate(pairs):
-        if pair:
-            buckets[zlib.crc32(pair.encode()) % BUCKETS][pair] = identifier
+    merges = spark.createDataFrame([(pair, i) for i, pair in enumerate(pairs) if pair], "key string, value int")
+    ranks = f"ranks_{hashlib.sha256(''.join(pairs).encode()).hexdigest()[:24]}"
     return Folding(
-        ranks=_literal(spark, json.dumps(buckets), F.from_json("text", _RANKS), _RANKS),
+        ranks=_map(spark, ranks, merges, BUCKETS),
         parts=_texts(spark, pairs),
         symbols=_texts(spark, symbols),
         single="".join(symbols[known.pieces.index(bytes([b]))] for b in range(256)),
@@ -235,6 +232,20 @@ def folding(spark: SparkSession, path: str) -> Folding:
     )
 
 
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
+def _map(spark: SparkSession, name: str, entries: DataFrame, buckets: int) -> Column:
+    """A map from ``key`` to ``value`` as a literal: buckets of maps, by the hashes of the keys."""
+    held = F.collect_list(F.struct("key", "value")).alias("entries")
+    filled = entries.groupBy(_bucket(F.col("key"), buckets).alias("id")).agg(held)
+    in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
+    every = spark.range(buckets).join(filled, "id", "left")
+    table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
+    return _variable(spark, name, table, table.schema["value"].dataType.simpleString())
+
+
 def _pieces(spark: SparkSession, path: str) -> Column:
     """By id: the bytes of a piece, as the characters of the same codes."""
     pieces = json.dumps([p.decode("latin-1") for p in read_ranks(path).pieces])
@@ -244,22 +255,6 @@ def _pieces(spark: SparkSession, path: str) -> Column:
 # --- frequent words ------------------------------------------------------------------------
 
 
-def _bucket(word: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
-
-
-def _word_map(spark: SparkSession, folded: DataFrame, buckets: int) -> str:
-    """The variable that holds a map from words to ids, in buckets by the words' hashes."""
-    entries = F.collect_list(F.struct("word", "ids")).alias("entries")
-    filled = folded.groupBy(_bucket(F.col("word"), buckets).alias("id")).agg(entries)
-    in_order = F.sort_array(F.collect_list(F.struct("id", "entries")))
-    every = spark.range(buckets).join(filled, "id", "left")
-    table = every.agg(F.transform(in_order, lambda row: F.map_from_entries(row["entries"])).alias("value"))
-    name = f"words_{uuid.uuid4().hex}"
-    _variable(spark, name, table, "ARRAY<MAP<STRING, ARRAY<INT>>>")
-    return name
-
-
 def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> list[tuple[str, int]]:
     """Variables that hold buckets of maps from words to ids, and how many buckets: the most frequent words.
 
@@ -279,12 +274,15 @@ def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> li
         least = row["level"]
     chosen = fitting.where(F.col("level") >= least if least is not None else F.lit(False))
     # at most most_words short words from here on, told by the counts above
-    ids = vocabulary.ids(F.col("word")).alias("ids")
-    folded = stage(chosen.repartition(F.xxhash64("word")).select("word", "n", ids), "folded-words")
-    found = []
+    ids = vocabulary.ids(F.col("word"))
+    folded = chosen.repartition(F.xxhash64("word")).select(F.col("word").alias("key"), "n", ids.alias("value"))
+    folded, found = stage(folded, "folded-words"), []
     for most in (*(n for n in FEWER_WORDS if n < most_words), most_words):
-        some = folded if most == most_words else folded.orderBy(F.desc("n"), "word").limit(most)
-        found.append((_word_map(spark, some, 2 * most), 2 * most))
+        some = folded if most == most_words else folded.orderBy(F.desc("n"), "key").limit(most)
+        # the large map is kept small by buckets of two words
+        name, buckets = f"words_{uuid.uuid4().hex}", 2 * most if most < most_words else -(-most // 2)
+        _map(spark, name, some, buckets)
+        found.append((name, buckets))
     return found
 
 
@@ -306,6 +304,7 @@ def encode(
     encoded = df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
     for name, _ in maps:  # the frame has their values
         spark.sql(f"DROP TEMPORARY VARIABLE {name}")
+    worker.trim()
     return encoded
 
 
