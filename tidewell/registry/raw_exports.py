@@ -23,7 +23,8 @@ EXPORT_FILES = tuple(
 
 
 def _users(t: Tables, source: str) -> DataFrame:
-    return t.source_customers().where(F.col("SRC_SYSTEM") == source)
+    # joined once for the exports of all sources
+    return t.stored("export_users", t.source_customers).where(F.col("SRC_SYSTEM") == source)
 
 
 def users_store(t: Tables) -> DataFrame:
@@ -66,9 +67,13 @@ def users_whatsapp(t: Tables) -> DataFrame:
 
 
 def _orders(t: Tables, source: str) -> DataFrame:
+    return t.stored("export_orders", lambda: _all_orders(t)).where(F.col("SOURCE") == source)
+
+
+def _all_orders(t: Tables) -> DataFrame:
+    """Orders with what the exports of their sources need, joined once for all of them."""
     return (
         t.orders()
-        .where(F.col("SOURCE") == source)
         .join(
             t.read("orders").selectExpr("CAST(o_orderkey AS STRING) AS ORDER_ID_SRC", "o_orderkey", "o_custkey"),
             "ORDER_ID_SRC",

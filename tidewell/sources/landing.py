@@ -56,6 +56,11 @@ def land_entity(
     return append_all(frames)
 
 
+def _exact(text: Column, kind: str) -> Column:
+    """The text of a floating-point number without an exponent; NULL if it has too many digits."""
+    return text.try_cast(kind).try_cast("decimal(38,10)").cast("string")
+
+
 def field(*paths: str, as_type: str = "string") -> Column:
     """First of the given object fields that is present and fits the type, else NULL.
 
@@ -67,10 +72,12 @@ def field(*paths: str, as_type: str = "string") -> Column:
         value = F.try_variant_get("data", path, as_type)
         if as_type != "string":
             return value
+        # the scan extracts every type that is asked of a path, for all rows: another cast than to text
+        # fails on most values, and a failure costs more than the rest, so numbers are read from their text
         kind = F.schema_of_variant(F.try_variant_get("data", path, "variant"))
-        exact = F.try_variant_get("data", path, "decimal(38,10)").cast("string")
-        plain = F.regexp_replace(exact, r"\.?0+$", "")
-        floating = value.rlike(r"^-?\d(\.\d+)?E[+-]?\d+$") & kind.isin("DOUBLE", "FLOAT")
+        read = F.when(kind == "FLOAT", _exact(value, "float")).otherwise(_exact(value, "double"))
+        plain = F.regexp_replace(read, r"\.?0+$", "")
+        floating = value.contains("E") & value.rlike(r"^-?\d(\.\d+)?E[+-]?\d+$") & kind.isin("DOUBLE", "FLOAT")
         return F.when(F.coalesce(floating, F.lit(False)), F.coalesce(plain, value)).otherwise(value)
 
     return F.coalesce(*[one(f"$.{p}") for p in paths])
