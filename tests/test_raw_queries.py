@@ -1,10 +1,14 @@
 """How the queries over raw exports and arrays grow with their tables."""
 
+import glob
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewell.registry import raw_exports
+from tidewell.registry import queries, raw_exports
 from tidewell.registry.contract import Tables
+from tidewell.session import shared_folder
 from tidewell.sources.landing import field
 
 
@@ -32,3 +36,13 @@ def test_exports_join_their_tables_once(spark, tmp_path, monkeypatch):
     assert sorted(made) == ["orders", "users"]
 
 
+@pytest.mark.parametrize("rows, arrays", [(5, 2), (37, 4)])
+def test_more_events_are_more_arrays(spark, tmp_path, monkeypatch, rows, arrays):
+    monkeypatch.setattr(queries, "ARRAY_ROWS", 10)
+    table = [(n, n % 3, "view", json.dumps({"k": n})) for n in [*range(rows - 1), 0]]  # one id twice
+    spark.createDataFrame(table, "event_id long, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    before = set(glob.glob(f"{shared_folder(spark)}/*/json-arrays-*"))
+    found = queries.json_array_split(Tables(spark, str(tmp_path)))
+    assert sorted(map(tuple, found.collect())) == sorted((e, u, k, '}],"\\' + p) for e, u, k, p in table)
+    (path,) = set(glob.glob(f"{shared_folder(spark)}/*/json-arrays-*")) - before
+    assert len(glob.glob(f"{path}/file=*/part-*")) == arrays

@@ -593,12 +593,20 @@ def json_source(t: Tables) -> DataFrame:
     )
 
 
+#: Events of one array: some 200 MB, more than a task reads at once.
+ARRAY_ROWS = 1_500_000
+
+
 @register
 def json_array_split(t: Tables) -> DataFrame:
-    """Events written as two large JSON arrays, with braces and quotes in their texts, and read in pieces."""
-    path = _new_folder(t, "json-arrays")
-    records = t.read("events").select(
-        (F.col("event_id") % 2).alias("file"),
+    """Events written as large JSON arrays, two at least, with braces and quotes in their texts, and read in pieces.
+
+    One task sorts and writes an array, so there are more of them, not longer ones, when there are more events.
+    """
+    path, events = _new_folder(t, "json-arrays"), t.read("events")
+    files = max(2, -(-events.count() // ARRAY_ROWS))
+    records = events.select(
+        (F.col("event_id") % files).alias("file"),
         F.col("event_id").alias("place"),
         F.to_json(
             F.struct(
@@ -611,7 +619,7 @@ def json_array_split(t: Tables) -> DataFrame:
     first = Window.partitionBy("file").orderBy("place")
     lines = records.withColumn("value", F.concat(F.when(F.row_number().over(first) == 1, "[").otherwise(","), "value"))
     ends = records.groupBy("file").agg((F.max("place") + 1).alias("place"), F.lit("]").alias("value"))
-    placed = lines.unionByName(ends).repartition(2, "file").sortWithinPartitions("file", "place")
+    placed = lines.unionByName(ends).repartitionByRange(files, "file").sortWithinPartitions("file", "place")
     placed.select("file", "value").write.partitionBy("file").text(path)
     rows = read_json_array(t.spark, path, ("event_id", "inner", "text"))
     return rows.selectExpr(
