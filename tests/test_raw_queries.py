@@ -36,6 +36,25 @@ def test_exports_join_their_tables_once(spark, tmp_path, monkeypatch):
     assert sorted(made) == ["orders", "users"]
 
 
+def test_streams_need_the_exports_only(spark, tmp_path, monkeypatch):
+    def refuse(*args, **kw):
+        raise AssertionError("a build")
+
+    monkeypatch.setattr(queries.pipeline, "build", refuse)
+    monkeypatch.setattr(queries, "write_exports", lambda t, root: root)
+    monkeypatch.setattr(queries.streaming, "take_in", lambda *args: None)
+    monkeypatch.setattr(queries.streaming, "views", lambda *args: {"vw_customer_unified": "found"})
+    assert queries.streaming_customers(Tables(spark, f"{tmp_path}/none")) == "found"
+
+
+def test_streamed_views_are_stored_before_gold(spark, tmp_path, monkeypatch):
+    views = {"vw_customer_unified": spark.range(3), "vw_orders_clean": spark.range(2)}
+    monkeypatch.setattr(queries, "_streamed", lambda t: views)
+    monkeypatch.setattr(queries.pipeline, "build_gold", lambda found, *args: {"fact_orders": found})
+    found = queries.streaming_fact_orders(Tables(spark, f"{tmp_path}/none"))
+    assert {n: (v.count(), bool(v.inputFiles())) for n, v in found.items()} == {n: (v.count(), True) for n, v in views.items()}
+
+
 @pytest.mark.parametrize("rows, arrays", [(5, 2), (37, 4)])
 def test_more_events_are_more_arrays(spark, tmp_path, monkeypatch, rows, arrays):
     monkeypatch.setattr(queries, "ARRAY_ROWS", 10)
