@@ -93,3 +93,23 @@ def test_memory_of_words_is_bounded(monkeypatch, library):
         ids, _ = own.encode(pa.array([text]))
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
         assert own.held < 2000 + 2000 and sum(map(len, own.words)) == own.held
+
+
+def test_new_words_are_learnt_in_parts(monkeypatch, library):
+    """What the library makes of new words on its way is bounded, however many a batch brings."""
+    monkeypatch.setattr(packing, "LEARNT_TOGETHER", 7)
+    own, learn, sizes = WordEncoder(PATH), WordEncoder._learn, []
+    monkeypatch.setattr(WordEncoder, "_learn", lambda self, words: (sizes.append(len(words)), learn(self, words)))
+    text = " ".join([*(f"w{i}x" for i in range(60)), *PARTS])
+    ids, _ = own.encode(pa.array([text]))
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(sizes) == 7 and sum(sizes) == len(own.words)
+
+
+def test_memory_that_every_worker_keeps():
+    from tidewell.llm import text
+
+    data = np.frombuffer(b"a" * (text.PIECE_BYTES + 5) + b" b", np.uint8)
+    starts, ends = np.array([0, 5, len(data) - 1]), np.array([3, len(data) - 2, len(data)])
+    assert len(set(text.span_hashes(data, starts, ends).tolist())) == 3
+    assert sum(x.nbytes for x in text._usual_powers(text._USUAL)) < 18 << 20

@@ -29,11 +29,13 @@ from tidewell.llm.text import distinct_spans, flat, pieces, words
 from tidewell.llm.token_counts import byte_alphabet
 
 #: Words, and parts of words, that a worker remembers before it starts over.
-CACHE_WORDS, CACHE_PARTS = 500_000, 300_000
+CACHE_WORDS, CACHE_PARTS = 350_000, 250_000
 #: Bytes of these words.
 CACHE_BYTES = 16 << 20
 #: Bytes of texts handled together.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
+#: New words split together: what the library makes of them on its way is many times their size.
+LEARNT_TOGETHER = 1 << 13
 
 #: Fixed value: how this vocabulary splits lower-cased text, as published with it.
 PART_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -143,8 +145,8 @@ class WordEncoder:
         raw = data.tobytes()
         distinct = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         new = [word for word in distinct if word not in self.words]
-        if new:
-            self._learn(new)
+        for at in range(0, len(new), LEARNT_TOGETHER):
+            self._learn(new[at : at + LEARNT_TOGETHER])
         numbers = [self.words[word] for word in distinct]
         ids, sizes = self.word_ids.get(np.array(numbers, np.int64)[back])
         sums = np.r_[0, np.cumsum(sizes)]
@@ -200,6 +202,7 @@ def pack(
                     pa.array(counts[row]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        worker.trim()  # between tasks a worker keeps its words only
 
     found = documents.select(key, text).mapInArrow(run, f"{key} {kind}, {fields}")
     return found.select(
