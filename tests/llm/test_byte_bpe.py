@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -122,3 +123,26 @@ def test_query(spark, data):
     found = op13_byte_bpe(spark, data)
     assert dict(found.dtypes)["n_tokens"] == "bigint"
     assert sorted(tuple(r) for r in found.collect()) == sorted(row(*d) for d in docs)
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_words_folded_together(path):
+    rng, ranks = random.Random(10), {piece: i for i, piece in enumerate(read_ranks(path).pieces)}
+    tokenizer = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    words = ["".join(rng.choices("abcdeöß的 =-é1", k=rng.randint(1, 40))) for _ in range(500)]
+    words += ["=" * n for n in range(1, 70)] + ["ab" * 50, "aaab" * 30, "".join(rng.choices("abcdefgh", k=20_000))]
+    raw = [w.encode() for w in words]
+    ids, counts = byte_bpe.fold_together(np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw]), byte_bpe.pairs_of(path))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [tokenizer.encode_ordinary(w) for w in words]
+    none, counts = byte_bpe.fold_together(np.zeros(0, np.uint8), np.zeros(0, np.int64), byte_bpe.pairs_of(path))
+    assert not len(none) and not len(counts)
+
+
+def test_words_without_a_place_are_folded_in_batches(spark):
+    """Words that the maps do not have: of many lengths, repeated, alone in a text and between known ones."""
+    rng = random.Random(11)
+    rare = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäé的", k=k)) for k in (1, 2, 3, 9, 64, 65, 400, 20_000)]
+    rows = [(i, " ".join(["the"] * i + [rare[i], "the", rare[i], rare[-1 - i]])) for i in range(8)] + [(8, None), (9, "the the"), (10, rare[3])]
+    assert both(spark, rows, PATHS[0], most_words=1) == expected(rows, PATHS[0])
+    plan = encode(spark.createDataFrame(rows, "doc_id long, text string"), PATHS[0], public_tokenizers.PATTERN, most_words=1)
+    assert "ArrowEvalPython" in plan._jdf.queryExecution().executedPlan().toString()

@@ -12,15 +12,16 @@ own; ``read_ranks`` proves that for a file by folding every piece.
 Words repeat, so the distinct words of all texts are counted and the ``most_words`` most frequent of
 them folded once; their ids reach the texts as a literal map. Literals are set as session variables,
 which Spark replaces by their values when it plans. What the map does not have (rarer words, words of
-over ``LONGEST_WORD`` bytes) is folded where it stands. No text is shuffled, only the counts of
-distinct words are.
+over ``LONGEST_WORD`` bytes) is folded where it stands: it is spelled among the ids, tasks hand
+these over in Arrow batches, and all words of a batch take each step together, as arrays. No text is shuffled, only the counts of distinct
+words are.
 
 Decoding looks the bytes of every id up in a literal array and concatenates them.
 
 Cases: a null or empty text has no ids and decodes to no bytes; repeated rows, null keys and other
 columns are kept as they are; an id outside the vocabulary decodes to null as a whole. The words of
 one text are held at once. A fold takes as many steps as the word has different merges, each as long
-as the word, so a random word of 100,000 letters takes minutes while a repetitive one takes seconds.
+as the word, so a random word of 100,000 letters takes seconds while a repetitive one takes less.
 """
 
 from __future__ import annotations
@@ -34,11 +35,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import worker
+from tidewell.llm.text import PIECE_BYTES
 from tidewell.session import stage
 
 #: Symbols are characters from here on; those of small vocabularies end before the surrogates.
@@ -51,6 +55,9 @@ SHORT = 64
 LONGEST_WORD = 64
 #: Words of a smaller map, looked up first.
 FEWER_WORDS = (1 << 13,)
+#: Bits of a rank in the pair table; and more than any rank.
+RANK_BITS = 32
+NO_RANK = 1 << RANK_BITS
 #: Counts of words are binned by this many bins a doubling to find the least count that enters.
 BINS = 8
 
@@ -286,6 +293,111 @@ def frequent_words(words: DataFrame, vocabulary: Folding, most_words: int) -> li
     return found
 
 
+# --- other words ---------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Pairs:
+    """The ranks of all pairs of ids (x, y) in one array, at the place of x plus y; the places of all x keep them apart."""
+
+    byte_ids: np.ndarray  # by byte: its id
+    places: np.ndarray  # by id: the place of its pairs
+    table: np.ndarray  # the first id of the pair that stands here, and its rank
+
+    def ranks(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        entry = self.table[self.places[first] + second] ^ (first << RANK_BITS)
+        return np.where(entry < NO_RANK, entry, NO_RANK)
+
+
+@lru_cache(maxsize=2)
+def pairs_of(path: str) -> Pairs:
+    known = read_ranks(path)
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for rank, parts in enumerate(known.parts):
+        if parts:
+            rows.setdefault(parts[0], []).append((parts[1], rank))
+    ids = len(known.parts)
+    size, start = 6 * ids, 0
+    places, taken = np.zeros(ids, np.int64), np.zeros(size, bool)
+    table = np.full(size, ids << RANK_BITS, np.int64)  # no pair begins with id ``ids``
+    for x, row in sorted(rows.items(), key=lambda r: -len(r[1])):  # long rows while there is room
+        seconds, ranks = np.array(row, np.int64).T
+        while True:
+            tried = np.arange(start, start + 64) % (size - ids)
+            free = ~taken[tried[:, None] + seconds].any(axis=1)
+            if free.any():
+                break
+            start += 64
+        places[x] = tried[free.argmax()]
+        taken[places[x] + seconds] = True
+        table[places[x] + seconds] = x << RANK_BITS | ranks
+    byte_ids = np.array([known.pieces.index(bytes([b])) for b in range(256)], np.int64)
+    return Pairs(byte_ids, places, table)
+
+
+def fold_together(data: np.ndarray, sizes: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words, given as bytes one after the other with their sizes; and how many each has. No word is empty."""
+    left, counts = pairs.byte_ids[data], np.array(sizes, np.int64)
+    last = np.zeros(len(left), bool)  # of its word
+    last[np.cumsum(counts) - 1] = True
+    symbols = np.arange(len(left))  # those of words that are still folded
+    kept = np.ones(len(left), bool)
+    words = np.arange(len(counts))
+    while len(words):
+        now = left[symbols]
+        ranks = np.append(pairs.ranks(now[:-1], now[1:]), NO_RANK)
+        ranks[last[symbols]] = NO_RANK
+        lengths = counts[words]
+        starts = np.cumsum(lengths) - lengths
+        least = np.minimum.reduceat(ranks, starts)
+        merged = np.flatnonzero((ranks == np.repeat(least, lengths)) & (ranks < NO_RANK))
+        # where a pair overlaps the one before, as in a run of one symbol, every second is merged
+        opens = np.r_[True, np.diff(merged) > 1][: len(merged)]
+        into_run = np.arange(len(merged)) - np.maximum.accumulate(np.where(opens, np.arange(len(merged)), 0))
+        merged = merged[into_run % 2 == 0]
+        left[symbols[merged]] = ranks[merged]
+        last[symbols[merged]] = last[symbols[merged + 1]]
+        kept[symbols[merged + 1]] = False
+        counts[words] -= np.bincount(np.searchsorted(starts, merged, side="right") - 1, minlength=len(words))
+        open_ = least < NO_RANK
+        stay = np.repeat(open_, lengths) & kept[symbols]
+        symbols, words = symbols[stay], words[open_]
+    return left[kept], counts
+
+
+def _spelled(word: Column) -> Column:
+    """The bytes of a word as numbers below zero: byte b is -1 - b, and -257 - b where the word begins."""
+    latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    return F.transform(F.split(latin, ""), lambda byte, at: F.when(at == 0, F.lit(-257)).otherwise(F.lit(-1)) - F.ascii(byte))
+
+
+def fold_spelled(path: str) -> Callable[[Column], Column]:
+    """Arrays of ids with the words folded that are spelled among them."""
+    pairs = pairs_of(path)
+
+    @F.arrow_udf("array<int>")
+    def fold(ids: pa.Array) -> pa.Array:
+        numbers = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        spelled = np.flatnonzero(numbers < 0)
+        width = np.ones(len(numbers), np.int64)  # ids in place of each number
+        width[spelled] = 0
+        begins = np.flatnonzero(numbers[spelled] < -256)
+        data = (-1 - numbers[spelled] & 255).astype(np.uint8)
+        offsets, at, found = np.append(begins, len(spelled)), 0, [np.zeros(0, np.int64)]
+        while at < len(begins):  # PIECE_BYTES at a time, or one word
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, side="right")) - 1)
+            new, counts = fold_together(data[offsets[at] : offsets[stop]], np.diff(offsets[at : stop + 1]), pairs)
+            width[spelled[begins[at:stop]]] = counts
+            found.append(new)
+            at = stop
+        whole = np.repeat(numbers, width)
+        whole[whole < 0] = np.concatenate(found)
+        ends = np.r_[0, np.cumsum(width)][np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))]]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(whole.astype(np.int32)))
+
+    return fold
+
+
 # --- texts ---------------------------------------------------------------------------------
 
 
@@ -299,9 +411,9 @@ def encode(
 
     def ids_of(word: Column) -> Column:
         known = [F.element_at(F.get(F.expr(f"session.{name}"), _bucket(word, buckets)), word) for name, buckets in maps]
-        return F.coalesce(*known, vocabulary.ids(word))
+        return F.coalesce(*known, _spelled(word))
 
-    encoded = df.withColumn(ids, F.flatten(F.transform(words, ids_of)))
+    encoded = df.withColumn(ids, fold_spelled(path)(F.flatten(F.transform(words, ids_of))))
     for name, _ in maps:  # the frame has their values
         spark.sql(f"DROP TEMPORARY VARIABLE {name}")
     worker.trim()
